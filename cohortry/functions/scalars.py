@@ -16,9 +16,16 @@ NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INFINITE = r"^(?i)[+-]?inf(inity)?$"
 
 
+# The same class as single characters, for ``trim``.
+WHITESPACE_CHARS = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip_ws(c: Column) -> Column:
-    """Strip every kind of whitespace (SQL ``trim`` removes U+0020 only)."""
-    return F.regexp_replace(c, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    """Strip every kind of whitespace (plain SQL ``trim`` removes U+0020 only)."""
+    return F.trim(c, F.lit(WHITESPACE_CHARS))
 
 
 def parse_number(text: Column) -> Column:

@@ -277,7 +277,8 @@ def reviews_of_negative_balance_customers(spark, d):
 )
 def lexicon_table_lookup(spark, d):
     """A lexicon kept as a table: token rows joined to it; Catalyst broadcasts it by its known size."""
-    lexicon = spark.createDataFrame([(w,) for w in ("great", "fast", "slow", "not", "broken", "easy")], "term string")
+    entries = [F.lit(w) for w in ("great", "fast", "slow", "not", "broken", "easy")]
+    lexicon = spark.range(1).select(F.explode(F.array(*entries)).alias("term"))
     words = reviews_view(spark, d).select(F.explode(F.array_distinct(F.split(F.lower("review_text"), " "))).alias("term"))
     return words.join(lexicon, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_reviews"))
 
