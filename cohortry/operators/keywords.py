@@ -46,7 +46,8 @@ def vocabulary(
         *group, F.sort_array("terms").alias("_g")
     )
     counts = (
-        grams.select(*group, F.inline(_with_first_flag(F.col("_g"))))
+        grams.select(*group, F.inline_outer(_with_first_flag(F.col("_g"))))
+        .filter(F.col("term").isNotNull())
         .groupBy(*group, "term")
         .agg(F.count(F.lit(1)).alias("total"), F.sum("first").alias("df"))
     )
@@ -83,10 +84,17 @@ def tfidf_keywords(
         .withColumn("idf", idf)
         .groupBy(*key, "_docs")
         .agg(F.sort_array(F.collect_list(F.struct("term", "idf"))).alias("_v"))
+        .withColumn("_names", F.col("_v.term"))
     )
     docs = tokenize(source.select(*key, text_col), text_col, stop_words, max_n).select(*key, "terms")
-    known = docs.join(settle(vocab, "vocabulary"), key).withColumn("_names", F.col("_v.term"))
-    known = known.withColumn("_hits", F.filter("terms", lambda t: F.array_contains(F.col("_names"), t)))
+    kept = settle(vocab, "vocabulary")
+    if group:
+        known = docs.join(kept, key)
+    else:
+        known = docs.withColumn("_s", kept.select(F.struct("_docs", "_v", "_names")).scalar()).select("*", "_s.*")
+    known = known.withColumn(
+        "_hits", F.filter("terms", lambda t: F.array_contains(F.col("_names"), t))
+    )
     weights = F.transform(
         "_v",
         lambda v: F.struct(
@@ -94,13 +102,17 @@ def tfidf_keywords(
             (F.size(F.filter("_hits", lambda t: t == v["term"])) * v["idf"]).alias("w"),
         ),
     )
-    known = known.filter(F.size("_hits") > 0).select(
-        *key, "_docs", F.filter(weights, lambda s: s["w"] > 0).alias("_w")
+    # The second use of _hits (the size test) keeps Catalyst from inlining its definition into the
+    # lambda above, where it would be evaluated once per vocabulary entry. Likewise inline_outer below:
+    # for inline Catalyst infers a size filter and pushes a copy of the whole expression to the scan.
+    known = known.select(
+        *key, "_docs", F.when(F.size("_hits") > 0, F.filter(weights, lambda s: s["w"] > 0)).alias("_w")
     )
     norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda acc, s: acc + s["w"] * s["w"]))
     scored = (
         known.withColumn("_norm", norm)
-        .select(*key, "_docs", "_norm", F.inline("_w"))
+        .select(*key, "_docs", "_norm", F.inline_outer("_w"))
+        .filter(F.col("term").isNotNull())
         .groupBy(*key, "term")
         .agg((F.sum(F.col("w") / F.col("_norm")) / F.first("_docs")).alias("score"))
     )

@@ -128,7 +128,8 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             )
         )
     counted = (
-        staged.select(F.inline(F.filter(F.array(*pieces), lambda s: s["_keep"])))
+        staged.select(F.inline_outer(F.filter(F.array(*pieces), lambda s: s["_keep"])))
+        .filter(F.col("_col").isNotNull())
         .groupBy("_col", "_v")
         .agg(F.count(F.lit(1)).alias("_n"), F.first("_size").alias("_size"))
     )
