@@ -29,8 +29,18 @@ def _fold(step: Callable[[Column, Column], Column], start: float = 0.0, depth: i
     return F.aggregate(order, F.lit(start), lambda acc, k: step(acc, k.cast("double")))
 
 
+def let(body: Callable[..., Column], *values: Column) -> Column:
+    """Bind values to names inside an expression, so that a value used many times is written once."""
+    bound = F.struct(*[v.cast("double").alias(f"v{i}") for i, v in enumerate(values)])
+    return F.transform(F.array(bound), lambda s: body(*[s[f"v{i}"] for i in range(len(values))]))[0]
+
+
 def log_gamma(x: Column) -> Column:
     """Stirling's series at x + 10, stepped back down by the recurrence."""
+    return let(_log_gamma, x)
+
+
+def _log_gamma(x: Column) -> Column:
     y = x + 10.0
     shift = x
     for k in range(1, 10):
@@ -42,6 +52,10 @@ def log_gamma(x: Column) -> Column:
 
 def gamma_upper(a: Column, x: Column) -> Column:
     """Regularised upper incomplete gamma Q(a, x)."""
+    return let(_gamma_upper, a, x)
+
+
+def _gamma_upper(a: Column, x: Column) -> Column:
     front = F.exp(a * F.ln(x) - x - log_gamma(a))
     series = _fold(lambda acc, k: 1.0 + x / (a + k) * acc, 1.0) / a
     fraction = 1.0 / (x + 1.0 - a - _fold(lambda acc, k: k * (k - a) / (x + 2.0 * k + 1.0 - a - acc)))
@@ -65,6 +79,10 @@ def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
 
 def beta_lower(a: Column, b: Column, x: Column) -> Column:
     """Regularised incomplete beta I_x(a, b)."""
+    return let(_beta_lower, a, b, x)
+
+
+def _beta_lower(a: Column, b: Column, x: Column) -> Column:
     front = F.exp(log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * F.ln(x) + b * F.ln(1.0 - x))
     direct = front * _beta_fraction(a, b, x) / a
     mirrored = 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
@@ -83,22 +101,28 @@ def normal_two_sided(z: Column) -> Column:
 
 def normal_upper(z: Column) -> Column:
     """P(Z >= z)."""
+    return let(_normal_upper, z)
+
+
+def _normal_upper(z: Column) -> Column:
     half = normal_two_sided(z) / 2.0
     return F.when(z >= 0, half).otherwise(1.0 - half)
 
 
+def _hill(z: Column, b: Column) -> Column:
+    z2 = z * z
+    third = (4.0 * z2 * z2 * z2 + 33.0 * z2 * z2 + 240.0 * z2 + 855.0) * z
+    return z + (z2 + 3.0) * z / b - third / (10.0 * b * (b + 0.8 * z2 * z2 + 100.0))
+
+
 def t_two_sided(t: Column, df: Column) -> Column:
     """P(|T| >= |t|) for Student's t."""
+    return let(_t_two_sided, t, df)
+
+
+def _t_two_sided(t: Column, df: Column) -> Column:
     exact = beta_lower(df / 2.0, F.lit(0.5), df / (df + t * t))
-    a = df - 0.5
-    b = 48.0 * a * a
-    z2 = a * F.log1p(t * t / df)
-    z = F.sqrt(z2)
-    z3 = z2 * z
-    near = z + (z3 + 3.0 * z) / b
-    near = near - (4.0 * z3 * z2 * z2 + 33.0 * z3 * z2 + 240.0 * z3 + 855.0 * z) / (
-        10.0 * b * (b + 0.8 * z2 * z2 + 100.0)
-    )
+    near = let(_hill, F.sqrt((df - 0.5) * F.log1p(t * t / df)), 48.0 * (df - 0.5) * (df - 0.5))
     return (
         F.when(t.isNull() | df.isNull() | (df <= 0), F.lit(None).cast("double"))
         .when(df > LARGE_DF, normal_two_sided(near))
@@ -108,7 +132,10 @@ def t_two_sided(t: Column, df: Column) -> Column:
 
 def chi2_sf(x: Column, df: Column) -> Column:
     """P(X >= x) for chi-square."""
-    d = df.cast("double")
+    return let(_chi2_sf, x, df)
+
+
+def _chi2_sf(x: Column, d: Column) -> Column:
     cube = F.cbrt(F.greatest(x, F.lit(0.0)) / d)
     near = (cube - (1.0 - 2.0 / (9.0 * d))) / F.sqrt(2.0 / (9.0 * d))
     return (
@@ -120,7 +147,10 @@ def chi2_sf(x: Column, df: Column) -> Column:
 
 def f_sf(f: Column, df1: Column, df2: Column) -> Column:
     """P(X >= f) for Fisher's F."""
-    d1, d2 = df1.cast("double"), df2.cast("double")
+    return let(_f_sf, f, df1, df2)
+
+
+def _f_sf(f: Column, d1: Column, d2: Column) -> Column:
     exact = beta_lower(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
     shrink = (2.0 * d2 + d1 * f / 3.0 + d1 - 2.0) / (2.0 * d2 + 4.0 * d1 * f / 3.0)
     return (

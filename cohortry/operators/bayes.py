@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortry.functions.tails import let
+
 GRID = 4000
 SPAN = 8.0  # half-width of the grid in posterior standard deviations
 
@@ -16,6 +18,33 @@ def _posterior(arm: str, prior_alpha: float, prior_beta: float) -> tuple[Column,
     return x + prior_alpha, n - x + prior_beta
 
 
+def _log_density(a: Column, b: Column):
+    return lambda x: (a - 1.0) * F.ln(x) + (b - 1.0) * F.ln(1.0 - x)
+
+
+def _relative(log_density: Column):
+    """Densities relative to the peak, from their logarithms."""
+    return lambda peak: F.transform(log_density, lambda v: F.exp(v - peak))
+
+
+def _sweep(total_c: Column, total_t: Column, step: Column) -> Column:
+    """One pass over the grid: cumulative masses, P(treatment > control) and expected loss."""
+    cells = F.zip_with("_fc", "_ft", lambda c, t: F.struct(c.alias("fc"), t.alias("ft")))
+    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("c", "t", "win", "loss")])
+
+    def walk(acc: Column, cell: Column) -> Column:
+        fc, ft = cell["fc"] / total_c, cell["ft"] / total_t
+        mid_c, mid_t = acc["c"] + fc / 2.0, acc["t"] + ft / 2.0
+        return F.struct(
+            (acc["c"] + fc).alias("c"),
+            (acc["t"] + ft).alias("t"),
+            (acc["win"] + ft * mid_c).alias("win"),
+            (acc["loss"] + mid_t * (1.0 - mid_c) * step).alias("loss"),
+        )
+
+    return F.aggregate(cells, zero, walk)
+
+
 def bayes_test(
     totals: DataFrame, prior_alpha: float = 1.0, prior_beta: float = 1.0, grid: int = GRID
 ) -> DataFrame:
@@ -39,27 +68,13 @@ def bayes_test(
     gridded = with_ab.withColumns({"_lo": low, "_step": (high - low) / float(grid)})
     points = F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda i: F.col("_lo") + (i + 0.5) * F.col("_step"))
     gridded = gridded.withColumn("_x", points)
+    # Peaks and totals are bound with ``let``: a column used once inside a lambda would be inlined there
+    # and evaluated again for every grid point.
     for s in "ct":
-        log_density = F.transform(
-            "_x", lambda x, s=s: (F.col(f"_a{s}") - 1.0) * F.ln(x) + (F.col(f"_b{s}") - 1.0) * F.ln(1.0 - x)
-        )
-        gridded = gridded.withColumn(f"_l{s}", log_density).withColumn(f"_p{s}", F.array_max(f"_l{s}"))
-        gridded = gridded.withColumn(f"_f{s}", F.transform(f"_l{s}", lambda v, s=s: F.exp(v - F.col(f"_p{s}"))))
-        gridded = gridded.withColumn(f"_z{s}", F.aggregate(f"_f{s}", F.lit(0.0), lambda acc, v: acc + v))
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("c", "t", "win", "loss")])
-
-    def walk(acc: Column, cell: Column) -> Column:
-        fc, ft = cell["fc"] / F.col("_zc"), cell["ft"] / F.col("_zt")
-        mid_c, mid_t = acc["c"] + fc / 2.0, acc["t"] + ft / 2.0
-        return F.struct(
-            (acc["c"] + fc).alias("c"),
-            (acc["t"] + ft).alias("t"),
-            (acc["win"] + ft * mid_c).alias("win"),
-            (acc["loss"] + mid_t * (1.0 - mid_c) * F.col("_step")).alias("loss"),
-        )
-
-    cells = F.zip_with("_fc", "_ft", lambda c, t: F.struct(c.alias("fc"), t.alias("ft")))
-    swept = gridded.withColumn("_r", F.aggregate(cells, zero, walk))
+        gridded = gridded.withColumn(f"_l{s}", F.transform("_x", _log_density(F.col(f"_a{s}"), F.col(f"_b{s}"))))
+        gridded = gridded.withColumn(f"_f{s}", let(_relative(F.col(f"_l{s}")), F.array_max(f"_l{s}")))
+    total = lambda s: F.aggregate(f"_f{s}", F.lit(0.0), lambda acc, v: acc + v)
+    swept = gridded.withColumn("_r", let(_sweep, total("c"), total("t"), F.col("_step")))
     win = F.col("_r.win")
     return swept.select(
         *totals.columns,

@@ -114,40 +114,41 @@ def metric_aggregates(prefix: str, value: Column, condition: Column | None = Non
 # ---------------------------------------------------------------- two proportions
 
 
-def two_proportion_columns(alpha: float = 0.05, two_sided: bool = True) -> dict[str, Column]:
-    """Test columns from the four totals. No conversions at all, or a missing arm, gives nulls and no flag."""
-    nc, nt = F.col("control_n").cast("double"), F.col("treatment_n").cast("double")
-    xc, xt = F.col("control_conversions").cast("double"), F.col("treatment_conversions").cast("double")
-    pc, pt = F.try_divide(xc, nc), F.try_divide(xt, nt)
-    pooled = F.try_divide(xc + xt, nc + nt)
-    se = F.sqrt(pooled * (1.0 - pooled) * (F.try_divide(F.lit(1.0), nc) + F.try_divide(F.lit(1.0), nt)))
-    diff = pt - pc
-    z = F.try_divide(diff, se)
+def two_proportion_test(totals: DataFrame, alpha: float = 0.05, two_sided: bool = True) -> DataFrame:
+    """z-test on rows holding ``control_n``, ``control_conversions``, ``treatment_n``, ``treatment_conversions``.
+
+    No conversions at all, or a missing arm, gives nulls and no flag. Shared terms become columns of
+    their own before they are reused, so the expression tree stays small.
+    """
+    number = lambda c: F.col(c).cast("double")
+    nc, nt, xc, xt = (number(c) for c in ("control_n", "treatment_n", "control_conversions", "treatment_conversions"))
+    rates = totals.withColumns(
+        {"_pc": F.try_divide(xc, nc), "_pt": F.try_divide(xt, nt), "_pp": F.try_divide(xc + xt, nc + nt)}
+    )
+    pc, pt, pp = F.col("_pc"), F.col("_pt"), F.col("_pp")
+    se = F.sqrt(pp * (1.0 - pp) * (F.try_divide(F.lit(1.0), nc) + F.try_divide(F.lit(1.0), nt)))
     spread = F.sqrt(F.try_divide(pc * (1.0 - pc), nc) + F.try_divide(pt * (1.0 - pt), nt))
-    crit = z_quantile(1 - alpha / 2)
-    flag = F.abs(z) > crit if two_sided else z > z_quantile(1 - alpha)
+    staged = rates.withColumns({"_z": F.try_divide(pt - pc, se), "_d": pt - pc, "_w": spread})
+    z, diff = F.col("_z"), F.col("_d")
+    margin = z_quantile(1 - alpha / 2)
+    flag = F.abs(z) > margin if two_sided else z > z_quantile(1 - alpha)
     flag = F.coalesce(flag, F.lit(False))
-    lift = F.when(pc > 0, diff / pc).when(pc == 0, 0.0)
-    return {
-        "test_type": F.lit("Two-Proportion Z-Test"),
-        "control_cvr": F.round(pc, 6),
-        "treatment_cvr": F.round(pt, 6),
-        "absolute_lift": F.round(diff, 6),
-        "relative_lift": F.round(lift, 4),
-        "z_statistic": F.round(z, 4),
-        "p_value": F.round(normal_two_sided(z) if two_sided else normal_upper(z), 6),
-        "alpha": F.lit(alpha),
-        "significant": flag,
-        "significance_label": _label(flag),
-        "ci_lower": F.round(diff - crit * spread, 6),
-        "ci_upper": F.round(diff + crit * spread, 6),
-        "ci_level": F.lit(f"{int((1 - alpha) * 100)}%"),
-    }
-
-
-def two_proportion_test(totals: DataFrame, alpha: float = 0.05, two_sided: bool = True) -> DataFrame:
-    """z-test on rows holding ``control_n``, ``control_conversions``, ``treatment_n``, ``treatment_conversions``."""
-    return totals.withColumns(two_proportion_columns(alpha, two_sided))
+    return staged.select(
+        *totals.columns,
+        F.lit("Two-Proportion Z-Test").alias("test_type"),
+        F.round(pc, 6).alias("control_cvr"),
+        F.round(pt, 6).alias("treatment_cvr"),
+        F.round(diff, 6).alias("absolute_lift"),
+        F.round(F.when(pc > 0, diff / pc).when(pc == 0, 0.0), 4).alias("relative_lift"),
+        F.round(z, 4).alias("z_statistic"),
+        F.round(normal_two_sided(z) if two_sided else normal_upper(z), 6).alias("p_value"),
+        F.lit(alpha).alias("alpha"),
+        flag.alias("significant"),
+        _label(flag).alias("significance_label"),
+        F.round(diff - margin * F.col("_w"), 6).alias("ci_lower"),
+        F.round(diff + margin * F.col("_w"), 6).alias("ci_upper"),
+        F.lit(f"{int((1 - alpha) * 100)}%").alias("ci_level"),
+    )
 
 
 def conversion_test(
@@ -159,35 +160,49 @@ def conversion_test(
 # ---------------------------------------------------------------- means
 
 
-def welch_columns(prefix: str, alpha: float = 0.05) -> dict[str, Column]:
-    """Welch's t from the columns of ``metric_aggregates``; Cohen's d uses the population deviations."""
+WELCH_FIELDS = (
+    "test_type", "metric", "control_mean", "treatment_mean", "relative_lift", "t_statistic", "df", "p_value",
+    "cohens_d", "effect_size", "significant", "significance_label", "alpha",
+)
+
+
+def add_welch_test(stats: DataFrame, prefix: str, out: str, alpha: float = 0.05) -> DataFrame:
+    """Add Welch's t-test as struct ``out``, from the columns of ``metric_aggregates``.
+
+    Cohen's d uses the population deviations. Statistic, degrees of freedom and p-value are staged as
+    columns so that none is expanded inside the next.
+    """
     g = lambda a, s: F.col(f"{prefix}_{a}_{s}").cast("double")
     mc, mt = g("control", "mean"), g("treatment", "mean")
-    sc, st = (F.try_divide(g(a, "var"), g(a, "n")) for a in ("control", "treatment"))
-    t = F.try_divide(mt - mc, F.sqrt(sc + st))
+    staged = stats.withColumns({f"_e{a[0]}": F.try_divide(g(a, "var"), g(a, "n")) for a in ("control", "treatment")})
+    ec, et = F.col("_ec"), F.col("_et")
     df = F.try_divide(
-        (sc + st) * (sc + st),
-        F.try_divide(sc * sc, g("control", "n") - 1.0) + F.try_divide(st * st, g("treatment", "n") - 1.0),
+        (ec + et) * (ec + et),
+        F.try_divide(ec * ec, g("control", "n") - 1.0) + F.try_divide(et * et, g("treatment", "n") - 1.0),
     )
-    p = t_two_sided(t, df)
     pooled = F.sqrt((g("control", "std") * g("control", "std") + g("treatment", "std") * g("treatment", "std")) / 2.0)
-    d = (mt - mc) / (pooled + 1e-9)
-    flag = F.coalesce(p < alpha, F.lit(False))
-    return {
-        "test_type": F.lit("Welch's t-Test"),
-        "metric": F.lit(prefix),
-        "control_mean": F.round(mc, 4),
-        "treatment_mean": F.round(mt, 4),
-        "relative_lift": F.round(F.try_divide(mt - mc, mc + 1e-9), 4),
-        "t_statistic": F.round(t, 4),
-        "df": F.round(df, 4),
-        "p_value": F.round(p, 6),
-        "cohens_d": F.round(d, 4),
-        "effect_size": F.when(F.abs(d) < 0.2, "small").when(F.abs(d) < 0.5, "medium").when(d.isNotNull(), "large"),
-        "significant": flag,
-        "significance_label": _label(flag),
-        "alpha": F.lit(alpha),
-    }
+    staged = staged.withColumns(
+        {"_t": F.try_divide(mt - mc, F.sqrt(ec + et)), "_v": df, "_d": (mt - mc) / (pooled + 1e-9)}
+    ).withColumn("_p", t_two_sided(F.col("_t"), F.col("_v")))
+    flag = F.coalesce(F.col("_p") < alpha, F.lit(False))
+    size = F.abs("_d")
+    values = (
+        F.lit("Welch's t-Test"),
+        F.lit(prefix),
+        F.round(mc, 4),
+        F.round(mt, 4),
+        F.round(F.try_divide(mt - mc, mc + 1e-9), 4),
+        F.round("_t", 4),
+        F.round("_v", 4),
+        F.round("_p", 6),
+        F.round("_d", 4),
+        F.when(size < 0.2, "small").when(size < 0.5, "medium").when(size.isNotNull(), "large"),
+        flag,
+        _label(flag),
+        F.lit(alpha),
+    )
+    result = F.struct(*[v.alias(n) for n, v in zip(WELCH_FIELDS, values)])
+    return staged.withColumn(out, result).drop("_ec", "_et", "_t", "_v", "_d", "_p")
 
 
 def continuous_test(
@@ -195,7 +210,7 @@ def continuous_test(
 ) -> DataFrame:
     """Welch's t-test of a metric, one row per key."""
     stats = events.groupBy(*keys).agg(*metric_aggregates(value, F.col(value).cast("double")))
-    return stats.select(*keys, *[c.alias(n) for n, c in welch_columns(value, alpha).items()])
+    return add_welch_test(stats, value, "_test", alpha).select(*keys, "_test.*")
 
 
 # ---------------------------------------------------------------- full report
@@ -243,16 +258,14 @@ def experiment_report(
     wide = rows.groupBy(*keys).agg(
         *totals, *metric_aggregates(user, revenue), *metric_aggregates(order, revenue, F.col("converted") == 1)
     )
-    as_struct = lambda cols: F.struct(*[c.alias(n) for n, c in cols.items()])
     enough = (F.col(f"{order}_control_n") > min_converters) & (F.col(f"{order}_treatment_n") > min_converters)
-    tested = wide.select(
-        *keys,
-        "control_n",
-        "treatment_n",
-        as_struct(two_proportion_columns(alpha)).alias("conversion_test"),
-        as_struct(welch_columns(user, alpha)).alias("revenue_test"),
-        F.when(enough, as_struct(welch_columns(order, alpha))).alias("aov_test"),
-        F.when(~enough, "Insufficient converters for AOV test").alias("aov_note"),
+    tested = two_proportion_test(wide, alpha)
+    tested = tested.withColumn("conversion_test", F.struct(*tested.columns[len(wide.columns):]))
+    tested = add_welch_test(add_welch_test(tested, user, "revenue_test", alpha), order, "aov_test", alpha).withColumns(
+        {
+            "aov_test": F.when(enough, F.col("aov_test")),
+            "aov_note": F.when(~enough, "Insufficient converters for AOV test"),
+        }
     )
     monthly = F.col("control_n") / float(days) * 30.0
     lift = F.col("conversion_test.absolute_lift")

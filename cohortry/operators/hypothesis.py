@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,6 +16,9 @@ from pyspark.sql.types import StructType
 from cohortry.functions.tails import chi2_sf, f_sf, t_two_sided
 from cohortry.operators.ordering import first_by_hash
 
+# The grouped function below travels by value: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ONE = "_all"
 
 
@@ -125,14 +130,15 @@ def pearson(df: DataFrame, x: str, y: str, keys: Sequence[str] = (), alpha: floa
     stats = both.groupBy(*keys).agg(
         F.nanvl(F.corr(x, y), F.lit(None).cast("double")).alias("_r"), F.count(F.lit(1)).alias("n")
     )
-    r, free = F.col("_r"), F.col("n") - 2
-    t = F.try_divide(r * F.sqrt(free.cast("double")), F.sqrt(1.0 - r * r))
-    p = F.when((F.abs(r) >= 1) & (free > 0), 0.0).otherwise(t_two_sided(t, free.cast("double")))
+    r, free = F.col("_r"), (F.col("n") - 2).cast("double")
+    t = F.try_divide(r * F.sqrt(free), F.sqrt(1.0 - r * r))
+    stats = stats.withColumn("_v", F.when(free > 0, free)).withColumn("_t", F.when(F.abs(r) < 1, t))
+    p = F.when((F.abs(r) >= 1) & (free > 0), 0.0).otherwise(t_two_sided(F.col("_t"), F.col("_v")))
     flag = F.coalesce(F.col("_p") < alpha, F.lit(False))
     size = F.abs(F.col("_r"))
     strength = F.when(size > 0.7, "strong").when(size > 0.4, "moderate").when(size.isNotNull(), "weak")
     direction = F.when(F.col("_r") > 0, "positive").when(F.col("_r").isNotNull(), "negative")
-    return stats.withColumn("_p", F.when(free > 0, p)).select(
+    return stats.withColumn("_p", p).select(
         *keys,
         F.lit("Pearson Correlation").alias("test"),
         F.lit(f"{x} vs {y}").alias("variables"),

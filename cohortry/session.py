@@ -17,6 +17,8 @@ def build_session(app: str = "cohortry", master: str | None = None, **conf) -> S
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call-site capture costs about a millisecond per expression while plans are built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -120,7 +120,7 @@ def _simpson(upper: str, body: str, steps: int = 2000) -> str:
 
 
 def p_normal(z: str) -> str:
-    return f"(1 - 2 * {_simpson(f'least(abs({z}), 40.0)', 'exp(-0.5 * {y} * {y})')} / sqrt(2 * pi()))"
+    return f"case when {z} is not null then 1 - 2 * {_simpson(f'least(abs({z}), 40.0)', 'exp(-0.5 * {y} * {y})')} / sqrt(2 * pi()) end"
 
 
 def p_normal_upper(z: str) -> str:
