@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.scalars import risk_level
 from cohortry.operators.ordering import exact_medians, hash_thresholds, key_hash, range_pieces
-from cohortry.session import one_row, settle
+from cohortry.session import one_row, scratch_path, settle
 
 CATEGORICAL = ("city", "state", "preferred_category", "payment_method", "tenure_segment")
 HIDDEN_LAYERS = (256, 128, 64, 32)
@@ -122,7 +122,18 @@ def train(df: DataFrame, features: Sequence[str], label: str = "churned", kind:
         VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
         classifier(kind, len(features), label, **params),
     ]
-    return Pipeline(stages=stages).fit(df)
+    return detached(Pipeline(stages=stages).fit(df), df.sparkSession)
+
+
+def detached(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The model written to the shared folder and read back.
+
+    A freshly fitted model drags its training summary, and with it the session, into every scoring task;
+    the stored one holds the parameters only.
+    """
+    path = scratch_path(spark, "model")
+    save_model(model, path)
+    return load_model(path)
 
 
 def score(model: Model, df: DataFrame, out: str = "churn_probability") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.scalars import parse_number, strip_ws
 from cohortry.functions.tokens import TERM
+from cohortry.operators.churn import detached
 from cohortry.operators.sentiment import add_sentiment
 
 NEUTRAL_BELOW = 0.75
@@ -39,7 +40,7 @@ def train_text_model(
         IndexToString(inputCol="_prediction", outputCol="_name", labels=fitted.labelsArray[0]),
     ]
     rows = df.withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
-    return Pipeline(stages=stages).fit(rows)
+    return detached(Pipeline(stages=stages).fit(rows), df.sparkSession)
 
 
 def apply_text_model(
