@@ -88,9 +88,10 @@ def add_sentiment(
         .when(share <= 0.35, verdict("negative", confidence(neg)))
         .otherwise(verdict("neutral", two_places(0.52 + F.abs(share - 0.5) * 0.2)))
     )
-    scored = inside.withColumn("_r", result)
+    # The result passes through a one-element generator: Catalyst does not push later filters on the label
+    # below a generator, where each would expand into a copy of the whole expression.
     keep = [c for c in df.columns if c not in (label_col, score_col)]
-    return scored.select(*keep, F.col("_r.label").alias(label_col), F.col("_r.score").alias(score_col))
+    return inside.select(*keep, F.inline_outer(F.array(result)).alias(label_col, score_col))
 
 
 def confident_label(df: DataFrame, label: str, score: str, threshold: float = 0.75) -> Column:

@@ -50,7 +50,7 @@ def filter_null_keys(spark, d):
 
 
 @query(
-    """select customer_id, name, state, preferred_category, signup_date, tenure_days, monthly_spend_inr, total_orders,
+    """select customer_id, name, state, preferred_category, signup_date, tenure_days, monthly_spend_inr, total_orders::int as total_orders,
          support_tickets, last_login_days_ago, email_open_rate, app_sessions_monthly, churned, true as dq_valid
        from s_customers""",
     "customers clean_customers",
