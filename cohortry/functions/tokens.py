@@ -26,12 +26,15 @@ def terms(text: Column, stop_words: Sequence[str]) -> Column:
     return F.filter(found, lambda w: ~w.isin(list(stop_words)))
 
 
+def phrases(words: Column, max_n: int = 2) -> Column:
+    """2..max_n-grams over a term array *column*; a null word breaks every phrase it would be part of."""
+    grown, out = words, []
+    for n in range(2, max_n + 1):
+        grown = F.zip_with(grown, F.slice(words, n, F.size(words)), lambda left, word: F.concat(left, F.lit(" "), word))
+        out.append(F.filter(grown, lambda p: p.isNotNull()))
+    return F.concat(*out) if out else F.array().cast("array<string>")
+
+
 def ngram_terms(kept: Column, max_n: int = 2) -> Column:
     """1..max_n-grams over a term array *column* (formed after stop-word removal)."""
-    out = [kept]
-    for n in range(2, max_n + 1):
-        starts = F.when(F.size(kept) >= n, F.sequence(F.lit(1), F.size(kept) - (n - 1))).otherwise(
-            F.array().cast("array<int>")
-        )
-        out.append(F.transform(starts, lambda i: F.array_join(F.slice(kept, i, n), " ")))
-    return F.concat(*out)
+    return F.concat(kept, phrases(kept, max_n))

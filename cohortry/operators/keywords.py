@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortry.functions.tokens import ngram_terms, terms
+from cohortry.functions.tokens import ngram_terms, phrases, terms
 from cohortry.operators.lexicons import STOP_WORDS
 from cohortry.session import settle
 
+# Words listed per group when phrases are formed; beyond it a group's phrases are all counted.
+WORD_LIST = 1000
+
 
 def tokenize(df: DataFrame, text_col: str, stop_words: Sequence[str] = STOP_WORDS, max_n: int = 2) -> DataFrame:
     """Add ``terms``: lower-case words without stop words, then their n-grams."""
@@ -28,6 +31,41 @@ def _with_first_flag(grams: Column) -> Column:
     )
 
 
+def _count_terms(df: DataFrame, group: Sequence[str], grams: str) -> DataFrame:
+    """Occurrences and document frequency per term, from one pass over per-document term arrays.
+
+    No (document, term) shuffle: each element carries whether it is the first of its document. Counts are
+    combined per map task, so a frequent term or a large group is no hot key.
+    """
+    return (
+        df.select(*group, F.sort_array(grams).alias("_g"))
+        .select(*group, F.inline_outer(_with_first_flag(F.col("_g"))))
+        .filter(F.col("term").isNotNull())
+        .groupBy(*group, "term")
+        .agg(F.count(F.lit(1)).alias("total"), F.sum("first").alias("df"))
+    )
+
+
+def _most_frequent(counts: DataFrame, group: Sequence[str], k: int) -> DataFrame:
+    """Top ``k`` terms per group; Spark pushes the row-number filter below the exchange as a group limit."""
+    w = Window.partitionBy(*group).orderBy(F.desc("total"), "term")
+    return counts.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
+
+
+def _phrase_words(counts: DataFrame, best: DataFrame, group: list[str], k: int) -> DataFrame:
+    """Per group the words a top-``k`` phrase can be made of, or ``_open`` where they are too many to list.
+
+    A phrase is at most as frequent as each of its words, so a phrase among the ``k`` best has only words
+    that reach the ``k``-th best word's count. Usually that is about ``k`` words, carried as an array; a group
+    with more than ``WORD_LIST`` of them (a flat distribution) is left open and counts all its phrases.
+    """
+    floor = best.groupBy(*group).agg(F.when(F.count(F.lit(1)) >= k, F.min("total")).otherwise(0).alias("_floor"))
+    able = counts.join(floor, group).filter(F.col("total") >= F.col("_floor"))
+    sizes = able.groupBy(*group).agg((F.count(F.lit(1)) > WORD_LIST).alias("_open"))
+    listed = able.join(sizes.filter(~F.col("_open")), group).groupBy(*group).agg(F.collect_list("term").alias("_words"))
+    return sizes.join(listed, group, "left")
+
+
 def vocabulary(
     df: DataFrame,
     group: Sequence[str],
@@ -38,23 +76,24 @@ def vocabulary(
 ) -> DataFrame:
     """Per group the ``max_features`` most frequent terms (ties: term), with document frequency.
 
-    Occurrences and document frequency come from one pass: no (document, term) shuffle. Counts are
-    combined per map task, so a frequent term is no hot key, and the row-number filter is pushed
-    below the exchange as a group limit.
+    Single words are counted first; phrases are then formed from words that can still reach the top, which
+    keeps the bigrams of the whole corpus out of the shuffle. The result is exact.
     """
-    grams = tokenize(df.select(*group, text_col), text_col, stop_words, max_n).select(
-        *group, F.sort_array("terms").alias("_g")
-    )
-    counts = (
-        grams.select(*group, F.inline_outer(_with_first_flag(F.col("_g"))))
-        .filter(F.col("term").isNotNull())
-        .groupBy(*group, "term")
-        .agg(F.count(F.lit(1)).alias("total"), F.sum("first").alias("df"))
-    )
+    group = list(group)
+    words = df.select(*group, terms(F.col(text_col), stop_words).alias("_k"))
     if max_features is None:
-        return counts
-    w = Window.partitionBy(*group).orderBy(F.desc("total"), "term")
-    return counts.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= max_features).drop("_rn")
+        return _count_terms(words.withColumn("_t", ngram_terms(F.col("_k"), max_n)), group, "_t")
+    counts = _count_terms(words, group, "_k")
+    if max_n == 1:
+        return _most_frequent(counts, group, max_features)
+    counts = settle(counts, "word-counts")
+    best = _most_frequent(counts, group, max_features)
+    listed = settle(_phrase_words(counts, best, group, max_features), "phrase-words")
+    masked = words.join(listed, group).withColumn(
+        "_m", F.transform("_k", lambda w: F.when(F.col("_open") | F.array_contains("_words", w), w))
+    )
+    found = _count_terms(masked.withColumn("_t", phrases(F.col("_m"), max_n)), group, "_t")
+    return _most_frequent(best.unionByName(found), group, max_features)
 
 
 def tfidf_keywords(
@@ -68,16 +107,16 @@ def tfidf_keywords(
 ) -> DataFrame:
     """Mean L2-normalised TF-IDF weight per (group, term), ranked within the group.
 
-    The second pass carries each group's vocabulary (at most ``max_features`` entries) to its
-    documents as one array, counts and normalises inside the row, and only shuffles one partial
-    sum per (task, group, term). Every document of the group counts in the mean, also those
-    without any kept term.
+    The last pass carries each group's vocabulary (at most ``max_features`` entries) to its documents as one
+    array, counts and normalises inside the row, and only shuffles one partial sum per (task, group, term).
+    Every document of the group counts in the mean, also those without any kept term.
     """
     group = list(group)
     source = df if group else df.withColumn("_all", F.lit(1))
     key = group or ["_all"]
     sizes = source.groupBy(*key).agg(F.count(F.lit(1)).alias("_docs"))
     idf = F.ln((1.0 + F.col("_docs")) / (1.0 + F.col("df"))) + 1.0
+    in_phrases = F.flatten(F.transform(F.filter("_names", lambda t: t.contains(" ")), lambda t: F.split(t, " ")))
     vocab = (
         vocabulary(source, key, text_col, max_features, stop_words, max_n)
         .join(sizes, key)
@@ -85,16 +124,17 @@ def tfidf_keywords(
         .groupBy(*key, "_docs")
         .agg(F.sort_array(F.collect_list(F.struct("term", "idf"))).alias("_v"))
         .withColumn("_names", F.col("_v.term"))
+        .withColumn("_parts", F.array_distinct(in_phrases))
     )
-    docs = tokenize(source.select(*key, text_col), text_col, stop_words, max_n).select(*key, "terms")
+    docs = source.select(*key, terms(F.col(text_col), stop_words).alias("_k"))
     kept = settle(vocab, "vocabulary")
     if group:
         known = docs.join(kept, key)
     else:
-        known = docs.withColumn("_s", kept.select(F.struct("_docs", "_v", "_names")).scalar()).select("*", "_s.*")
-    known = known.withColumn(
-        "_hits", F.filter("terms", lambda t: F.array_contains(F.col("_names"), t))
-    )
+        known = docs.withColumn("_s", kept.select(F.struct("_docs", "_v", "_names", "_parts")).scalar()).select("*", "_s.*")
+    is_known = lambda t: F.array_contains("_names", t)
+    known = known.withColumn("_m", F.transform("_k", lambda w: F.when(F.array_contains("_parts", w), w)))
+    known = known.withColumn("_hits", F.concat(F.filter("_k", is_known), F.filter(phrases(F.col("_m"), max_n), is_known)))
     weights = F.transform(
         "_v",
         lambda v: F.struct(
