@@ -317,16 +317,16 @@ def multiple_testing_correction(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("p_bonferroni", "p_bh")})
 
 
-@query(
-    f"""with {totals_sql('experiment_name, "timestamp"::date as day').replace('group by experiment_name, "timestamp"::date as day', 'group by experiment_name, "timestamp"::date')},
+MONITOR_SQL = f"""with {totals_sql('experiment_name, "timestamp"::date as day').replace('group by experiment_name, "timestamp"::date as day', 'group by experiment_name, "timestamp"::date')},
          run as (select experiment_name, day, sum(nc) over w as nc, sum(xc) over w as xc, sum(nt) over w as nt, sum(xt) over w as xt,
              sum(nc + nt) over (partition by experiment_name) as total from totals
            window w as (partition by experiment_name order by day)),
          {z_sql('experiment_name', 'run')}, b as (select *, (nc + nt) / total::double as frac from zed)
        select experiment_name, day, nc::bigint as control_n, xc::bigint as control_conversions, nt::bigint as treatment_n, xt::bigint as treatment_conversions, round(z, 4) as z_statistic,
-         round(frac, 6) as information_fraction, round({CRIT} / sqrt(frac), 4) as boundary, coalesce(abs(round(z, 4)) >= round({CRIT} / sqrt(frac), 4), false) as crossed from b""",
-    "events clean_events",
-)
+         round(frac, 6) as information_fraction, round({CRIT} / sqrt(frac), 4) as boundary, coalesce(abs(round(z, 4)) >= round({CRIT} / sqrt(frac), 4), false) as crossed from b"""
+
+
+@query(MONITOR_SQL, "events clean_events")
 def sequential_monitor(spark, d):
     return experiments.sequential_monitor(clean_events(spark, d))
 

@@ -11,8 +11,9 @@ from cohortry.plans import run_insights, run_medallion
 from cohortry.session import scratch_path
 from cohortry.sources import files
 from cohortry.sources.tables import ab_events_view, customers_view, experiment_columns, reviews_view, table
-from cohortry.workload.base import ORACLE, query
+from cohortry.workload.base import query
 from cohortry.workload.cleaning import clean_events, gold, gold_sql, rounded_gold
+from cohortry.workload.experiments import MONITOR_SQL
 
 CSV_SCHEMAS = {
     "customers": """customer_id bigint, name string, state string, preferred_category string, signup_date date, tenure_days int,
@@ -158,7 +159,7 @@ def daily_arm_counts(spark, d):
     return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "experiment_name", "group", "n", "conversions", F.round("cvr", 6).alias("cvr"))
 
 
-@query()
+@query(MONITOR_SQL, "events clean_events")
 def stream_monitor(spark, d):
     """Live sequential monitor from the event stream; equals ``sequential_monitor`` once the input is used up."""
     from cohortry.operators.cleaning import event_columns
@@ -166,7 +167,3 @@ def stream_monitor(spark, d):
     base = scratch_path(spark, "stream-monitor")
     counts = streaming.windowed_arm_counts(event_columns(event_stream(spark, d)))
     return streaming.live_monitor(counts, f"{base}/table", f"{base}/checkpoint")
-
-
-# Once the input is used up the live table equals the batch monitor, so both share one SQL.
-ORACLE["stream_monitor"] = ORACLE["sequential_monitor"]
