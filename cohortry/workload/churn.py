@@ -19,7 +19,8 @@ SPLIT = """split as (select *, row_number() over (partition by churned order by
 @query(
     """select customer_id, cast(dense_rank() over (order by state) - 1 as int) as state, cast(dense_rank() over (order by preferred_category) - 1 as int) as preferred_category,
          cast(dense_rank() over (order by seg) - 1 as int) as tenure_segment from
-         (select *, case when tenure_days <= 365 then 'established' when tenure_days <= 730 then 'loyal' when tenure_days > 730 then 'champion' else 'nan' end as seg from v_customers)""",
+         (select *, case when tenure_days <= 0 then 'nan' when tenure_days <= 90 then 'new' when tenure_days <= 180 then 'growing' when tenure_days <= 365 then 'established'
+             when tenure_days <= 730 then 'loyal' when tenure_days > 730 then 'champion' else 'nan' end as seg from v_customers)""",
     "customers",
 )
 def category_codes(spark, d):

@@ -170,6 +170,11 @@ def review_sample(spark, d):
 
 # ---------------------------------------------------------------- features
 
+def six_places(c: str):
+    """Six decimals for comparison; the shift settles exact ties (sums of cents over 64 rows) and -0.0."""
+    return (F.round(F.col(c) + 1e-10, 6) + 0.0).alias(c)
+
+
 FEATURES_SQL = """f as (
   select customer_id, count(event_id) as total_ab_events, avg(converted) as ab_conversion_rate,
     avg(revenue_inr) as ab_avg_revenue, avg(page_views) as ab_avg_page_views
@@ -177,14 +182,14 @@ FEATURES_SQL = """f as (
 
 
 @query(
-    f"""with {FEATURES_SQL} select customer_id, total_ab_events, round(ab_conversion_rate, 6) as ab_conversion_rate,
-         round(ab_avg_revenue, 6) as ab_avg_revenue, round(ab_avg_page_views, 6) as ab_avg_page_views from f""",
+    f"""with {FEATURES_SQL} select customer_id, total_ab_events, round(ab_conversion_rate + 1e-10, 6) as ab_conversion_rate,
+         round(ab_avg_revenue + 1e-10, 6) as ab_avg_revenue, round(ab_avg_page_views + 1e-10, 6) as ab_avg_page_views from f""",
     "events clean_events",
 )
 def customer_experiment_features(spark, d):
     out = features.experiment_features(clean_events(spark, d))
     return out.select(
-        "customer_id", "total_ab_events", *[F.round(c, 6).alias(c) for c in ("ab_conversion_rate", "ab_avg_revenue", "ab_avg_page_views")]
+        "customer_id", "total_ab_events", *[six_places(c) for c in ("ab_conversion_rate", "ab_avg_revenue", "ab_avg_page_views")]
     )
 
 
@@ -209,11 +214,11 @@ def gold_sql(clip: bool) -> str:
              when tenure_days <= 365 then 'established' when tenure_days <= 730 then 'loyal' when tenure_days > 730 then 'champion' end as tenure_segment,
         churned
       from s_customers c left join f on c.customer_id = f.customer_id)
-    select {", ".join(f"round({c}, 6) as {c}" if c in GOLD_ROUNDED else c for c in GOLD_COLUMNS)} from g"""
+    select {", ".join(f"round({c} + 1e-10, 6) + 0.0 as {c}" if c in GOLD_ROUNDED else c for c in GOLD_COLUMNS)} from g"""
 
 
 def rounded_gold(df):
-    return df.select(*[F.round(c, 6).alias(c) if c in GOLD_ROUNDED else F.col(c) for c in GOLD_COLUMNS])
+    return df.select(*[six_places(c) if c in GOLD_ROUNDED else F.col(c) for c in GOLD_COLUMNS])
 
 
 def gold(spark, d, clip=True):

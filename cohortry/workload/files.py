@@ -72,9 +72,13 @@ def layer_round_trip(spark, d):
 
 @query(gold_sql(True), "events clean_events customers clean_customers")
 def medallion_gold(spark, d):
-    """CSV sources through bronze, silver and gold layers; the gold table read from the catalog."""
+    """CSV sources through bronze, silver and gold layers; the gold table read from the catalog.
+
+    The database serves this run only; dropping it leaves the external table's files, which the result reads.
+    """
     name = f"cohortry_{uuid.uuid4().hex}"
     tables = run_medallion(spark, export_sources(spark, d), scratch_path(spark, "medallion"), CSV_SCHEMAS, database=name)
+    spark.sql(f"DROP DATABASE `{name}` CASCADE")
     return rounded_gold(tables.gold.withColumn("total_orders", F.col("total_orders").cast("bigint")))
 
 
