@@ -27,6 +27,14 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return (df, list(keys)) if keys else (df.withColumn(ONE, F.lit(1)), [ONE])
 
 
+def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the columns of per-key rows; without keys the single row comes as a scalar subquery, not a join."""
+    if keys:
+        return left.join(right, list(keys))
+    added = [c for c in right.columns if c != ONE]
+    return left.withColumn("_s", right.select(F.struct(*added)).scalar()).select(*left.columns, "_s.*")
+
+
 def chi_square(
     df: DataFrame, row: str, col: str, keys: Sequence[str] = (), alpha: float = 0.05, yates: bool = True, n: str | None = None
 ) -> DataFrame:
@@ -52,11 +60,13 @@ def chi_square(
         cells.join(by_row, [*key, "_r"])
         .join(by_col, [*key, "_c"])
         .groupBy(*key)
-        .agg(F.sum("o").alias("total"), F.sum(F.col("o") * F.col("o") / (F.col("rt") * F.col("ct"))).alias("share"),
-             F.max(F.struct("o", "rt", "ct")).alias("cell"))
-        .join(size(by_row, "rt"), key)
-        .join(size(by_col, "ct"), key)
+        .agg(
+            F.sum("o").alias("total"),
+            F.sum(F.col("o") * F.col("o") / (F.col("rt") * F.col("ct"))).alias("share"),
+            F.max(F.struct("o", "rt", "ct")).alias("cell"),
+        )
     )
+    fit = _attach(_attach(fit, size(by_row, "rt"), keys), size(by_col, "ct"), keys)
     dof = (F.col("n_rt") - 1) * (F.col("n_ct") - 1)
     plain = F.greatest(F.col("total") * F.col("share") - F.col("total"), F.lit(0.0))
     gap = F.abs(F.col("cell.o") - F.col("cell.rt") * F.col("cell.ct") / F.col("total"))
@@ -96,7 +106,7 @@ def anova(
     grand = levels.groupBy(*key).agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"))
     off = F.col("mean") - F.col("grand")
     sums = (
-        levels.join(grand, key)
+        _attach(levels, grand, keys)
         .groupBy(*key)
         .agg(
             F.count(F.lit(1)).alias("k"),
