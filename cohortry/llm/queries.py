@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortry.llm import packing, token_counts
+from cohortry.llm import decontamination, packing, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,3 +31,31 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), window=2048, end_id=1)
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), size=10)
+    return decontamination.digest(found)
+
+
+ORACLE["op10_decontamination"] = r"""
+with words as (
+  select kind, id, n, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from (select 'd' as kind, doc_id as id, row_number() over () as n, text from documents
+        union all select 'i', item_id, 0, text from benchmark where item_id is not null)),
+items as (
+  select distinct id as item_id, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as phrase, least(len(w), 10) as size
+  from (select id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from words where kind = 'i' and len(w) > 0)),
+places as (
+  select n, i, size, array_to_string(w[i:i + size - 1], ' ') as phrase
+  from (select n, w, size, unnest(range(1, len(w) - size + 2)) as i from words, (select distinct size from items) where kind = 'd' and len(w) >= size)),
+found as (select distinct n, i, p.size, item_id from places p join items using (phrase, size)),
+hit as (select n, count(distinct k) as n_hit from (select n, unnest(range(i, i + size)) as k from found) group by n),
+listed as (select n, count(*) as n_items, string_agg(cast(item_id as varchar), ',' order by cast(item_id as varchar)) as ids
+           from (select distinct n, item_id from found) group by n)
+select id as doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join hit using (n) left join listed using (n) where kind = 'd'
+"""
