@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortry.llm import decontamination, packing, token_counts
+from cohortry.llm import decontamination, jaccard_join, packing, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,3 +59,27 @@ select id as doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_
   sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from words left join hit using (n) left join listed using (n) where kind = 'd'
 """
+
+
+@query
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, folder, "documents"), threshold=0.8, size=5, tolerance=1e-6)
+
+
+ORACLE["op3_jaccard_join"] = r"""
+with recursive words as (
+  select doc_id, row_number() over () as n, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+nodes as (select md5(array_to_string(w, ' ')) as node, any_value(w) as w, min(doc_id) as id, count(*) as copies from words where len(w) > 0 group by 1),
+grams as (select distinct node, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') as gram
+          from (select node, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from nodes)),
+sizes as (select node, count(*) as size from grams group by node),
+links as (select a, b from (select x.node as a, y.node as b, count(*) as shared from grams x join grams y using (gram) where x.node <> y.node group by 1, 2)
+          join sizes s on s.node = a join sizes t on t.node = b where shared * 5 >= (s.size + t.size - shared) * 4),
+reach as (select id as label, node from nodes union select label, b from reach join links on a = node),
+classes as (select node, min(label) as class_id from reach group by node),
+counts as (select a as node, sum(copies) as links from links join nodes on nodes.node = b group by a)
+select doc_id, coalesce(class_id, doc_id) as class_id, cast(coalesce(links, 0) + coalesce(copies, 1) - 1 as bigint) as n_links, coalesce(copies, 1) as n_copies
+from words left join nodes on nodes.node = md5(array_to_string(words.w, ' ')) and len(words.w) > 0
+left join classes using (node) left join counts using (node)
+"""
