@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortry.llm import decontamination, jaccard_join, packing, token_counts
+from cohortry.llm import decontamination, jaccard_join, langid, packing, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -83,3 +84,20 @@ select doc_id, coalesce(class_id, doc_id) as class_id, cast(coalesce(links, 0) +
 from words left join nodes on nodes.node = md5(array_to_string(words.w, ' ')) and len(words.w) > 0
 left join classes using (node) left join counts using (node)
 """
+
+
+def remainder(divisor: int) -> Column:
+    """crc32 of the document's id as text, modulo ``divisor``."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+def held_out(divisor: int, value: int) -> Column:
+    return F.coalesce(remainder(divisor) == value, F.lit(False)).alias("held_out")
+
+
+@query
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = langid.fit(docs.where(remainder(4) != 2))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", held_out(4, 2), "lang_pred", "score", "languages", "proportions")
