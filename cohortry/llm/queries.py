@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import decontamination, jaccard_join, langid, packing, token_counts
+from cohortry.llm import decontamination, jaccard_join, langid, packing, quality, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +101,10 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = langid.fit(docs.where(remainder(4) != 2))
     found = langid.predict(docs, model)
     return found.select("doc_id", held_out(4, 2), "lang_pred", "score", "languages", "proportions")
+
+
+@query
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs.where(remainder(5) != 0), table(spark, folder, "labels"), "quality")
+    return quality.score(docs, model, threshold=0.3).select("doc_id", held_out(5, 0), "score", "predicted")
