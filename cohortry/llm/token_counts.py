@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cohortry.llm.pretokens import code_point_offsets, encoder
 from cohortry.llm.scan import slices
@@ -16,96 +17,108 @@ PARTS = 64
 #: Documents with counts under way in a task; beyond them partial counts are handed on.
 PENDING = 4_000_000
 
-ENTRY = "hash bigint, part int, block bigint, piece string, docs binary, counts binary, ids array<bigint>, sizes array<bigint>"
-PARTIAL = "block bigint, docs binary, counts binary, ids array<bigint>, sizes array<bigint>"
-
-
-def _binary(values: np.ndarray, edges: np.ndarray) -> pa.Array:
-    """Values between edges as one binary value each."""
-    offsets = (edges * values.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
-
-
-def _strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    lengths = ends - starts
-    edges = np.concatenate([[0], np.cumsum(lengths)])
-    at = np.arange(edges[-1]) + np.repeat(starts - edges[:-1], lengths)
-    return pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(data[at])])
-
-
-def _arrays(rows: int, values: list | None, kind: pa.DataType) -> pa.Array:
-    return pa.nulls(rows, kind) if values is None else pa.array(values, kind)
-
-
-def _entries(path: str, id_column: str, text: str):
-    """For each Arrow batch (a block of documents): an entry for each distinct pre-token, and one with the documents."""
+#: Documents in a block at most, so that a place in it takes two bytes.
+BLOCK = 50_000
+HEADER = 255
+
+ENTRY = "hash bigint, block bigint, data binary"
+PARTIAL = "block bigint, data binary"
+ENTRIES = pa.schema([("hash", pa.int64()), ("block", pa.int64()), ("data", pa.binary())])
+PARTIALS = pa.schema([("block", pa.int64()), ("data", pa.binary())])
+COUNTS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
+
+
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``start, start + 1, ...`` for each start, as many as its length."""
+    edges = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(starts - edges, lengths)
+
+
+def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a string or binary column without nulls."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None else np.zeros(0, np.uint8)
+    return data, offsets
+
+
+def _packed(parts: np.ndarray, text: np.ndarray, lengths: np.ndarray, docs: np.ndarray, times: np.ndarray, postings: np.ndarray) -> pa.Array:
+    """One binary value an entry: its part, the length and bytes of the pre-token, and three bytes for each posting."""
+    sizes = 5 + lengths + 3 * postings
+    starts = np.cumsum(sizes) - sizes
+    out = np.empty(int(sizes.sum()), np.uint8)
+    out[starts] = parts
+    for i in range(4):
+        out[starts + 1 + i] = lengths >> (8 * i) & 255
+    out[spread(starts + 5, lengths)] = text
+    at = np.repeat(starts + 5 + lengths, postings) + 3 * spread(np.zeros(len(postings), np.int64), postings)
+    out[at], out[at + 1], out[at + 2] = docs & 255, docs >> 8, times
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.append(starts, len(out)).astype(np.int32)), pa.py_buffer(out)])
+
+
+def _unpacked(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Pre-tokens, and document, times and entry of each posting."""
+    data, offsets = _buffers(column)
+    starts = offsets[:-1]
+    lengths = sum(data[starts + 1 + i].astype(np.int64) << (8 * i) for i in range(4))
+    postings = (np.diff(offsets) - 5 - lengths) // 3
+    edges = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    pieces = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(data[spread(starts + 5, lengths)])])
+    at = np.repeat(starts + 5 + lengths, postings) + 3 * spread(np.zeros(len(postings), np.int64), postings)
+    return pieces, data[at].astype(np.int64) + (data[at + 1].astype(np.int64) << 8), data[at + 2].astype(np.int64), np.repeat(np.arange(len(starts)), postings)
+
+
+def _entries(path: str):
+    """For each block of documents: an entry for each distinct pre-token, and one with the ids and sizes."""
+
+    def block_entries(enc, batch: pa.RecordBatch, block: int):
+        hashes, docs, counts, kept = [], [], [], []
+        sizes = np.zeros(batch.num_rows, np.int64)
+        for first, data, offsets in slices(batch):
+            sizes[first : first + len(offsets) - 1] = np.diff(offsets)
+            string = data.tobytes().decode()
+            starts, ends, found, owner = enc.split(string, code_point_offsets(data, offsets))
+            distinct, at, inverse = np.unique(found, return_index=True, return_inverse=True)
+            pairs, times = np.unique(inverse * np.int64(len(offsets)) + owner, return_counts=True)
+            # What does not fit into a byte is spread over several postings.
+            more = -(-times // 255)
+            pairs, times = np.repeat(pairs, more), np.minimum(255, np.repeat(times, more) - 255 * spread(np.zeros(len(more), np.int64), more))
+            hashes.append(distinct[pairs // len(offsets)])
+            docs.append(first + pairs % len(offsets))
+            counts.append(times)
+            # Bytes of one occurrence of each: from code points back to bytes.
+            heads = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+            lengths = heads[ends[at]] - heads[starts[at]]
+            kept.append((distinct, lengths, data[spread(heads[starts[at]], lengths)]))
+        ids = batch.column("doc_id").cast(pa.int64())
+        known = np.array(ids.is_valid().to_pylist(), np.uint8)
+        header = bytes([HEADER]) + known.tobytes() + ids.fill_null(0).to_numpy().tobytes() + sizes.tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([block * 2654435761 % (1 << 61)]), pa.array([block]), pa.array([header], pa.binary())], schema=ENTRIES)
+        hashes, docs, counts = (np.concatenate(x) for x in (hashes, docs, counts))
+        order = np.argsort(hashes, kind="stable")
+        hashes, docs, counts = hashes[order], docs[order], counts[order]
+        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+        postings = np.diff(np.append(first, len(hashes)))
+        # One occurrence of each pre-token, out of the slices.
+        _, at = np.unique(np.concatenate([x[0] for x in kept]), return_index=True)
+        lengths = np.concatenate([x[1] for x in kept])
+        begins = (np.cumsum(lengths) - lengths)[at]
+        text, lengths = np.concatenate([x[2] for x in kept]), lengths[at]
+        for a in range(0, len(first), 10_000):
+            own = slice(a, a + 10_000)
+            values = slice(first[a], first[a] + int(postings[own].sum()))
+            part = np.where(postings[own] > FREQUENT, 1 + block % PARTS, 0)
+            packed = _packed(part, text[spread(begins[own], lengths[own])], lengths[own], docs[values], counts[values], postings[own])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[first[own]].view(np.int64)), pa.array(np.full(len(part), block)), packed], schema=ENTRIES)
 
     def run(batches):
         enc = encoder(path)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            hashes, docs, counts, kept = [], [], [], []
-            sizes = np.zeros(batch.num_rows, np.int64)
-            for first, data, offsets in slices(batch, text):
-                sizes[first : first + len(offsets) - 1] = np.diff(offsets)
-                string = data.tobytes().decode()
-                starts, ends, found, owner = enc.split(string, code_point_offsets(data, offsets))
-                distinct, at, inverse = np.unique(found, return_index=True, return_inverse=True)
-                pairs, times = np.unique(inverse * np.int64(len(offsets)) + owner, return_counts=True)
-                hashes.append(distinct[pairs // len(offsets)])
-                docs.append((first + pairs % len(offsets)).astype(np.uint32))
-                counts.append(times.astype(np.uint32))
-                # Bytes of one occurrence of each: from code points back to bytes.
-                heads = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-                kept.append((distinct, _strings(data, heads[starts[at]], heads[ends[at]])))
-            header = {"hash": [block * 2654435761 % (1 << 61)], "part": [0], "block": [block], "ids": [batch.column(id_column).to_pylist()], "sizes": [sizes.tolist()]}
-            yield pa.RecordBatch.from_arrays([_arrays(1, header.get(f.name), f.type) for f in schema], schema=schema)
-            if hashes:
-                hashes, docs, counts = map(np.concatenate, (hashes, docs, counts))
-                order = np.argsort(hashes, kind="stable")
-                hashes, docs, counts = hashes[order], docs[order], counts[order]
-                edges = np.append(np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])), len(hashes)) if len(hashes) else np.zeros(1, np.int64)
-                pieces = pa.concat_arrays([x[1] for x in kept])
-                _, at = np.unique(np.concatenate([x[0] for x in kept]), return_index=True)
-                pieces = pieces.take(pa.array(at))
-                for a in range(0, len(edges) - 1, 10_000):
-                    own = edges[a : a + 10_001]
-                    n = len(own) - 1
-                    values = slice(own[0], own[-1])
-                    part = np.where(np.diff(own) > FREQUENT, 1 + (block >> 32) % PARTS, 0).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(hashes[own[:-1]].view(np.int64)),
-                            pa.array(part),
-                            pa.array(np.full(n, block)),
-                            pieces.slice(a, n),
-                            _binary(docs[values], own - own[0]),
-                            _binary(counts[values], own - own[0]),
-                            pa.nulls(n, pa.list_(pa.int64())),
-                            pa.nulls(n, pa.list_(pa.int64())),
-                        ],
-                        schema=schema,
-                    )
-            block += 1
-
-    schema = pa.schema(
-        [("hash", pa.int64()), ("part", pa.int32()), ("block", pa.int64()), ("piece", pa.string()), ("docs", pa.binary()), ("counts", pa.binary()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64()))]
-    )
-    return run
-
+            for a in range(0, batch.num_rows, BLOCK):
+                yield from block_entries(enc, batch.slice(a, BLOCK), block)
+                block += 1
 
-def _values(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
-    """All values of a binary column and how many each row has; a null has none."""
-    column = column.fill_null(b"")
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    data = column.buffers()[2]
-    if data is None or not len(offsets):
-        return np.zeros(0, kind), np.zeros(len(column), np.int64)
-    size = np.dtype(kind).itemsize
-    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(kind), np.diff(offsets) // size
-
-
-PARTIALS = pa.schema([("block", pa.int64()), ("docs", pa.binary()), ("counts", pa.binary()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64()))])
+    return run
 
 
 def _sums(path: str):
@@ -114,32 +127,30 @@ def _sums(path: str):
     def flush(pending: dict):
         for block, totals in pending.items():
             docs = np.flatnonzero(totals)
-            yield pa.RecordBatch.from_pydict(
-                {"block": [block], "docs": [docs.astype(np.uint32).tobytes()], "counts": [totals[docs].tobytes()], "ids": [None], "sizes": [None]}, schema=PARTIALS
-            )
+            data = bytes([0]) + docs.astype(np.uint16).tobytes() + totals[docs].tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([data], pa.binary())], schema=PARTIALS)
 
     def run(batches):
         enc = encoder(path)
         pending: dict[int, np.ndarray] = {}
         held, last, pieces = 0, None, 0
         for batch in batches:
-            headers = batch.filter(batch.column("ids").is_valid())
-            if headers.num_rows:
-                yield headers.select(["block", "docs", "counts", "ids", "sizes"]).cast(PARTIALS)
-                batch = batch.filter(batch.column("ids").is_null())
+            data, offsets = _buffers(batch.column("data"))
+            headers = data[offsets[:-1]] == HEADER
+            if headers.any():
+                yield batch.filter(pa.array(headers)).select(["block", "data"]).cast(PARTIALS)
+                batch = batch.filter(pa.array(~headers))
             if not batch.num_rows:
                 continue
             hashes = batch.column("hash").to_numpy()
             new = np.concatenate([[hashes[0] != last], hashes[1:] != hashes[:-1]])
-            made = np.fromiter(map(len, enc.encode_pieces(batch.column("piece").filter(pa.array(new)).to_pylist())), np.int64, int(new.sum()))
-            per_row = np.concatenate([[pieces], made])[np.cumsum(new)]
-            last, pieces = hashes[-1], int(per_row[-1])
-            docs, lengths = _values(batch.column("docs"), np.uint32)
-            counts, _ = _values(batch.column("counts"), np.uint32)
-            blocks = batch.column("block").to_numpy()
-            names, which = np.unique(blocks, return_inverse=True)
-            which = np.repeat(which, lengths)
-            amounts = counts * np.repeat(per_row, lengths)
+            texts, docs, times, entry = _unpacked(batch.column("data"))
+            made = np.fromiter(map(len, enc.encode_pieces(texts.filter(pa.array(new)).to_pylist())), np.int64, int(new.sum()))
+            per_entry = np.concatenate([[pieces], made])[np.cumsum(new)]
+            last, pieces = hashes[-1], int(per_entry[-1])
+            amounts = times * per_entry[entry]
+            names, which = np.unique(batch.column("block").to_numpy(), return_inverse=True)
+            which = which[entry]
             order = np.argsort(which, kind="stable")
             edges = np.searchsorted(which[order], np.arange(len(names) + 1))
             for i, block in enumerate(names.tolist()):
@@ -159,35 +170,32 @@ def _sums(path: str):
     return run
 
 
-def _totals(limit: int, id_type: str):
-    """Rows sorted by block: the documents of one block and their partial counts."""
+def _totals(limit: int):
+    """Rows sorted by block: the ids and sizes of one block's documents, and their partial counts."""
 
-    def done(ids, sizes, totals):
-        n = len(ids)
-        counts = np.concatenate([totals, np.zeros(max(0, n - len(totals)), np.int64)])[:n]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(counts), pa.array(counts > limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"]
-        )
+    def done(header: bytes, totals: np.ndarray) -> pa.RecordBatch:
+        n = (len(header) - 1) // 17
+        known = np.frombuffer(header, np.uint8, n, 1).astype(bool)
+        ids, sizes = (np.frombuffer(header, np.int64, n, 1 + n + i * 8 * n) for i in range(2))
+        counts = totals[:n]
+        return pa.RecordBatch.from_arrays([pa.array(ids, mask=~known), pa.array(sizes), pa.array(counts), pa.array(counts > limit)], schema=COUNTS)
 
     def run(batches):
-        block, ids, sizes, totals = None, [], [], np.zeros(0, np.int64)
+        block, header, totals = None, b"", np.zeros(BLOCK, np.int64)
         for batch in batches:
-            columns = [batch.column(c) for c in ("block", "docs", "counts", "ids", "sizes")]
-            for i in range(batch.num_rows):
-                own = columns[0][i].as_py()
+            for own, value in zip(batch.column("block").to_pylist(), batch.column("data"), strict=True):
                 if own != block:
                     if block is not None:
-                        yield done(ids, sizes, totals)
-                    block, ids, sizes, totals = own, [], [], np.zeros(0, np.int64)
-                if columns[3][i].is_valid:
-                    ids, sizes = columns[3][i].as_py(), columns[4][i].as_py()
+                        yield done(header, totals)
+                    block, totals = own, np.zeros(BLOCK, np.int64)
+                data = value.as_buffer().to_pybytes()
+                if data[0] == HEADER:
+                    header = data
                 else:
-                    docs = np.frombuffer(columns[1][i].as_buffer(), np.uint32).astype(np.int64)
-                    if len(docs) and docs[-1] >= len(totals):
-                        totals = np.concatenate([totals, np.zeros(docs[-1] + 1 - len(totals), np.int64)])
-                    totals[docs] += np.frombuffer(columns[2][i].as_buffer(), np.int64)
+                    n = (len(data) - 1) // 10
+                    totals[np.frombuffer(data, np.uint16, n, 1)] += np.frombuffer(data, np.int64, n, 1 + 2 * n)
         if block is not None:
-            yield done(ids, sizes, totals)
+            yield done(header, totals)
 
     return run
 
@@ -204,8 +212,8 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, id_column:
     Null and empty texts have 0 bytes and tokens; a null id stays null; repeated rows and ids give a row each; an empty
     table gives no row. Other columns are ignored. Integer ids.
     """
-    rows = docs.select(id_column, text)
-    entries = rows.mapInArrow(_entries(tokenizer, id_column, text), ENTRY)
-    partial = entries.repartition("hash", "part").sortWithinPartitions("hash").mapInArrow(_sums(tokenizer), PARTIAL)
-    whole = partial.repartition("block").sortWithinPartitions("block")
-    return whole.mapInArrow(_totals(limit, "bigint"), "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    entries = rows.mapInArrow(_entries(tokenizer), ENTRY)
+    dealt = entries.repartition("hash", F.substring("data", 1, 1)).sortWithinPartitions("hash")
+    partial = dealt.mapInArrow(_sums(tokenizer), PARTIAL).repartition("block").sortWithinPartitions("block")
+    return partial.mapInArrow(_totals(limit), "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")
