@@ -23,8 +23,8 @@ from cohortry.session import settle
 INSULTS = "idiot stupid moron trash scum loser pathetic worthless disgusting clown dumb ugly fool jerk filth vermin imbecile".split()
 PREFIXES = (3, 4, 5, 6, 7, 8, 9)
 #: Evidence (nats) and precision that a mined term needs for each tier.
-TIERS = ((18.0, 0.9), (12.0, 0.75), (7.0, 0.5))
-VOTERS = ["insults", *(f"{kind}{tier}{part}" for kind in ("words", "starts") for tier in ("strong", "medium", "weak") for part in "ab"), "shouting", "exclaiming", "repeating", "several", "dense", "silent"]
+TIERS = ((18.0, 0.95), (18.0, 0.8), (11.0, 0.6))
+VOTERS = ["insults", *(f"{kind}{tier}{part}" for kind in ("words", "starts") for tier in ("strong", "medium", "weak") for part in "ab"), "shouting", "exclaiming", "repeating", "several", "dense", "sparse", "silent"]
 LEXICAL = VOTERS.index("shouting")
 MOST_TERMS = 4096
 SLICE = 1 << 19
@@ -95,7 +95,7 @@ def votes(lexicon: Lexicon, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
     cast = np.zeros((n, len(VOTERS)), bool)
     cast[text, lexicon.voters[term] if len(term) else term] = True
     looks, size = patterns(data, offsets)
-    cast[:, LEXICAL:] = np.stack([*looks, often >= 3, often > 0.01 * size, ~cast[:, :LEXICAL].any(axis=1)], axis=1)
+    cast[:, LEXICAL:] = np.stack([*looks, often >= 3, often > 0.01 * size, often < 0.003 * size, often == 0], axis=1)
     return cast, text, term
 
 
@@ -218,28 +218,32 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(value, -50, 50)))
 
 
-def _train(features: list[np.ndarray], targets: np.ndarray, size: int, ridge: float = 1e-4, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Logistic regression on sparse binary features with soft targets, by accelerated gradient steps."""
-    rows = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    columns = np.concatenate(features) if features else np.zeros(0, np.int64)
-    n, most = max(len(features), 1), max((len(f) for f in features), default=0) + 1
-    weights, constant = np.zeros(size), 0.0
-    ahead, ahead_constant, momentum = weights, constant, 1.0
-    step = 4.0 * n / (n * most)
+def _train(features: list[np.ndarray], targets: np.ndarray, counts: np.ndarray, size: int, ridge: float = 1e-5, rounds: int = 600) -> tuple[np.ndarray, float]:
+    """Logistic regression on sparse binary features with soft targets, by accelerated gradient steps.
+
+    A step is scaled for each feature by its bound on the curvature, so that rare features are learned as fast.
+    """
+    rows = np.repeat(np.arange(len(features)), [len(f) + 1 for f in features])
+    columns = np.concatenate([np.append(f, size) for f in features]) if features else np.zeros(0, np.int64)
+    share = counts / max(counts.sum(), 1)
+    most = max((len(f) + 1 for f in features), default=1)
+    bound = np.bincount(columns, weights=share[rows], minlength=size + 1) * most / 4 + ridge
+    penalty = np.append(np.full(size, ridge), 0)
+    weights = ahead = np.zeros(size + 1)
+    momentum = 1.0
     for _ in range(rounds):
-        value = ahead_constant + np.bincount(rows, weights=ahead[columns], minlength=len(features))
-        error = (1 / (1 + np.exp(-np.clip(value, -50, 50))) - targets) / n
-        gradient = np.bincount(columns, weights=error[rows], minlength=size) + ridge * ahead
-        new, new_constant = ahead - step * gradient, ahead_constant - step * error.sum()
+        value = np.bincount(rows, weights=ahead[columns], minlength=len(features))
+        error = (1 / (1 + np.exp(-np.clip(value, -50, 50))) - targets) * share
+        new = ahead - (np.bincount(columns, weights=error[rows], minlength=size + 1) + penalty * ahead) / bound
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        ahead, ahead_constant = new + (momentum - 1) / following * (new - weights), new_constant + (momentum - 1) / following * (new_constant - constant)
-        weights, constant, momentum = new, new_constant, following
-    return weights, float(constant)
+        ahead = new + (momentum - 1) / following * (new - weights)
+        weights, momentum = new, following
+    return weights[:-1], float(weights[-1])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, most: int = 8192, trained: int = 8192) -> ToxicityModel:
     """The voters from at most ``most`` labelled rows of ``docs`` (``doc_id text``), the label model from the votes on all
-    of ``docs``, and the classifier from at most ``trained`` of them, half with and half without a vote if there are."""
+    of ``docs``, and the classifier from at most ``trained`` distinct sets of votes and terms, each weighed by how many documents have it."""
     sample = settle(_labelled(docs, labels, label, most), "labelled")
     lexicon, share = mine(sample.where("_mined"))
 
@@ -259,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, most: int = 8192, traine
                 found = [np.unique(term[order[a:b]]).tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(cast @ (1 << np.arange(len(VOTERS)))), pa.array(found, pa.list_(pa.int64()))], names=["pattern", "terms"])
 
-    # Voters cannot make more than 2 ** 19 patterns, and hardly ever make a thousand. Labelled documents that no term was
+    # Voters cannot make more than 2 ** 20 patterns, and hardly ever make a thousand. Labelled documents that no term was
     # mined from show the voters' rates as they are on new documents.
     def counted(rows: DataFrame) -> DataFrame:
         return rows.select("text").mapInArrow(patterns_of, "pattern bigint, count bigint").groupBy("pattern").agg(F.sum("count").alias("count"))
@@ -271,17 +275,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, most: int = 8192, traine
     counts = np.zeros((len(codes), 3))
     counts[at, np.array([r[1] for r in rows], np.int64)] = [r[2] for r in rows]
     model = fit_label_model((codes[:, None] >> np.arange(len(VOTERS)) & 1).astype(bool), counts[:, 0], share, counts[:, 1:])
-    # The classifier's documents: the first by hash of those with and of those without a lexical vote.
+    # What the classifier sees: the first by hash of the vote sets with and of those without a lexical vote.
     cast = docs.select("text").mapInArrow(hits_of, "pattern bigint, terms array<bigint>")
     order = F.xxhash64("pattern", "terms")
     lexical = F.size("terms") > 0
     chosen = cast.where(lexical).groupBy("pattern", "terms").agg(F.count("*").alias("n")).orderBy(order).limit(trained // 2)
     plain = cast.where(~lexical).groupBy("pattern", "terms").agg(F.count("*").alias("n")).orderBy(order).limit(trained // 2)
-    rows = sorted((r["pattern"], tuple(r["terms"])) for r in chosen.unionByName(plain).collect())
-    features = [np.array([*(i for i in range(len(VOTERS)) if code >> i & 1), *(len(VOTERS) + t for t in found)], np.int64) for code, found in rows]
+    rows = sorted((r["pattern"], tuple(r["terms"]), r["n"]) for r in chosen.unionByName(plain).collect())
+    features = [np.array([*(i for i in range(len(VOTERS)) if code >> i & 1), *(len(VOTERS) + t for t in found)], np.int64) for code, found, _ in rows]
     codes = np.array([r[0] for r in rows], np.int64)
     targets = model.posterior((codes[:, None] >> np.arange(len(VOTERS)) & 1).astype(float)) if len(rows) else np.zeros(0)
-    weights, constant = _train(features, targets, len(VOTERS) + len(lexicon.hashes))
+    weights, constant = _train(features, targets, np.array([r[2] for r in rows], float), len(VOTERS) + len(lexicon.hashes))
     return ToxicityModel(lexicon, model, weights, constant)
 
 
