@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import decontamination, jaccard_join, langid, packing, quality, token_counts, toxicity
+from cohortry.llm import decontamination, html_text, jaccard_join, langid, packing, quality, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +115,8 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.fit(docs.where(remainder(4) != 2), table(spark, folder, "labels"), "toxic")
     return toxicity.score(docs, model, threshold=0.3).select("doc_id", held_out(4, 2), "score", "predicted", "votes")
+
+
+@query
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
