@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import decontamination, html_text, jaccard_join, langid, packing, quality, token_counts, toxicity
+from cohortry.llm import decontamination, html_text, jaccard_join, langid, nearest, packing, quality, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -120,3 +120,9 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
+
+
+@query
+def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return nearest.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
