@@ -29,6 +29,8 @@ LOOK = 16
 #: Nodes in a block; two blocks and their sets are in memory at once.
 BLOCK = 2048
 TILE = 256
+#: Bits of the bitmap of candidates' ids (eight megabytes).
+MARKS = 1 << 26
 
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _FACTORS = (_SEEDS >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -111,6 +113,28 @@ def _sets(size: int):
     return run
 
 
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` whose ``doc_id`` may be among ``ids``: a bitmap of hashed ids, of fixed size, spares the join most texts.
+
+    It lets through every id that is there and few others; as ids fill the bitmap it lets through more of them.
+    """
+    bit = F.pmod(F.xxhash64(F.col("id")), F.lit(MARKS))
+    parts = ids.select((bit + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    marks = np.zeros(MARKS // 8, np.uint8)
+    # At most MARKS / 32,768 rows of 4,096 bytes; buckets and positions count from value 1.
+    for bucket, bits in parts.collect():
+        first = (bucket - 1) * 4096
+        marks[first : first + len(bits)] = np.frombuffer(bits, np.uint8)[: len(marks) - first]
+
+    def run(batches):
+        for batch in batches:
+            at = batch.column("bit").to_numpy()
+            yield batch.filter(pa.array(marks[at >> 3] >> (at & 7) & 1 == 1)).drop_columns(["bit"])
+
+    hashed = rows.where("doc_id is not null").withColumn("bit", F.pmod(F.xxhash64(F.col("doc_id")), F.lit(MARKS)))
+    return hashed.mapInArrow(run, "doc_id bigint, text string")
+
+
 def fewest_matches(threshold: float, tolerance: float) -> dict[int, int]:
     """For each number of values compared, the fewest matches at which a pair is still pursued.
 
@@ -282,7 +306,9 @@ def jaccard_join(
     sizes = grouped.groupBy("label").agg(F.count("*").alias("members"))
     chosen = grouped.join(sizes, "label").join(nodes, "node").select("node", "id", "copies", "label", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
     chosen = settle(chosen, "candidates")
-    texts = rows.join(chosen, rows.doc_id == chosen.id).select("node", "copies", "label", "blocks", "text")
+    wanted = _marked(rows, chosen.select("id"))
+    # One plan at every size: a table that is small now is shuffled as it will be.
+    texts = wanted.join(chosen.hint("merge"), wanted.doc_id == chosen.id).select("node", "copies", "label", "blocks", "text")
     sets = texts.mapInArrow(_sets(size), "node bigint, copies bigint, label bigint, blocks int, signature binary, shingles binary")
     # Small components are verified together; a large one is dealt out as pairs of its blocks.
     bins = max(1, chosen.count() // block)
