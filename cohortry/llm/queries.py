@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import decontamination, html_text, jaccard_join, langid, nearest, packing, quality, token_counts, toxicity
+from cohortry.llm import decontamination, html_text, jaccard_join, langid, nearest, packing, pseudo_likelihood, quality, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -126,3 +126,9 @@ def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
 def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return nearest.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@query
+def op6_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pseudo_likelihood.score(docs, pseudo_likelihood.fit(docs))
