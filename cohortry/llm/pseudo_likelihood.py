@@ -94,7 +94,7 @@ def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
 
 def neighbours(numbers: np.ndarray, owner: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Numbers of the words around each place (places x 2 * REACH); ``WORDS`` beyond the text."""
-    out = np.full((len(places), 2 * REACH), WORDS, np.int64)
+    out = np.full((len(places), 2 * REACH), WORDS, np.int32)
     for i, step in enumerate((*range(-REACH, 0), *range(1, REACH + 1))):
         at = places + step
         inside = (at >= 0) & (at < len(numbers))
@@ -103,29 +103,51 @@ def neighbours(numbers: np.ndarray, owner: np.ndarray, places: np.ndarray) -> np
     return out
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+#: Hidden values are within -1 and 1, so with weights of trained size no sum comes near what a float can hold.
+_ONES = np.ones(CLASSES, np.float32)
+
+
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of the logits and their sum in each row."""
+    np.minimum(logits, 60, out=logits)
+    raised = np.exp(logits)
+    return raised, raised @ _ONES
 
 
 def forward(weights: dict[str, np.ndarray], around: np.ndarray) -> np.ndarray:
-    total = np.broadcast_to(weights["hidden"], (len(around), WIDTH)).copy()
-    for i in range(2 * REACH):
-        total += weights["embedding"][i][around[:, i]]
-    return np.tanh(total)
+    total = np.take(weights["embedding"][0], around[:, 0], axis=0, mode="clip")
+    part = np.empty_like(total)
+    for i in range(1, 2 * REACH):
+        total += np.take(weights["embedding"][i], around[:, i], axis=0, mode="clip", out=part)
+    total += weights["hidden"]
+    return np.tanh(total, out=total)
+
+
+def by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the targets by class, and where each class begins in it."""
+    kind = (target // CLASSES).astype(np.uint8)
+    order = np.argsort(kind, kind="stable")
+    return order, np.searchsorted(kind[order], np.arange(CLASSES + 1))
 
 
 def log_probabilities(weights: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log probability of each target given its neighbours."""
-    hidden = forward(weights, around)
-    kind, member = target // CLASSES, target % CLASSES
-    out = _log_softmax(hidden @ weights["classes"].T + weights["class_bias"])[np.arange(len(target)), kind].astype(np.float64)
-    order = np.argsort(kind, kind="stable")
-    edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+    order, edges = by_class(target)
+    # All work is done in the order of the classes, whose members then lie side by side.
+    hidden, target = forward(weights, around[order]), target[order]
+    logits = hidden @ weights["classes"].T + weights["class_bias"]
+    _, total = _exponentials(logits)
+    rows = np.arange(len(target))
+    value = logits[rows, target // CLASSES].astype(np.float64) - np.log(total)
     for c in range(CLASSES):
-        own = order[edges[c] : edges[c + 1]]
-        if len(own):
-            out[own] += _log_softmax(hidden[own] @ weights["members"][c].T + weights["member_bias"][c])[np.arange(len(own)), member[own]]
+        a, b = edges[c], edges[c + 1]
+        if a < b:
+            np.matmul(hidden[a:b], weights["members"][c].T, out=logits[a:b])
+            logits[a:b] += weights["member_bias"][c]
+    _, total = _exponentials(logits)
+    value += logits[rows, target % CLASSES] - np.log(total)
+    out = np.empty(len(target))
+    out[order] = value
     return out
 
 
@@ -144,23 +166,28 @@ class Trainer:
 
     def step(self, around: np.ndarray, target: np.ndarray) -> None:
         w, n = self.weights, len(target)
-        hidden = forward(w, around)
-        kind, member = target // CLASSES, target % CLASSES
-        error = np.exp(_log_softmax(hidden @ w["classes"].T + w["class_bias"]))
-        error[np.arange(n), kind] -= 1
+        order, edges = by_class(target)
+        around, target = around[order], target[order]
+        hidden, rows = forward(w, around), np.arange(n)
+        raised, total = _exponentials(hidden @ w["classes"].T + w["class_bias"])
+        error = raised / total[:, None]
+        error[rows, target // CLASSES] -= 1
         error /= n
         back = error @ w["classes"]
-        order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        logits = np.empty_like(error)
+        for c in range(CLASSES):
+            a, b = edges[c], edges[c + 1]
+            logits[a:b] = hidden[a:b] @ w["members"][c].T + w["member_bias"][c]
+        raised, total = _exponentials(logits)
+        wrong = raised / total[:, None]
+        wrong[rows, target % CLASSES] -= 1
+        wrong /= n
         members, biases = np.zeros(SHAPES["members"], np.float32), np.zeros(SHAPES["member_bias"], np.float32)
         for c in range(CLASSES):
-            own = order[edges[c] : edges[c + 1]]
-            if len(own):
-                wrong = np.exp(_log_softmax(hidden[own] @ w["members"][c].T + w["member_bias"][c]))
-                wrong[np.arange(len(own)), member[own]] -= 1
-                wrong /= n
-                members[c], biases[c] = wrong.T @ hidden[own], wrong.sum(axis=0)
-                back[own] += wrong @ w["members"][c]
+            a, b = edges[c], edges[c + 1]
+            if a < b:
+                members[c], biases[c] = wrong[a:b].T @ hidden[a:b], wrong[a:b].sum(axis=0)
+                back[a:b] += wrong[a:b] @ w["members"][c]
         back *= 1 - hidden**2
         self._move("classes", error.T @ hidden)
         self._move("class_bias", error.sum(axis=0))
@@ -268,8 +295,8 @@ def score(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text
                 hashes, owner, _, _ = words(data, offsets)
                 numbers = model.vocabulary.encode(hashes)
                 values = np.zeros(len(numbers))
-                for a in range(0, len(numbers), 2 * BATCH):
-                    places = np.arange(a, min(a + 2 * BATCH, len(numbers)))
+                for a in range(0, len(numbers), BATCH):
+                    places = np.arange(a, min(a + BATCH, len(numbers)))
                     values[places] = log_probabilities(weights, neighbours(numbers, owner, places), numbers[places])
                 count = np.bincount(owner, minlength=n)
                 total = np.bincount(owner, weights=values, minlength=n)
