@@ -113,10 +113,12 @@ def _sets(size: int):
     return run
 
 
-def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """``rows`` whose ``doc_id`` may be among ``ids``: a bitmap of hashed ids, of fixed size, spares the join most texts.
+def marked(rows: DataFrame, ids: DataFrame, among: bool = True) -> DataFrame:
+    """``rows`` whose ``doc_id`` may be among ``ids`` (``id``), or the others: a bitmap of hashed ids, of fixed size,
+    spares a join most texts.
 
-    It lets through every id that is there and few others; as ids fill the bitmap it lets through more of them.
+    It lets through every id that is there and few others; as ids fill the bitmap it lets through more of them. A null
+    ``doc_id`` is never among them.
     """
     bit = F.pmod(F.xxhash64(F.col("id")), F.lit(MARKS))
     parts = ids.select((bit + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
@@ -128,11 +130,26 @@ def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            at = batch.column("bit").to_numpy()
-            yield batch.filter(pa.array(marks[at >> 3] >> (at & 7) & 1 == 1)).drop_columns(["bit"])
+            at = batch.column("_bit").to_numpy()
+            found = (at >= 0) & (marks[at >> 3] >> (at & 7) & 1 == 1)
+            yield batch.filter(pa.array(found == among)).drop_columns(["_bit"])
 
-    hashed = rows.where("doc_id is not null").withColumn("bit", F.pmod(F.xxhash64(F.col("doc_id")), F.lit(MARKS)))
-    return hashed.mapInArrow(run, "doc_id bigint, text string")
+    hashed = rows.withColumn("_bit", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(MARKS))).cast("bigint"))
+    return hashed.mapInArrow(run, rows.schema)
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, once: DataFrame | None = None) -> DataFrame:
+    """``docs`` without those whose ``doc_id`` is in ``ids`` (``id``), and with one row each of the ids in ``once``.
+
+    Only documents that the bitmap of these ids marks are shuffled; all others pass as they are read.
+    """
+    named = settle(ids.select("id").distinct(), "dropped")
+    repeated = settle(once.select("id").distinct(), "repeated") if once is not None else named.where("false")
+    touched = named.unionByName(repeated)
+    maybe = marked(docs, touched).join(named.hint("merge"), F.col("doc_id") == F.col("id"), "left_anti")
+    single = maybe.join(repeated.select(F.col("id").alias("_id")).hint("merge"), F.col("doc_id") == F.col("_id"), "left")
+    single = single.where("_id is null").drop("_id").unionByName(single.where("_id is not null").drop("_id").dropDuplicates(["doc_id"])) if once is not None else maybe
+    return marked(docs, touched, among=False).unionByName(single)
 
 
 def fewest_matches(threshold: float, tolerance: float) -> dict[int, int]:
@@ -306,7 +323,7 @@ def jaccard_join(
     sizes = grouped.groupBy("label").agg(F.count("*").alias("members"))
     chosen = grouped.join(sizes, "label").join(nodes, "node").select("node", "id", "copies", "label", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
     chosen = settle(chosen, "candidates")
-    wanted = _marked(rows, chosen.select("id"))
+    wanted = marked(rows, chosen.select("id"))
     # One plan at every size: a table that is small now is shuffled as it will be.
     texts = wanted.join(chosen.hint("merge"), wanted.doc_id == chosen.id).select("node", "copies", "label", "blocks", "text")
     sets = texts.mapInArrow(_sets(size), "node bigint, copies bigint, label bigint, blocks int, signature binary, shingles binary")

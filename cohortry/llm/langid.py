@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.scan import slices
+from cohortry.llm.scan import kept_columns, kept_types, slices, with_kept
 
 BUCKETS = 8192
 #: A table of more languages than this is refused; the model, which every task gets, has a row of BUCKETS for each.
@@ -143,7 +143,8 @@ def proportions(mixtures: Mixtures, languages: int, rounds: int, penalty: float,
 
 
 def predict(
-    docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text: str = "text", rounds: int = 15, penalty: float = 3.0, least: float = 0.005
+    docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text: str = "text", rounds: int = 15, penalty: float = 3.0, least: float = 0.005,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """``doc_id lang_pred score languages proportions`` of each row of ``docs``.
 
@@ -151,12 +152,13 @@ def predict(
     them (ties: the first in the alphabet) and ``score`` its proportion. ``penalty`` is for each language beyond the first, times the logarithm of the number
     of trigrams. Null texts and texts without a letter are ``und`` with score 0 and no languages, and so is every text if
     the model has none. A text too short for a trigram gets the languages' common rank: the first language in the alphabet,
-    with equal proportions as score. Repeated rows give a row each; other columns are ignored.
+    with equal proportions as score. Repeated rows give a row each; of the
+    other columns those of ``keep`` are handed on, after the operator's own.
     """
     count = len(model.languages)
     names = np.array(model.languages, object)
     schema = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("languages", pa.list_(pa.string())), ("proportions", pa.list_(pa.float64()))])
-    kept = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
+    kept = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"), *kept_columns(docs, keep))
     kind = kept.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -184,6 +186,8 @@ def predict(
                     pa.ListArray.from_arrays(edges, pa.array(names[order[inside]] if count else [], pa.string())),
                     pa.ListArray.from_arrays(edges, pa.array(ranked[inside], pa.float64())),
                 ]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, n), *made], names=["doc_id", *schema.names])
+                others = batch.select(range(2, batch.num_columns)).slice(first, n)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, n), *made, *others.columns], names=["doc_id", *schema.names, *others.schema.names])
 
-    return kept.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, languages array<string>, proportions array<double>")
+    made = f"doc_id {kind}, lang_pred string, score double, languages array<string>, proportions array<double>"
+    return with_kept(kept.mapInArrow(run, made + kept_types(kept)), keep)

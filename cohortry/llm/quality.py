@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.scan import slices, words
+from cohortry.llm.scan import kept_columns, kept_types, slices, with_kept, words
 
 SLICE = 1 << 19
 SHAPES, WORDS, REPEATS = 4096, 2048, 4
@@ -133,14 +133,14 @@ def vote(model: QualityModel, vectors: np.ndarray, neighbours: int, sharpness: f
     return np.clip(scores, 0, 1)
 
 
-def score(docs: DataFrame, model: QualityModel, threshold: float = 0.3, neighbours: int = 15, sharpness: float = 16.0, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: QualityModel, threshold: float = 0.3, neighbours: int = 15, sharpness: float = 16.0, id_column: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``doc_id score predicted`` for each row of ``docs``; ``predicted`` is 1 if the score is at least ``threshold``.
 
     The model is a matrix of fixed size and a bounded number of reference vectors. Null and empty texts have no terms
     and get the mean label of the references. Equal texts get equal scores; repeated rows give a row each; an empty
-    table gives none; other columns are ignored.
+    table gives none; of the other columns those of ``keep`` are handed on, after the operator's own.
     """
-    kept = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
+    kept = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"), *kept_columns(docs, keep))
     kind = kept.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -154,6 +154,8 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = 0.3, neighbou
                     table = dense(*term_shares(data[own[0] : own[-1]], own - own[0]), len(own) - 1)
                     scores[a : a + 512] = vote(model, unit(table @ model.projection), neighbours, sharpness)
                 marks = (scores >= threshold).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, n), pa.array(scores), pa.array(marks)], names=["doc_id", "score", "predicted"])
+                others = batch.select(range(2, batch.num_columns)).slice(first, n)
+                made = [batch.column("doc_id").slice(first, n), pa.array(scores), pa.array(marks)]
+                yield pa.RecordBatch.from_arrays([*made, *others.columns], names=["doc_id", "score", "predicted", *others.schema.names])
 
-    return kept.mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+    return with_kept(kept.mapInArrow(run, f"doc_id {kind}, score double, predicted int" + kept_types(kept)), keep)

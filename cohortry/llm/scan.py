@@ -7,11 +7,12 @@ Hashes have 64 bits: two different strings are taken for the same with a probabi
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 SLICE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -114,27 +115,16 @@ def texts_of(data: np.ndarray, offsets: np.ndarray) -> list[str]:
     return [raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
 
 
-def keyed(batch: pa.RecordBatch, first: int, count: int, columns: list[str]) -> list[pa.Array]:
-    return [batch.column(batch.schema.get_field_index(c)).slice(first, count) for c in columns]
+def kept_columns(df: DataFrame, keep: list[str] | None) -> list[Column]:
+    """The columns that an operator hands on, under names that clash with none of its own."""
+    return [F.col(c).alias(f"_kept{i}") for i, c in enumerate(keep or [])]
 
 
-def map_slices(
-    df: DataFrame, work: Callable, schema: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text", limit: int = SLICE
-) -> DataFrame:
-    """``work(data, offsets)`` for each slice of the texts gives the further columns, one value a text.
+def kept_types(df: DataFrame) -> str:
+    return "".join(f", {f.name} {f.dataType.simpleString()}" for f in df.schema.fields if f.name.startswith("_kept"))
 
-    Only ``keep`` and the text are read from ``df``; the result has ``keep`` and then the columns of ``schema``.
-    """
-    kept = list(keep)
 
-    def run(batches):
-        for batch in batches:
-            for first, data, offsets in slices(batch, text, limit):
-                made = work(data, offsets)
-                arrays = keyed(batch, first, len(offsets) - 1, kept) + [pa.array(x) for x in made]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    full = ", ".join([*(f"`{c}` {types[c]}" for c in kept), schema])
-    names = [*kept, *(part.split()[0] for part in schema.split(","))]
-    return df.select(*kept, text).mapInArrow(run, full)
+def with_kept(made: DataFrame, keep: list[str] | None) -> DataFrame:
+    """The handed-on columns under their own names again; where one has the name of a result it gets ``kept_`` before it."""
+    own = [c for c in made.columns if not c.startswith("_kept")]
+    return made.select(*own, *(F.col(f"_kept{i}").alias(f"kept_{c}" if c in own else c) for i, c in enumerate(keep or [])))
