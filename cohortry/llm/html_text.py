@@ -277,7 +277,7 @@ def repeated_runs(pages: DataFrame, part: int = PART) -> DataFrame:
     return found.groupBy("run").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first <> last").select("run")
 
 
-def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
+def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", page: str = "html", part: int = PART) -> DataFrame:
     """``page_id url text n_chars`` of each row of ``pages``.
 
     Null and empty pages have an empty text; a null or broken url is a host of its own kind (the empty one); repeated
@@ -286,7 +286,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", page
     rows = pages.select(F.col(id_column).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
     key: Column = F.xxhash64("url", "html").alias("page_key")
     open_runs = settle(rows.select(key, "url", "html").mapInArrow(_open_runs, OPEN_RUN), "open-runs")
-    covered = open_runs.join(repeated_runs(rows), "run").groupBy("page_key").agg(F.collect_set(F.struct("block", "place", "size")).alias("covered"))
+    covered = open_runs.join(repeated_runs(rows, part), "run").groupBy("page_key").agg(F.collect_set(F.struct("block", "place", "size")).alias("covered"))
     marked = rows.withColumn("page_key", key).join(settle(covered, "covered"), "page_key", "left")
     kind = rows.schema["page_id"].dataType.simpleString()
     return marked.select("page_id", "url", "html", "covered").mapInArrow(_texts, f"page_id {kind}, url string, text string, n_chars bigint")
