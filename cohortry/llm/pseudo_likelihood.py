@@ -299,7 +299,7 @@ def score(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text
                     places = np.arange(a, min(a + BATCH, len(numbers)))
                     values[places] = log_probabilities(weights, neighbours(numbers, owner, places), numbers[places])
                 count = np.bincount(owner, minlength=n)
-                total = np.bincount(owner, weights=values, minlength=n)
+                total = np.bincount(owner, weights=values, minlength=n).astype(float)
                 mean = pa.array(total / np.maximum(count, 1), mask=count == 0)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, n), pa.array(count), pa.array(total), mean], names=["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
 

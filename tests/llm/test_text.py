@@ -112,27 +112,35 @@ def test_toxicity(judged, awkward, empty):
     assert len(bare.lexicon.hashes) == len(toxicity.INSULTS)
 
 
-def test_label_model_recovers_rates():
-    rng = np.random.default_rng(4)
+def planted_votes(seed, fires, copied=()):
+    """Vote patterns of 20,000 texts, how often each occurs, and on how many labelled texts of either class."""
+    rng = np.random.default_rng(seed)
     truth = rng.random(20_000) < 0.15
+    cast = rng.random((20_000, len(toxicity.VOTERS))) < fires[truth.astype(int)]
+    for i, j in copied:
+        cast[:, j] = cast[:, i]
+    cast[:, -1] = ~cast[:, :-1].any(axis=1)  # the silent voter
+    patterns, at = np.unique(cast, axis=0, return_inverse=True)
+    labelled = np.arange(20_000) % 5 == 0
+    known = np.stack([np.bincount(at[labelled & (truth == c)], minlength=len(patterns)) for c in (False, True)], axis=1)
+    return cast, truth, patterns, np.bincount(at[~labelled], minlength=len(patterns)), known
+
+
+def test_label_model():
     voters = len(toxicity.VOTERS)
-    rates = np.stack([np.full(voters, 0.01), np.linspace(0.3, 0.8, voters)])
-    cast = rng.random((20_000, voters)) < rates[truth.astype(int)]
-    patterns, counts = np.unique(cast, axis=0, return_counts=True)
-    model = toxicity.fit_label_model(patterns, counts, 0.15)
-    assert np.abs(model.rates - rates).max() < 0.05
+    fires = np.stack([np.full(voters, 0.01), np.linspace(0.3, 0.8, voters)])
+    cast, truth, patterns, counts, known = planted_votes(4, fires)
+    model = toxicity.fit_label_model(patterns, counts, 0.15, known)
+    assert np.abs(model.rates - fires)[:, :-1].max() < 0.05
     assert ((model.posterior(cast.astype(float)) > 0.5) == truth).mean() > 0.98
 
 
 def test_correlated_voters_count_less():
-    rng = np.random.default_rng(5)
-    truth = rng.random(20_000) < 0.2
-    cast = rng.random((20_000, len(toxicity.VOTERS))) < np.where(truth[:, None], 0.6, 0.05)
-    cast[:, 4] = cast[:, 3]
-    patterns, counts = np.unique(cast, axis=0, return_counts=True)
-    model = toxicity.fit_label_model(patterns, counts, 0.2)
-    others = [i for i in range(cast.shape[1]) if i not in (3, 4)]
-    assert max(model.weights[3], model.weights[4]) < 0.7 * min(model.weights[others])
+    fires = np.stack([np.full(len(toxicity.VOTERS), 0.05), np.full(len(toxicity.VOTERS), 0.6)])
+    _, _, patterns, counts, known = planted_votes(5, fires, copied=[(3, 4)])
+    model = toxicity.fit_label_model(patterns, counts, 0.15, known)
+    others = [i for i in range(len(toxicity.VOTERS) - 1) if i not in (3, 4)]
+    assert max(model.weights[3], model.weights[4]) < 0.8 * min(model.weights[others])
 
 
 def test_log_probabilities_are_normalised():
