@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.scan import slices, words
+from cohortry.llm.scan import bound_batches, slices, words
 from cohortry.session import scratch_path, settle
 
 SEGMENT = 4 << 20
@@ -62,7 +62,7 @@ def build_index(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     null text has no words; every row of ``docs`` is in the index, repeated ones too.
     """
     path = scratch_path(docs.sparkSession, "postings")
-    index = docs.select(id_column, text).mapInArrow(_segments(id_column, text), INDEX_DDL)
+    index = bound_batches(docs).select(id_column, text).mapInArrow(_segments(id_column, text), INDEX_DDL)
     index.write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(index.schema).parquet(path)
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.scan import mix
+from cohortry.llm.scan import bound_batches, mix
 from cohortry.session import settle
 
 #: Tokens that a repeated run has at least; a block of fewer is compared whole.
@@ -283,7 +283,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", page
     Null and empty pages have an empty text; a null or broken url is a host of its own kind (the empty one); repeated
     rows give a row each; an empty table gives none; other columns are ignored. Unclosed tags end where the page ends.
     """
-    rows = pages.select(F.col(id_column).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
+    rows = bound_batches(pages).select(F.col(id_column).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
     key: Column = F.xxhash64("url", "html").alias("page_key")
     open_runs = settle(rows.select(key, "url", "html").mapInArrow(_open_runs, OPEN_RUN), "open-runs")
     covered = open_runs.join(repeated_runs(rows, part), "run").groupBy("page_key").agg(F.collect_set(F.struct("block", "place", "size")).alias("covered"))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.llm.components import components
-from cohortry.llm.scan import mix, slices, span_hashes, windows, words
+from cohortry.llm.scan import bound_batches, mix, slices, span_hashes, windows, words
 from cohortry.session import settle
 
 HASHES = 128
@@ -143,6 +143,7 @@ def without_ids(docs: DataFrame, ids: DataFrame, once: DataFrame | None = None)
 
     Only documents that the bitmap of these ids marks are shuffled; all others pass as they are read.
     """
+    bound_batches(docs)
     named = settle(ids.select("id").distinct(), "dropped")
     repeated = settle(once.select("id").distinct(), "repeated") if once is not None else named.where("false")
     touched = named.unionByName(repeated)
@@ -310,7 +311,7 @@ def jaccard_join(
     shingle. Repeated rows and ids count as documents of their own. An empty table gives no row; other columns are
     ignored. Ids are integers; words are compared by 64-bit hashes.
     """
-    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    rows = bound_batches(docs).select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     sketches = settle(rows.mapInArrow(_sketches(size, "doc_id", "text"), "doc_id bigint, node bigint, bands array<bigint>"), "sketches")
     known = sketches.where("node is not null")
     nodes = known.groupBy("node").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"))

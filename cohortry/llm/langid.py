@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.scan import kept_columns, kept_types, slices, with_kept
+from cohortry.llm.scan import bound_batches, kept_columns, kept_types, slices, with_kept
 
 BUCKETS = 8192
 #: A table of more languages than this is refused; the model, which every task gets, has a row of BUCKETS for each.
@@ -71,7 +71,7 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", smoothing: floa
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=["lang", "bucket", "count"])
 
-    labelled = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where("lang is not null")
+    labelled = bound_batches(docs).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where("lang is not null")
     counts = labelled.mapInArrow(run, "lang string, bucket int, count bigint").groupBy("lang", "bucket").agg(F.sum("count").alias("count"))
     rows = counts.limit(MOST_LANGUAGES * BUCKETS + 1).toPandas()
     languages = sorted(rows["lang"].unique())
@@ -158,7 +158,7 @@ def predict(
     count = len(model.languages)
     names = np.array(model.languages, object)
     schema = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("languages", pa.list_(pa.string())), ("proportions", pa.list_(pa.float64()))])
-    kept = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"), *kept_columns(docs, keep))
+    kept = bound_batches(docs).select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"), *kept_columns(docs, keep))
     kind = kept.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

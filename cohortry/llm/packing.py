@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.llm.pretokens import code_point_offsets, encoder
-from cohortry.llm.scan import slices
+from cohortry.llm.scan import bound_batches, slices
 
 #: Documents packed together. More would save hardly any padding; a group of them takes a few megabytes.
 GROUP = 100_000
@@ -129,6 +129,6 @@ def pack(
     are ignored. A retried task gives the same rows as long as its input does. Integer ids.
     """
     groups = max(1, -(-docs.count() // group))
-    pieces = docs.select(id_column, text).mapInArrow(_pieces(tokenizer, window, end_id, id_column, text), PIECE)
+    pieces = bound_batches(docs).select(id_column, text).mapInArrow(_pieces(tokenizer, window, end_id, id_column, text), PIECE)
     dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("row"), F.lit(groups)))
     return dealt.groupBy("_group").applyInArrow(lambda key, table: _place(window)(key, table.drop_columns(["_group"])), PLACED)

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.scan import mix, slices, words
+from cohortry.llm.scan import bound_batches, mix, slices, words
 
 CLASSES = 32
 WORDS = CLASSES * CLASSES
@@ -265,7 +265,7 @@ def fit(docs: DataFrame, rounds: int = 2, masked: float = 0.15, rate: float = 0.
     The tasks' weights are averaged by the number of places each saw, in two shuffled steps of running sums; the driver
     gets one set of weights. A table without words gives the initial weights.
     """
-    rows = docs.select(F.col(text).alias("text"))
+    rows = bound_batches(docs).select(F.col(text).alias("text"))
     known = vocabulary(rows)
     weights = flat(initial())
     sums = "chunk bigint, seen bigint, weights binary"
@@ -284,7 +284,7 @@ def score(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text
     Null texts and texts without words have 0 words, a sum of 0 and no mean. Equal texts get equal scores; repeated rows
     give a row each; an empty table gives none; other columns are ignored.
     """
-    kept = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
+    kept = bound_batches(docs).select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
     kind = kept.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.scan import kept_columns, kept_types, slices, with_kept, words
+from cohortry.llm.scan import bound_batches, kept_columns, kept_types, slices, with_kept, words
 
 SLICE = 1 << 19
 SHAPES, WORDS, REPEATS = 4096, 2048, 4
@@ -95,7 +95,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, most: int = 4096, dimens
                 parts = [(term[a:b].astype(np.uint16).tobytes(), weight[a:b].astype(np.float32).tobytes()) for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([marks.slice(first, n), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary())], names=["label", "terms", "weights"])
 
-    rows = _references(docs, labels, label, most).mapInArrow(run, "label double, terms binary, weights binary").collect()
+    rows = _references(bound_batches(docs), labels, label, most).mapInArrow(run, "label double, terms binary, weights binary").collect()
     if not rows:
         return QualityModel(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0, np.float32), 0.5)
     rows.sort(key=lambda r: (bytes(r["terms"]), bytes(r["weights"]), r["label"]))
@@ -140,7 +140,7 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = 0.3, neighbou
     and get the mean label of the references. Equal texts get equal scores; repeated rows give a row each; an empty
     table gives none; of the other columns those of ``keep`` are handed on, after the operator's own.
     """
-    kept = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"), *kept_columns(docs, keep))
+    kept = bound_batches(docs).select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"), *kept_columns(docs, keep))
     kind = kept.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

@@ -19,6 +19,16 @@ _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
+#: Bytes of an Arrow batch. With Spark's own limit a task holds several times 64 MB on either side of the socket.
+ARROW_BYTES = 8 << 20
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session set to hand texts to Python in small batches, however long they are and however many rows."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return df
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit values that spreads every bit."""
     h = h ^ (h >> np.uint64(32))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.llm.pretokens import code_point_offsets, encoder
-from cohortry.llm.scan import slices
+from cohortry.llm.scan import bound_batches, slices
 
 #: A pre-token that stands in more documents of a block than this is dealt by block too, so that no task gets all of them.
 FREQUENT = 256
@@ -17,8 +17,9 @@ PARTS = 64
 #: Documents with counts under way in a task; beyond them partial counts are handed on.
 PENDING = 4_000_000
 
-#: Documents in a block at most, so that a place in it takes two bytes.
+#: Documents in a block at most, so that a place in it takes two bytes, and bytes from which on it is full.
 BLOCK = 50_000
+BLOCK_BYTES = 24 << 20
 HEADER = 255
 
 ENTRY = "hash bigint, block bigint, data binary"
@@ -67,6 +68,18 @@ def _unpacked(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.nd
     return pieces, data[at].astype(np.int64) + (data[at + 1].astype(np.int64) << 8), data[at + 2].astype(np.int64), np.repeat(np.arange(len(starts)), postings)
 
 
+def _grouped(batches):
+    """Batches put together until they fill a block; the larger a block, the fewer entries repeat a pre-token."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(x.nbytes for x in held) >= BLOCK_BYTES or sum(x.num_rows for x in held) >= BLOCK:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _entries(path: str):
     """For each block of documents: an entry for each distinct pre-token, and one with the ids and sizes."""
 
@@ -113,9 +126,9 @@ def _entries(path: str):
     def run(batches):
         enc = encoder(path)
         block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for a in range(0, batch.num_rows, BLOCK):
-                yield from block_entries(enc, batch.slice(a, BLOCK), block)
+        for whole in _grouped(batches):
+            for a in range(0, whole.num_rows, BLOCK):
+                yield from block_entries(enc, whole.slice(a, BLOCK), block)
                 block += 1
 
     return run
@@ -212,7 +225,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, id_column:
     Null and empty texts have 0 bytes and tokens; a null id stays null; repeated rows and ids give a row each; an empty
     table gives no row. Other columns are ignored. Integer ids.
     """
-    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    rows = bound_batches(docs).select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     entries = rows.mapInArrow(_entries(tokenizer), ENTRY)
     dealt = entries.repartition("hash", F.substring("data", 1, 1)).sortWithinPartitions("hash")
     partial = dealt.mapInArrow(_sums(tokenizer), PARTIAL).repartition("block").sortWithinPartitions("block")

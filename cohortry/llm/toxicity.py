@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.scan import FOLDED_VALUES, WORD_BYTES, mix, slices, span_hashes, spans
+from cohortry.llm.scan import FOLDED_VALUES, WORD_BYTES, bound_batches, mix, slices, span_hashes, spans
 from cohortry.session import settle
 
 #: Insults that any corpus of English may hold.
@@ -244,7 +244,7 @@ def _train(features: list[np.ndarray], targets: np.ndarray, counts: np.ndarray,
 def fit(docs: DataFrame, labels: DataFrame, label: str, most: int = 8192, trained: int = 8192) -> ToxicityModel:
     """The voters from at most ``most`` labelled rows of ``docs`` (``doc_id text``), the label model from the votes on all
     of ``docs``, and the classifier from at most ``trained`` distinct sets of votes and terms, each weighed by how many documents have it."""
-    sample = settle(_labelled(docs, labels, label, most), "labelled")
+    sample = settle(_labelled(bound_batches(docs), labels, label, most), "labelled")
     lexicon, share = mine(sample.where("_mined"))
 
     def patterns_of(batches):
@@ -295,7 +295,7 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3, id_colu
     Null and empty texts get no votes and the score of the constant. Equal texts get equal scores; repeated rows give a
     row each; an empty table gives none; other columns are ignored. Without labelled toxic rows only the fixed list votes.
     """
-    kept = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
+    kept = bound_batches(docs).select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
     kind = kept.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
