@@ -3,12 +3,13 @@
 Spark SQL has no gamma, beta or error function. Each one here is a convergent
 expansion evaluated backwards, so the running value is a single double folded
 with ``aggregate`` over ``sequence(depth, 1)``: no Python worker, no loop on the
-driver, constant work per row whatever the sample size. They are meant for
-aggregated rows (one per experiment or segment).
+driver. The depth follows from the arguments. They are meant for aggregated rows
+(one per experiment or segment).
 
-Series and continued fractions: Abramowitz & Stegun 6.5.29, 6.5.31, 26.5.8.
-Large degrees of freedom: Hill (1970) for t, Scheffe & Tukey (1944) for F,
-Wilson & Hilferty (1931) for chi-square.
+Series and continued fractions: Abramowitz & Stegun 6.5.29, 6.5.31, 26.5.8. Large
+parameters: Temme's uniform expansion of the incomplete gamma function (DLMF
+8.12), Hill (1970) for t, Scheffe & Tukey (1944) for F. Each agrees with the exact
+form to 1e-9 where it takes over.
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DEPTH = 300
+LARGE_SHAPE = 5000.0
 LARGE_DF = 5000.0
-LARGE_F_DF = 60000.0
+LARGE_F_DF = 1_000_000.0
 
 
-def _fold(step: Callable[[Column, Column], Column], start: float = 0.0, depth: int = DEPTH) -> Column:
-    order = F.sequence(F.lit(depth), F.lit(1), F.lit(-1))
+def _fold(step: Callable[[Column, Column], Column], size: Column, start: float = 0.0) -> Column:
+    """Terms fall off after some multiple of the square root of the largest parameter, ``size``."""
+    depth = F.least(F.ceil(9.0 * F.sqrt(F.greatest(F.coalesce(size, F.lit(0.0)), F.lit(0.0)))), F.lit(8000)) + 100
+    order = F.sequence(depth.cast("int"), F.lit(1), F.lit(-1))
     return F.aggregate(order, F.lit(start), lambda acc, k: step(acc, k.cast("double")))
 
 
@@ -56,9 +59,14 @@ def gamma_upper(a: Column, x: Column) -> Column:
 
 
 def _gamma_upper(a: Column, x: Column) -> Column:
+    large = let(_temme, a, x)
+    return F.when(a > LARGE_SHAPE, F.when(x <= 0, F.lit(1.0)).otherwise(large)).otherwise(_gamma_small(a, x))
+
+
+def _gamma_small(a: Column, x: Column) -> Column:
     front = F.exp(a * F.ln(x) - x - log_gamma(a))
-    series = _fold(lambda acc, k: 1.0 + x / (a + k) * acc, 1.0) / a
-    fraction = 1.0 / (x + 1.0 - a - _fold(lambda acc, k: k * (k - a) / (x + 2.0 * k + 1.0 - a - acc)))
+    series = _fold(lambda acc, k: 1.0 + x / (a + k) * acc, a, 1.0) / a
+    fraction = 1.0 / (x + 1.0 - a - _fold(lambda acc, k: k * (k - a) / (x + 2.0 * k + 1.0 - a - acc), a))
     return (
         F.when(x.isNull() | a.isNull(), F.lit(None).cast("double"))
         .when(x <= 0, F.lit(1.0))
@@ -67,6 +75,33 @@ def _gamma_upper(a: Column, x: Column) -> Column:
     )
 
 
+def _horner(x: Column, *coefficients: float) -> Column:
+    out = F.lit(coefficients[-1])
+    for c in coefficients[-2::-1]:
+        out = out * x + c
+    return out
+
+
+def _temme(a: Column, x: Column) -> Column:
+    """Q(a, x) for a large shape: a normal tail in eta and two terms of its correction.
+
+    Where eta is not small the tail is zero or one in double precision, so the series at zero are enough.
+    """
+    mu = (x - a) / a
+    # mu - ln(1 + mu) without cancellation near zero.
+    small = mu * mu * _horner(mu, 1 / 2, -1 / 3, 1 / 4, -1 / 5, 1 / 6, -1 / 7, 1 / 8, -1 / 9, 1 / 10, -1 / 11, 1 / 12)
+    half = F.when(F.abs(mu) < 0.05, small).otherwise(mu - F.log1p(F.greatest(mu, F.lit(-1.0 + 1e-300))))
+    eta = F.signum(mu) * F.sqrt(2.0 * F.greatest(half, F.lit(0.0)))
+    return let(_temme_tail, a, F.greatest(F.least(eta, F.lit(1.0)), F.lit(-1.0)))
+
+
+def _temme_tail(a: Column, eta: Column) -> Column:
+    first = _horner(eta, -1 / 3, 1 / 12, -2 / 135, 1 / 864, 1 / 2835, -139 / 777600, 1 / 25515)
+    second = _horner(eta, -1 / 540, -1 / 288, 1 / 378, -77 / 77760)
+    rest = F.exp(-a * eta * eta / 2.0) / F.sqrt(2.0 * math.pi * a) * (first + second / a)
+    return F.least(F.greatest(normal_upper(eta * F.sqrt(a)) + rest, F.lit(0.0)), F.lit(1.0))
+
+
 def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
     def step(acc: Column, k: Column) -> Column:
         even = k * (b - k) * x / ((a + 2.0 * k - 1.0) * (a + 2.0 * k))
@@ -74,7 +109,7 @@ def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
         return even / (1.0 + odd / (1.0 + acc))
 
     first = -(a + b) * x / (a + 1.0)
-    return 1.0 / (1.0 + first / (1.0 + _fold(step)))
+    return 1.0 / (1.0 + first / (1.0 + _fold(step, F.greatest(a, b))))
 
 
 def beta_lower(a: Column, b: Column, x: Column) -> Column:
@@ -96,7 +131,7 @@ def _beta_lower(a: Column, b: Column, x: Column) -> Column:
 
 def normal_two_sided(z: Column) -> Column:
     """P(|Z| >= |z|), which is Q(1/2, z^2 / 2)."""
-    return gamma_upper(F.lit(0.5), z * z / 2.0)
+    return let(_gamma_small, F.lit(0.5), z * z / 2.0)
 
 
 def normal_upper(z: Column) -> Column:
@@ -136,13 +171,7 @@ def chi2_sf(x: Column, df: Column) -> Column:
 
 
 def _chi2_sf(x: Column, d: Column) -> Column:
-    cube = F.cbrt(F.greatest(x, F.lit(0.0)) / d)
-    near = (cube - (1.0 - 2.0 / (9.0 * d))) / F.sqrt(2.0 / (9.0 * d))
-    return (
-        F.when(x.isNull() | d.isNull() | (d <= 0), F.lit(None).cast("double"))
-        .when(d > 2 * LARGE_DF, normal_upper(near))
-        .otherwise(gamma_upper(d / 2.0, x / 2.0))
-    )
+    return F.when(x.isNull() | d.isNull() | (d <= 0), F.lit(None).cast("double")).otherwise(gamma_upper(d / 2.0, x / 2.0))
 
 
 def f_sf(f: Column, df1: Column, df2: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortry.functions.scalars import risk_level
-from cohortry.operators.ordering import exact_medians, hash_thresholds, key_hash, range_pieces
+from cohortry.operators.ordering import exact_medians, hash_thresholds, key_hash, match, range_pieces
 from cohortry.session import one_row, scratch_path, settle
 
 CATEGORICAL = ("city", "state", "preferred_category", "payment_method", "tenure_segment")
@@ -153,11 +153,15 @@ def select_model(
 
 
 def score_json(model: PipelineModel, df: DataFrame, body: str, features: Sequence[str], out: str = "response") -> DataFrame:
-    """Scoring of JSON bodies ``{"features": [...]}`` (or a list of lists, of which the first row is scored)."""
+    """Scoring of JSON bodies ``{"features": [...]}`` or of lists of lists: one reply per row of features.
+
+    ``row`` numbers the rows of a body from 0. A row of another length, and a body without features, gets a null reply.
+    """
     flat = F.from_json(body, "features array<double>")["features"]
     nested = F.from_json(body, "features array<array<double>>")["features"]
-    row = F.coalesce(F.get(nested, F.lit(0)), flat)
-    parsed = df.withColumn("_x", F.when(F.size(row) == len(features), row))
+    rows = F.when(F.get(nested, F.lit(0)).isNotNull(), nested).otherwise(F.array(flat))
+    parsed = df.select("*", F.posexplode_outer(rows).alias("row", "_x"))
+    parsed = parsed.withColumn("_x", F.when(F.size("_x") == len(features), F.col("_x")))
     spread = parsed.withColumns({c: F.col("_x")[i] for i, c in enumerate(features)})
     scored = model.transform(spread).withColumn("_p", F.when(F.col("_x").isNotNull(), vector_to_array("probability")[1]))
     reply = F.to_json(
@@ -167,7 +171,7 @@ def score_json(model: PipelineModel, df: DataFrame, body: str, features: Sequenc
             risk_level(F.col("_p")).alias("risk_level"),
         )
     )
-    return scored.select(*df.columns, F.when(F.col("_p").isNotNull(), reply).alias(out))
+    return scored.select(*df.columns, "row", F.when(F.col("_p").isNotNull(), reply).alias(out))
 
 
 def prediction_table(df: DataFrame, p: str = "churn_probability", label: str = "churned", keep: Sequence[str] = ()) -> DataFrame:
@@ -244,7 +248,7 @@ def test_metrics(df: DataFrame, p: str = "churn_probability", label: str = "chur
     """AUC, precision, recall and F1, rounded to four places."""
     cut, area = threshold_metrics(df, p, label, 0.5, keys), auc(df, p, label, keys)
     if keys:
-        both = area.join(cut, list(keys))
+        both = match(area, cut, list(keys))
     else:
         both = cut.withColumn("auc_roc", area.scalar())
     return both.select(*keys, *[F.round(c, 4).alias(c) for c in ("auc_roc", "precision", "recall", "f1")])
@@ -283,23 +287,23 @@ def permutation_importance(
     features: Sequence[str],
     ids: Sequence[str] = ("customer_id",),
     label: str = "churned",
-    bucket_rows: int = 10_000,
     seed: int = 42,
 ) -> DataFrame:
     """Drop in AUC when one feature takes the values of other rows; one job for all features.
 
-    Rows are put into hash buckets (random groups of about ``bucket_rows``) and every row takes the value
-    of its successor in hash order, cyclically: a permutation inside a random group, from one shuffle.
-    Each row then becomes one row per feature on the map side, is scored, and one keyed AUC compares them.
+    Every row takes the value of its successor in hash order over the whole table, cyclically. The order is cut into
+    range pieces; the last row of a piece takes the value of the first row of the next one. Each row then becomes one
+    row per feature on the map side, is scored, and one keyed AUC compares them.
     """
-    h = key_hash(*ids, seed=seed)
-    n_buckets = F.greatest(F.ceil(one_row(df, F.count(F.lit(1)).alias("n"))["n"] / bucket_rows), F.lit(1))
-    staged = df.select(label, F.array(*[F.col(f).cast("double") for f in features]).alias("_x"), h.alias("_h")).withColumn(
-        "_b", F.pmod(F.conv(F.substring("_h", 1, 12), 16, 10).cast("bigint"), n_buckets)
-    )
-    order = Window.partitionBy("_b").orderBy("_h")
-    first = F.first("_x").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    donors = staged.withColumn("_y", F.coalesce(F.lead("_x").over(order), first))
+    staged = df.select(label, F.array(*[F.col(f).cast("double") for f in features]).alias("_x"), key_hash(*ids, seed=seed).alias("_h"))
+    pieces = settle(range_pieces(staged, "_h"), "hash-order")
+    # One row for each piece.
+    heads = pieces.groupBy("_piece").agg(F.min_by("_x", "_h").alias("_head"))
+    along = Window.orderBy("_piece")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heads = heads.select("_piece", F.coalesce(F.lead("_head").over(along), F.first("_head").over(whole)).alias("_next"))
+    order = Window.partitionBy("_piece").orderBy("_h")
+    donors = pieces.withColumn("_y", F.lead("_x").over(order)).join(heads, "_piece").withColumn("_y", F.coalesce("_y", "_next"))
     variants = donors.select(
         label, "_x", "_y", F.posexplode(F.array(F.lit("(none)"), *[F.lit(f) for f in features])).alias("_i", "feature")
     )

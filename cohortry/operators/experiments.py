@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.scalars import ratio
 from cohortry.functions.tails import normal_two_sided, normal_upper, t_two_sided
-from cohortry.operators.ordering import range_pieces
+from cohortry.operators.ordering import match, range_pieces
 from cohortry.session import settle
 
 SIGNIFICANT, NOT_SIGNIFICANT = "STATISTICALLY SIGNIFICANT ✓", "NOT SIGNIFICANT ✗"
@@ -114,10 +114,10 @@ def metric_aggregates(prefix: str, value: Column, condition: Column | None = Non
 # ---------------------------------------------------------------- two proportions
 
 
-def two_proportion_test(totals: DataFrame, alpha: float = 0.05, two_sided: bool = True) -> DataFrame:
+def two_proportion_test(totals: DataFrame, alpha: float = 0.05, two_sided: bool = True, exact: str | None = None) -> DataFrame:
     """z-test on rows holding ``control_n``, ``control_conversions``, ``treatment_n``, ``treatment_conversions``.
 
-    No conversions at all, or a missing arm, gives nulls and no flag. Shared terms become columns of
+    ``exact`` names a further column for the p-value before rounding. No conversions at all, or a missing arm, gives nulls and no flag. Shared terms become columns of
     their own before they are reused, so the expression tree stays small.
     """
     number = lambda c: F.col(c).cast("double")
@@ -147,14 +147,15 @@ def two_proportion_test(totals: DataFrame, alpha: float = 0.05, two_sided: bool
         _label(flag).alias("significance_label"),
         F.round(diff - margin * F.col("_w"), 6).alias("ci_lower"),
         F.round(diff + margin * F.col("_w"), 6).alias("ci_upper"),
-        F.lit(f"{int((1 - alpha) * 100)}%").alias("ci_level"),
+        F.lit(f"{(1 - alpha) * 100:.6g}%").alias("ci_level"),
+        *([(normal_two_sided(z) if two_sided else normal_upper(z)).alias(exact)] if exact else []),
     )
 
 
 def conversion_test(
-    events: DataFrame, keys: Sequence[str] = ("experiment_name",), alpha: float = 0.05, two_sided: bool = True
+    events: DataFrame, keys: Sequence[str] = ("experiment_name",), alpha: float = 0.05, two_sided: bool = True, exact: str | None = None
 ) -> DataFrame:
-    return two_proportion_test(arm_totals(events, keys), alpha, two_sided)
+    return two_proportion_test(arm_totals(events, keys), alpha, two_sided, exact)
 
 
 # ---------------------------------------------------------------- means
@@ -313,7 +314,7 @@ def adjust_p_values(df: DataFrame, p: str = "p_value", family: Sequence[str] = (
         )
     )
     ranked = (
-        pieces.join(totals, [*key, "_piece"])
+        match(pieces, totals, [*key, "_piece"])
         .withColumn("_rank", F.col("_before") + F.sum("_n").over(up_to_here))
         .withColumn("_step", F.col("_p") * F.col("_m") / F.col("_rank"))
         .withColumn("_inside", F.min("_step").over(from_here))
@@ -324,13 +325,13 @@ def adjust_p_values(df: DataFrame, p: str = "p_value", family: Sequence[str] = (
         .withColumn("_later", F.min("_low").over(by_piece.rowsBetween(1, Window.unboundedFollowing)))
         .drop("_low")
     )
-    adjusted = ranked.join(later, [*key, "_piece"]).select(
+    adjusted = match(ranked, later, [*key, "_piece"]).select(
         *key,
         "_p",
         F.least(F.col("_p") * F.col("_m"), F.lit(1.0)).alias("p_bonferroni"),
         F.least("_inside", "_later", F.lit(1.0)).alias("p_bh"),
     )
-    out = rows.withColumn("_p", F.col(p)).join(adjusted, [*key, "_p"], "left")
+    out = match(rows.withColumn("_p", F.col(p)), adjusted, [*key, "_p"], "left")
     return out.select(*df.columns, "p_bonferroni", "p_bh")
 
 
@@ -341,8 +342,9 @@ def segment_scorecard(
     alpha: float = 0.05,
 ) -> DataFrame:
     """The conversion test per (experiment, segment), corrected for the number of segments."""
-    tested = conversion_test(events, [*keys, *segments], alpha)
-    adjusted = adjust_p_values(tested, "p_value", keys)
+    tested = conversion_test(events, [*keys, *segments], alpha, exact="_exact")
+    # Rounded p-values would make all strong results equal, and one hot key of the join.
+    adjusted = adjust_p_values(tested, "_exact", keys).drop("_exact")
     return adjusted.withColumn("significant_bh", F.coalesce(F.col("p_bh") < alpha, F.lit(False)))
 
 

@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
-from statistics import NormalDist
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from cohortry.functions.tails import chi2_sf, f_sf, t_two_sided
-from cohortry.operators.ordering import first_by_hash
-
-# The grouped function below travels by value: executors need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from cohortry.functions.tails import chi2_sf, f_sf, normal_upper, t_two_sided
+from cohortry.operators.ordering import key_hash, match, range_pieces
+from cohortry.session import settle
 
 ONE = "_all"
 
@@ -30,7 +22,7 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
 def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the columns of per-key rows; without keys the single row comes as a scalar subquery, not a join."""
     if keys:
-        return left.join(right, list(keys))
+        return match(left, right, list(keys))
     added = [c for c in right.columns if c != ONE]
     return left.withColumn("_s", right.select(F.struct(*added)).scalar()).select(*left.columns, "_s.*")
 
@@ -48,30 +40,29 @@ def chi_square(
     cells = (
         data.filter(F.col(row).isNotNull() & F.col(col).isNotNull())
         .groupBy(*key, F.col(row).alias("_r"), F.col(col).alias("_c"))
-        .agg((F.sum(n) if n else F.count(F.lit(1))).cast("double").alias("o"))
-        .filter("o > 0")
+        .agg((F.sum(n) if n else F.count(F.lit(1))).cast("double").alias("_o"))
+        .filter("_o > 0")
     )
-    by_row = cells.groupBy(*key, "_r").agg(F.sum("o").alias("rt"))
-    by_col = cells.groupBy(*key, "_c").agg(F.sum("o").alias("ct"))
+    by_row = cells.groupBy(*key, "_r").agg(F.sum("_o").alias("_rt"))
+    by_col = cells.groupBy(*key, "_c").agg(F.sum("_o").alias("_ct"))
     size = lambda t, m: t.groupBy(*key).agg(
-        F.count(F.lit(1)).alias(f"n_{m}"), F.sum(1.0 / F.col(m)).alias(f"inv_{m}")
+        F.count(F.lit(1)).alias(f"_n{m}"), F.sum(1.0 / F.col(m)).alias(f"_inv{m}")
     )
     fit = (
-        cells.join(by_row, [*key, "_r"])
-        .join(by_col, [*key, "_c"])
+        match(match(cells, by_row, [*key, "_r"]), by_col, [*key, "_c"])
         .groupBy(*key)
         .agg(
-            F.sum("o").alias("total"),
-            F.sum(F.col("o") * F.col("o") / (F.col("rt") * F.col("ct"))).alias("share"),
-            F.max(F.struct("o", "rt", "ct")).alias("cell"),
+            F.sum("_o").alias("_total"),
+            F.sum(F.col("_o") * F.col("_o") / (F.col("_rt") * F.col("_ct"))).alias("_share"),
+            F.max(F.struct("_o", "_rt", "_ct")).alias("_cell"),
         )
     )
-    fit = _attach(_attach(fit, size(by_row, "rt"), keys), size(by_col, "ct"), keys)
-    dof = (F.col("n_rt") - 1) * (F.col("n_ct") - 1)
-    plain = F.greatest(F.col("total") * F.col("share") - F.col("total"), F.lit(0.0))
-    gap = F.abs(F.col("cell.o") - F.col("cell.rt") * F.col("cell.ct") / F.col("total"))
+    fit = _attach(_attach(fit, size(by_row, "_rt"), keys), size(by_col, "_ct"), keys)
+    dof = (F.col("_n_rt") - 1) * (F.col("_n_ct") - 1)
+    plain = F.greatest(F.col("_total") * F.col("_share") - F.col("_total"), F.lit(0.0))
+    gap = F.abs(F.col("_cell._o") - F.col("_cell._rt") * F.col("_cell._ct") / F.col("_total"))
     pulled = gap - F.least(gap, F.lit(0.5))
-    corrected = pulled * pulled * F.col("total") * F.col("inv_rt") * F.col("inv_ct")
+    corrected = pulled * pulled * F.col("_total") * F.col("_inv_rt") * F.col("_inv_ct")
     chi2 = F.when((dof == 1) & F.lit(yates), corrected).otherwise(plain)
     tested = fit.withColumns({"_chi": chi2, "_dof": dof}).withColumn(
         "_p", F.when(F.col("_dof") == 0, 1.0).otherwise(chi2_sf(F.col("_chi"), F.col("_dof")))
@@ -88,13 +79,15 @@ def chi_square(
     )
 
 
+def _levels(df: DataFrame, factor: str, value: str, keys: Sequence[str], min_size: int) -> DataFrame:
+    moments = F.count(value).alias("_n"), F.avg(value).alias("_m"), F.var_samp(value).alias("_v")
+    return df.groupBy(*keys, factor).agg(*moments).filter(F.col("_n") > min_size)
+
+
 def level_means(df: DataFrame, factor: str, value: str, keys: Sequence[str] = (), min_size: int = 30) -> DataFrame:
     """Size, mean and sample variance of each level with more than ``min_size`` values."""
-    return (
-        df.groupBy(*keys, factor)
-        .agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("var"))
-        .filter(F.col("n") > min_size)
-    )
+    levels = _levels(df, factor, value, keys, min_size)
+    return levels.select(*keys, factor, F.col("_n").alias("n"), F.col("_m").alias("mean"), F.col("_v").alias("var"))
 
 
 def anova(
@@ -102,27 +95,32 @@ def anova(
 ) -> DataFrame:
     """One-way ANOVA per key, from the sufficient statistics of each level."""
     data, key = _keyed(df, keys)
-    levels = level_means(data, factor, value, key, min_size)
-    grand = levels.groupBy(*key).agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"))
-    off = F.col("mean") - F.col("grand")
+    levels = _levels(data, factor, value, key, min_size)
+    # One row a level, read several times: written once, so that the data are scanned once.
+    levels = settle(levels.select(*key, F.col(factor).cast("string").alias("_level"), "_n", F.col("_m").alias("_mean"), F.col("_v").alias("_var")), "levels")
+    grand = levels.groupBy(*key).agg((F.sum(F.col("_n") * F.col("_mean")) / F.sum("_n")).alias("_grand"))
+    off = F.col("_mean") - F.col("_grand")
     sums = (
         _attach(levels, grand, keys)
         .groupBy(*key)
         .agg(
-            F.count(F.lit(1)).alias("k"),
-            F.sum("n").alias("total"),
-            F.sum(F.col("n") * off * off).alias("between"),
-            F.sum((F.col("n") - 1) * F.coalesce("var", F.lit(0.0))).alias("within"),
+            F.count(F.lit(1)).alias("_k"),
+            F.sum("_n").alias("_total"),
+            F.sum(F.col("_n") * off * off).alias("_between"),
+            F.sum((F.col("_n") - 1) * F.coalesce("_var", F.lit(0.0))).alias("_within"),
+            F.sort_array(F.collect_list(F.struct("_level", "_mean"))).alias("_means"),
         )
     )
-    d1, d2 = F.col("k") - 1, F.col("total") - F.col("k")
-    f = F.try_divide(F.try_divide(F.col("between"), d1.cast("double")), F.try_divide(F.col("within"), d2.cast("double")))
+    d1, d2 = F.col("_k") - 1, F.col("_total") - F.col("_k")
+    f = F.try_divide(F.try_divide(F.col("_between"), d1.cast("double")), F.try_divide(F.col("_within"), d2.cast("double")))
     tested = sums.withColumns({"_f": f, "_d1": d1, "_d2": d2}).withColumn("_p", f_sf(F.col("_f"), F.col("_d1"), F.col("_d2")))
     flag = F.coalesce(F.col("_p") < alpha, F.lit(False))
+    shown = F.transform("_means", lambda m: F.concat(F.coalesce(m["_level"], F.lit("(none)")), F.lit(": "), F.format_string("%.4f", m["_mean"])))
     return tested.select(
         *keys,
         F.lit("One-Way ANOVA").alias("test"),
-        F.col("k").alias("n_groups"),
+        F.col("_k").alias("n_groups"),
+        F.array_join(shown, ", ").alias("group_means"),
         F.round("_f", 4).alias("f_statistic"),
         F.col("_d1").alias("df_between"),
         F.col("_d2").alias("df_within"),
@@ -179,69 +177,62 @@ def jarque_bera(df: DataFrame, value: str, keys: Sequence[str] = (), alpha: floa
     )
 
 
-def _shapiro_wilk(x: np.ndarray) -> tuple[float | None, float | None]:
-    """W and p by Royston's approximation (Applied Statistics, algorithm AS R94), 3 <= n <= 5000."""
-    x = np.sort(x)
-    n = len(x)
-    if n < 3 or x[-1] - x[0] == 0:
-        return None, None
-    inv = NormalDist().inv_cdf
-    m = np.array([inv((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-    mm, u = float(m @ m), 1 / np.sqrt(n)
-    a = np.empty(n)
-    if n == 3:
-        a[:] = (-np.sqrt(0.5), 0.0, np.sqrt(0.5))
-    else:
-        last = np.polyval([-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, m[-1] / np.sqrt(mm)], u)
-        if n > 5:
-            second = np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, m[-2] / np.sqrt(mm)], u)
-            phi = (mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * second**2)
-            a[2:-2] = m[2:-2] / np.sqrt(phi)
-            a[-2], a[1] = second, -second
-        else:
-            phi = (mm - 2 * m[-1] ** 2) / (1 - 2 * last**2)
-            a[1:-1] = m[1:-1] / np.sqrt(phi)
-        a[-1], a[0] = last, -last
-    centred = x - x.mean()
-    w = min(float((a @ x) ** 2 / (centred @ centred)), 1.0)
-    if n == 3:
-        return w, max(float(6 / np.pi * (np.arcsin(np.sqrt(w)) - np.arcsin(np.sqrt(0.75)))), 0.0)
-    y, ln = np.log(max(1 - w, 1e-300)), np.log(n)
-    if n <= 11:
-        gamma = 0.459 * n - 2.273
-        if y >= gamma:
-            return w, 0.0
-        y = -np.log(gamma - y)
-        mean = np.polyval([-0.0006714, 0.025054, -0.39978, 0.5440], n)
-        sd = np.exp(np.polyval([-0.0020322, 0.062767, -0.77857, 1.3822], n))
-    else:
-        mean = np.polyval([0.0038915, -0.083751, -0.31082, -1.5861], ln)
-        sd = np.exp(np.polyval([0.0030302, -0.082676, -0.4803], ln))
-    return w, 1 - NormalDist().cdf((y - mean) / sd)
-
-
-def shapiro(
-    df: DataFrame, value: str, ids: Sequence[str], keys: Sequence[str] = (), limit: int = 5000, alpha: float = 0.05
-) -> DataFrame:
-    """Shapiro-Wilk per key on ``limit`` rows in hash order (the test is defined up to 5000).
+# Acklam's rational approximation of the normal quantile (central part and tails), relative error 1.2e-9.
+_CENTRE_TOP = (-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02, 1.383577518672690e02, -3.066479806614716e01, 2.506628277459239e00)
+_CENTRE_BOTTOM = (-5.447609879822406e01, 1.615858368580409e02, -1.556989798598866e02, 6.680131188771972e01, -1.328068155288572e01, 1.0)
+_TAIL_TOP = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e00, -2.549732539343734e00, 4.374664141464968e00, 2.938163982698783e00)
+_TAIL_BOTTOM = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00, 3.754408661907416e00, 1.0)
+_TAIL = 0.02425
 
-    Each group handed to pandas holds at most ``limit`` values.
-    """
-    data, key = _keyed(df.filter(F.col(value).isNotNull()), keys)
-    picked = first_by_hash(data, key, ids, limit).select(*key, F.col(value).cast("double").alias("_x"))
-    schema = StructType([f for f in picked.schema.fields if f.name in key]).add("n", "long").add("_w", "double").add("_p", "double")
 
-    def test(group: pd.DataFrame) -> pd.DataFrame:
-        w, p = _shapiro_wilk(group["_x"].to_numpy())
-        out = group[key].head(1).copy()
-        return out.assign(n=len(group), _w=w, _p=p)
+def _polynomial(x: Column, coefficients: Sequence[float]) -> Column:
+    out = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        out = out * x + c
+    return out
+
 
+def normal_quantile(p: Column) -> Column:
+    """Inverse of the normal distribution function for 0 < p < 1."""
+    q = p - 0.5
+    centre = _polynomial(q * q, _CENTRE_TOP) * q / _polynomial(q * q, _CENTRE_BOTTOM)
+    far = F.sqrt(-2.0 * F.ln(F.least(p, 1.0 - p)))
+    tail = _polynomial(far, _TAIL_TOP) / _polynomial(far, _TAIL_BOTTOM)
+    return F.when(p < _TAIL, tail).when(p > 1.0 - _TAIL, -tail).otherwise(centre)
+
+
+def shapiro(df: DataFrame, value: str, ids: Sequence[str], keys: Sequence[str] = (), alpha: float = 0.05) -> DataFrame:
+    """Shapiro-Francia W' per key over all rows: the squared correlation of the sorted values with normal scores.
+
+    Rows are range-partitioned by key, value and a hash of ``ids`` (equal values are dealt too) and ranked by piece;
+    p by Royston's normal approximation of ln(1 - W'), made for samples of 5 and more. Fewer than three values, or
+    equal ones, give nulls.
+    """
+    data, key = _keyed(df.filter(F.col(value).isNotNull()), keys)
+    rows = data.select(*key, F.col(value).cast("double").alias("_x"), key_hash(*ids).alias("_h"))
+    pieces = settle(range_pieces(rows, *key, "_x", "_h").drop("_h"), "ranks")
+    earlier = Window.partitionBy(*key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    counts = pieces.groupBy(*key, "_piece").agg(F.count(F.lit(1)).alias("_pn"))
+    counts = counts.withColumns({"_before": F.coalesce(F.sum("_pn").over(earlier), F.lit(0)), "_n": F.sum("_pn").over(Window.partitionBy(*key))})
+    inside = F.row_number().over(Window.partitionBy(*key, "_piece").orderBy("_x"))
+    ranked = match(pieces.withColumn("_rank", inside), counts, [*key, "_piece"])
+    score = normal_quantile((F.col("_before") + F.col("_rank") - 0.375) / (F.col("_n") + 0.25))
+    sums = ranked.withColumn("_m", score).groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"), F.covar_pop("_m", "_x").alias("_mx"), F.var_pop("_m").alias("_mm"), F.var_pop("_x").alias("_xx")
+    )
+    w = F.when(F.col("_n") >= 3, F.try_divide(F.col("_mx") * F.col("_mx"), F.col("_mm") * F.col("_xx")))
+    tested = sums.withColumn("_w", F.least(w, F.lit(1.0)))
+    log_n = F.ln(F.col("_n").cast("double"))
+    mean = -1.2725 + 1.0521 * (F.ln(log_n) - log_n)
+    sd = 1.0308 - 0.26758 * (F.ln(log_n) + 2.0 / log_n)
+    z = (F.ln(F.greatest(1.0 - F.col("_w"), F.lit(1e-300))) - mean) / sd
+    tested = tested.withColumn("_z", F.when(F.col("_w").isNotNull(), z)).withColumn("_p", normal_upper(F.col("_z")))
     normal = F.col("_p") > alpha
-    return picked.groupBy(*key).applyInPandas(test, schema).select(
+    return tested.select(
         *keys,
-        F.lit("Shapiro-Wilk").alias("test"),
+        F.lit("Shapiro-Francia").alias("test"),
         F.lit(value).alias("variable"),
-        "n",
+        F.col("_n").alias("n"),
         F.round("_w", 4).alias("statistic"),
         F.round("_p", 6).alias("p_value"),
         normal.alias("normal"),

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.tokens import ngram_terms, phrases, terms
 from cohortry.operators.lexicons import STOP_WORDS
+from cohortry.operators.ordering import match
 from cohortry.session import settle
 
-# Words listed per group when phrases are formed; beyond it a group's phrases are all counted.
-WORD_LIST = 1000
+# Bits of a group's filter of words that a frequent phrase can be made of (64 to a number).
+FILTER_BITS = 1 << 16
 
 
 def tokenize(df: DataFrame, text_col: str, stop_words: Sequence[str] = STOP_WORDS, max_n: int = 2) -> DataFrame:
@@ -52,18 +53,25 @@ def _most_frequent(counts: DataFrame, group: Sequence[str], k: int) -> DataFrame
     return counts.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
 
+def _bit(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(FILTER_BITS)).cast("int")
+
+
 def _phrase_words(counts: DataFrame, best: DataFrame, group: list[str], k: int) -> DataFrame:
-    """Per group the words a top-``k`` phrase can be made of, or ``_open`` where they are too many to list.
+    """Per group a filter (``_mask``, of fixed size) of the words that a top-``k`` phrase can be made of.
 
     A phrase is at most as frequent as each of its words, so a phrase among the ``k`` best has only words
-    that reach the ``k``-th best word's count. Usually that is about ``k`` words, carried as an array; a group
-    with more than ``WORD_LIST`` of them (a flat distribution) is left open and counts all its phrases.
+    that reach the ``k``-th best word's count. The filter passes all of these and few others; the more words
+    there are, the more phrases are counted, and the counts stay exact.
     """
     floor = best.groupBy(*group).agg(F.when(F.count(F.lit(1)) >= k, F.min("total")).otherwise(0).alias("_floor"))
-    able = counts.join(floor, group).filter(F.col("total") >= F.col("_floor"))
-    sizes = able.groupBy(*group).agg((F.count(F.lit(1)) > WORD_LIST).alias("_open"))
-    listed = able.join(sizes.filter(~F.col("_open")), group).groupBy(*group).agg(F.collect_list("term").alias("_words"))
-    return sizes.join(listed, group, "left")
+    able = match(counts, floor, group).filter(F.col("total") >= F.col("_floor")).select(*group, _bit(F.col("term")).alias("_b"))
+    slot, one = F.shiftright("_b", 6), F.expr("shiftleft(1L, _b & 63)")
+    slots = F.explode(F.sequence(F.lit(0), F.lit(FILTER_BITS // 64 - 1))).alias("_slot")
+    none = floor.select(*group, slots).withColumn("_bits", F.lit(0).cast("bigint"))
+    set_ = able.select(*group, slot.alias("_slot"), one.alias("_bits"))
+    filled = none.unionByName(set_).groupBy(*group, "_slot").agg(F.bit_or("_bits").alias("_bits"))
+    return filled.groupBy(*group).agg(F.transform(F.array_sort(F.collect_list(F.struct("_slot", "_bits"))), lambda s: s["_bits"]).alias("_mask"))
 
 
 def vocabulary(
@@ -77,10 +85,18 @@ def vocabulary(
     """Per group the ``max_features`` most frequent terms (ties: term), with document frequency.
 
     Single words are counted first; phrases are then formed from words that can still reach the top, which
-    keeps the bigrams of the whole corpus out of the shuffle. The result is exact.
+    keeps the bigrams of the whole corpus out of the shuffle. The result is exact. Texts are split into words
+    once; a null group is a group like any other.
     """
     group = list(group)
     words = df.select(*group, terms(F.col(text_col), stop_words).alias("_k"))
+    if max_features is not None and max_n > 1:
+        words = settle(words, "words")
+    return _vocabulary(words, group, max_features, max_n)
+
+
+def _vocabulary(words: DataFrame, group: list[str], max_features: int | None, max_n: int) -> DataFrame:
+    """Of documents that are split into words (``_k``); they are read more than once."""
     if max_features is None:
         return _count_terms(words.withColumn("_t", ngram_terms(F.col("_k"), max_n)), group, "_t")
     counts = _count_terms(words, group, "_k")
@@ -89,9 +105,8 @@ def vocabulary(
     counts = settle(counts, "word-counts")
     best = _most_frequent(counts, group, max_features)
     listed = settle(_phrase_words(counts, best, group, max_features), "phrase-words")
-    masked = words.join(listed, group).withColumn(
-        "_m", F.transform("_k", lambda w: F.when(F.col("_open") | F.array_contains("_words", w), w))
-    )
+    able = lambda w: F.getbit(F.get("_mask", F.shiftright(_bit(w), 6)), _bit(w).bitwiseAND(63)) == 1
+    masked = match(words, listed, group).withColumn("_m", F.transform("_k", lambda w: F.when(able(w), w)))
     found = _count_terms(masked.withColumn("_t", phrases(F.col("_m"), max_n)), group, "_t")
     return _most_frequent(best.unionByName(found), group, max_features)
 
@@ -114,22 +129,21 @@ def tfidf_keywords(
     group = list(group)
     source = df if group else df.withColumn("_all", F.lit(1))
     key = group or ["_all"]
-    sizes = source.groupBy(*key).agg(F.count(F.lit(1)).alias("_docs"))
+    docs = settle(source.select(*key, terms(F.col(text_col), stop_words).alias("_k")), "words")
+    sizes = docs.groupBy(*key).agg(F.count(F.lit(1)).alias("_docs"))
     idf = F.ln((1.0 + F.col("_docs")) / (1.0 + F.col("df"))) + 1.0
     in_phrases = F.flatten(F.transform(F.filter("_names", lambda t: t.contains(" ")), lambda t: F.split(t, " ")))
     vocab = (
-        vocabulary(source, key, text_col, max_features, stop_words, max_n)
-        .join(sizes, key)
+        match(_vocabulary(docs, key, max_features, max_n), sizes, key)
         .withColumn("idf", idf)
         .groupBy(*key, "_docs")
         .agg(F.sort_array(F.collect_list(F.struct("term", "idf"))).alias("_v"))
         .withColumn("_names", F.col("_v.term"))
         .withColumn("_parts", F.array_distinct(in_phrases))
     )
-    docs = source.select(*key, terms(F.col(text_col), stop_words).alias("_k"))
     kept = settle(vocab, "vocabulary")
     if group:
-        known = docs.join(kept, key)
+        known = match(docs, kept, key)
     else:
         known = docs.withColumn("_s", kept.select(F.struct("_docs", "_v", "_names", "_parts")).scalar()).select("*", "_s.*")
     is_known = lambda t: F.array_contains("_names", t)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions.scalars import ratio
-from cohortry.operators.ordering import exact_medians
+from cohortry.operators.ordering import exact_medians, match
 from cohortry.session import one_row, settle
 
 
@@ -79,10 +79,14 @@ def risk_counts(predictions: DataFrame, keys: Sequence[str] = (), p: str = "chur
 def histogram(
     df: DataFrame, value: str, low: float, high: float, bins: int, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Equal-width bins over a known range; the top edge belongs to the last bin."""
-    b = F.least(F.width_bucket(F.col(value), F.lit(float(low)), F.lit(float(high)), F.lit(bins)), F.lit(bins))
+    """Equal-width bins over a known range; the top edge belongs to the last bin.
+
+    Bin 0 counts the values below the range and bin ``bins + 1`` those above it; nulls are left out.
+    """
+    edges = F.lit(float(low)), F.lit(float(high)), F.lit(bins)
+    b = F.when(F.col(value) == high, F.lit(bins)).otherwise(F.width_bucket(F.col(value), *edges))
     return (
-        df.filter(F.col(value).between(low, high))
+        df.filter(F.col(value).isNotNull())
         .groupBy(*keys, b.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -97,7 +101,7 @@ def histogram_by(
     bounds = (F.min(value).alias("lo"), F.max(value).alias("hi"))
     if keys:
         spans = kept.groupBy(*keys).agg(*bounds)
-        ranged = kept.join(settle(spans, "spans"), list(keys))
+        ranged = match(kept, settle(spans, "spans"), list(keys))
     else:
         ranged = kept.withColumn("_s", one_row(kept, *bounds)).select("*", "_s.*")
     width = F.col("hi") - F.col("lo")

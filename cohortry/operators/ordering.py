@@ -17,6 +17,15 @@ HEX_DIGITS = 4  # 65,536 hash buckets
 ACCURACY = 10_000
 
 
+def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys``, a null key matching a null key: rows of a null group stay with their group."""
+    renamed = right.select(*[F.col(k).alias(f"_right_{k}") if k in keys else F.col(k) for k in right.columns])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def key_hash(*keys: str, seed: int = 42) -> Column:
     """md5 of seed and key: uniform, and equal in every engine."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
@@ -69,9 +78,7 @@ def hash_thresholds(
             )
         ),
     )
-    near = hashed.select(*group, F.col(h).alias("_h"), _bucket(h).alias("_b")).join(
-        settle(cuts, "cuts"), [*group, "_b"]
-    )
+    near = match(hashed.select(*group, F.col(h).alias("_h"), _bucket(h).alias("_b")), settle(cuts, "cuts"), [*group, "_b"])
     w = Window.partitionBy(*group, "_cut").orderBy("_h")
     exact = near.withColumn("_rn", F.row_number().over(w)).filter("_rn = _rank")
     found = exact.groupBy(*group).agg(
@@ -88,7 +95,7 @@ def first_by_hash(df: DataFrame, group: Sequence[str], ids: Sequence[str], k: in
     hashed = df.withColumn("_h", key_hash(*ids, seed=seed))
     last = hash_buckets(hashed, group).filter(F.col("_before") < k).groupBy(*group).agg(F.max("_b").alias("_last"))
     if group:
-        near = hashed.join(settle(last, "last-bucket"), list(group))
+        near = match(hashed, settle(last, "last-bucket"), list(group))
     else:
         near = hashed.withColumn("_last", last.select("_last").scalar())
     near = near.filter(_bucket("_h") <= F.col("_last"))
@@ -102,6 +109,7 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ``percentile`` would gather every distinct value in one buffer. Here an approximate quantile
     pair brackets the middle ranks, the second pass counts the rows below the bracket and keeps
     only values inside it (about 6 / ``ACCURACY`` of the rows, combined by value on the map side).
+    Those are range-partitioned, so that no task ranks all of a column's.
     """
     eps = 3.0 / ACCURACY
     clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
@@ -115,26 +123,29 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ],
     )
     staged = clean.withColumn("_s", brackets)
-    pieces = []
-    for c in columns:
-        low, high = F.col("_s")[c]["at"][0], F.col("_s")[c]["at"][1]
-        value = F.col(c)
-        pieces.append(
-            F.struct(
-                F.lit(c).alias("_col"),
-                F.when(value >= low, value).alias("_v"),
-                (value <= high).alias("_keep"),
-                F.col("_s")[c]["n"].alias("_size"),
-            )
-        )
+    low = {c: F.col("_s")[c]["at"][0] for c in columns}
+    high = {c: F.col("_s")[c]["at"][1] for c in columns}
+    below = one_row(staged, *[F.count_if(F.col(c) < low[c]).alias(c) for c in columns])
+    inside = [
+        F.when(F.col(c).between(low[c], high[c]), F.struct(F.lit(c).alias("_col"), F.col(c).alias("_v"))) for c in columns
+    ]
     counted = (
-        staged.select(F.inline_outer(F.filter(F.array(*pieces), lambda s: s["_keep"])))
-        .filter(F.col("_col").isNotNull())
+        staged.select(F.inline(F.filter(F.array(*inside), lambda s: s.isNotNull())))
         .groupBy("_col", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"), F.first("_size").alias("_size"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    pieces = settle(range_pieces(counted, "_col", "_v"), "bracket")
+    earlier = Window.partitionBy("_col").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    totals = pieces.groupBy("_col", "_piece").agg(F.sum("_n").alias("_pn")).withColumn("_before", F.coalesce(F.sum("_pn").over(earlier), F.lit(0)))
+    upto_here = Window.partitionBy("_piece", "_col").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    facts = F.array(*[F.struct(F.lit(c).alias("_col"), below[c].alias("_below"), brackets[c]["n"].alias("_size")) for c in columns])
+    known = df.sparkSession.range(1).select(F.inline(facts))
+    upto = (
+        pieces.withColumn("_own", F.sum("_n").over(upto_here))
+        .join(totals.select("_col", "_piece", "_before"), ["_col", "_piece"])
+        .join(known, "_col")
+        .withColumn("_upto", F.col("_below") + F.col("_before") + F.col("_own"))
     )
-    w = Window.partitionBy("_col").orderBy(F.col("_v").asc_nulls_first())
-    upto = counted.withColumn("_upto", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     at = lambda rank: F.min(F.when(F.col("_upto") >= rank, F.col("_v")))
     mid = upto.groupBy("_col").agg(
         ((at(F.floor((F.col("_size") + 1) / 2)) + at(F.floor(F.col("_size") / 2) + 1)) / 2.0).alias("_m")

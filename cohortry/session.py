@@ -68,14 +68,3 @@ def one_row(df: DataFrame, *aggs: Column) -> Column:
     """
     return df.agg(F.struct(*aggs).alias("s")).scalar()
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition an input of very few files over all cores before work that is heavy per row.
-
-    A file with one row group is one task however large the cluster. A table of many files is returned as
-    it is: it already has enough splits, and shuffling it would cost more than it gains.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) * 4 > cores:
-        return df
-    return df.repartition(cores)

@@ -25,12 +25,14 @@ def read_event_stream(
 
 
 def clean_event_stream(events: DataFrame, watermark: str = "1 hour", key: str = "event_id") -> DataFrame:
-    """Silver events from a stream: valid arms, repaired columns, duplicates within the watermark dropped.
+    """Silver events from a stream: duplicates within the watermark dropped, then valid arms and repaired columns.
 
-    State is one key per event inside the watermark, so it is bounded by the event rate times the delay.
+    As in batch an event is deduplicated before its arm is looked at. Of copies that differ, batch keeps the earliest
+    and a stream the first that arrives. State is one key per event inside the watermark, so it is bounded by the event
+    rate times the delay.
     """
-    cleaned = event_columns(events).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    return cleaned.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark([key])
+    timed = events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    return event_columns(timed.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark([key]))
 
 
 def windowed_arm_counts(
@@ -67,7 +69,8 @@ def live_monitor(
     """Sequential-test table kept up to date from daily ``windowed_arm_counts``.
 
     Each micro-batch receives the complete daily totals (days x experiments x arms, not events), turns them
-    into the monitor columns and replaces the table of that batch; a replayed batch writes the same folder.
+    into the monitor columns and replaces one of two tables, the one that is not the newest; a replayed batch writes
+    the same folder. Give it ``clean_event_stream`` as input of the counts, so that repeated events count once.
     """
 
     def refresh(totals: DataFrame, batch: int) -> None:
@@ -78,7 +81,8 @@ def live_monitor(
             arm("treatment", "n").alias("treatment_n"),
             arm("treatment", "conversions").alias("treatment_conversions"),
         )
-        monitor_columns(daily, keys, alpha).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        made = monitor_columns(daily, keys, alpha).withColumn("batch", F.lit(batch).cast("bigint"))
+        made.write.mode("overwrite").parquet(f"{path}/side={batch % 2}")
 
     started = (
         counts.writeStream.foreachBatch(refresh)
@@ -89,4 +93,4 @@ def live_monitor(
     )
     started.awaitTermination()
     written = counts.sparkSession.read.parquet(path)
-    return written.filter(F.col("batch") == written.agg(F.max("batch")).scalar()).drop("batch")
+    return written.filter(F.col("batch") == written.agg(F.max("batch")).scalar()).drop("batch", "side")

@@ -246,10 +246,10 @@ def anova_sql(keys: str, source: str, factor: str, value: str) -> str:
     by = f"group by {keys}" if keys else ""
     return f"""with lv as (select {k}{factor} as lvl, count({value}) as n, avg({value}) as m, var_samp({value}) as v from {source} group by {k}{factor} having count({value}) > 30),
       gm as (select *, sum(n * m) {over} / sum(n) {over} as grand from lv),
-      s as (select {k}count(*) as k, sum(n)::bigint as total, sum(n * pow(m - grand, 2)) as ssb, sum((n - 1) * v) as ssw from gm {by}),
+      s as (select {k}string_agg(lvl || ': ' || printf('%.4f', m), ', ' order by lvl) as group_means, count(*) as k, sum(n)::bigint as total, sum(n * pow(m - grand, 2)) as ssb, sum((n - 1) * v) as ssw from gm {by}),
       f as (select *, k - 1 as d1, total - k as d2, (ssb / (k - 1)) / (ssw / (total - k)) as f from s),
       pv as (select *, {p_f('f', 'd1', 'd2')} as p from f)
-    select {k}'One-Way ANOVA' as test, k as n_groups, round(f, 4) as f_statistic, d1 as df_between, d2 as df_within, round(p, 6) as p_value, p < 0.05 as significant,
+    select {k}'One-Way ANOVA' as test, k as n_groups, group_means, round(f, 4) as f_statistic, d1 as df_between, d2 as df_within, round(p, 6) as p_value, p < 0.05 as significant,
       case when p < 0.05 then 'At least one group mean differs significantly' else 'No significant difference between groups' end as interpretation from pv"""
 
 
@@ -283,7 +283,26 @@ def correlation_quantity_price(spark, d):
     return hypothesis.pearson(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", ["l_returnflag"])
 
 
-@query()
+def quantile_sql(p: str) -> str:
+    """Inverse normal distribution by bisection on its integral would be slow; the same rational approximation as text."""
+    poly = lambda x, cs: "(" + str(cs[0]) + "".join(f") * {x} + ({c})" for c in cs[1:])
+    nested = lambda x, cs: "(" * (len(cs) - 1) + poly(x, cs)[1:]
+    h = hypothesis
+    q2, far = f"(({p} - 0.5) * ({p} - 0.5))", f"sqrt(-2 * ln(least({p}, 1 - {p})))"
+    centre = f"({nested(q2, h._CENTRE_TOP)}) * ({p} - 0.5) / ({nested(q2, h._CENTRE_BOTTOM)})"
+    tail = f"({nested(far, h._TAIL_TOP)}) / ({nested(far, h._TAIL_BOTTOM)})"
+    return f"case when {p} < {h._TAIL} then {tail} when {p} > 1 - {h._TAIL} then -({tail}) else {centre} end"
+
+
+@query(
+    f"""with r as (select l_returnflag, l_extendedprice::double as x, (row_number() over (partition by l_returnflag order by l_extendedprice) - 0.375::double) / (count(*) over (partition by l_returnflag) + 0.25::double) as p from lineitem),
+         m as (select *, {quantile_sql('p')} as m from r),
+         c as (select l_returnflag, count(*) as n, pow(covar_pop(m, x), 2) / (var_pop(m) * var_pop(x)) as w from m group by all),
+         z as (select *, (ln(greatest(1 - w, 1e-300)) - (-1.2725 + 1.0521 * (ln(ln(n)) - ln(n)))) / (1.0308 - 0.26758 * (ln(ln(n)) + 2 / ln(n))) as z from c),
+         p as (select *, {p_normal_upper('z')} as p from z)
+       select l_returnflag, 'Shapiro-Francia' as test, 'l_extendedprice' as variable, n, round(w, 4) as statistic, round(p, 6) as p_value, p > 0.05 as normal,
+         case when p > 0.05 then 'Normally distributed' else 'Not normally distributed' end as interpretation from p"""
+)
 def shapiro_normality(spark, d):
     rows = table(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
     return hypothesis.shapiro(rows, "l_extendedprice", ["l_orderkey", "l_linenumber"], ["l_returnflag"])
@@ -332,10 +351,10 @@ def sequential_monitor(spark, d):
 
 
 @query(
-    f"""with {totals_sql('experiment_name, device, source')}, {z_sql('')}, p as (select *, round({p_normal('z')}, 6) as p from zed),
+    f"""with {totals_sql('experiment_name, device, source')}, {z_sql('')}, p as (select *, {p_normal('z')} as p from zed),
          r as (select *, count(p) over (partition by experiment_name) as m, rank() over (partition by experiment_name order by p) + count(*) over (partition by experiment_name, p) - 1 as rk from p)
        select experiment_name, device, source, nc as control_n, xc as control_conversions, nt as treatment_n, xt as treatment_conversions, round(diff, 6) as absolute_lift,
-         round(z, 4) as z_statistic, p as p_value, round(least(p * m, 1.0), 6) as p_bonferroni,
+         round(z, 4) as z_statistic, round(p, 6) as p_value, round(least(p * m, 1.0), 6) as p_bonferroni,
          round(least(min(p * m / rk) over (partition by experiment_name order by p desc range between unbounded preceding and current row), 1.0), 6) as p_bh from r""",
     "events clean_events",
 )

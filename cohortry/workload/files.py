@@ -146,10 +146,10 @@ def event_stream(spark, d):
 def stream_silver_events(spark, d):
     """The event table replayed as a file stream into a silver table.
 
-    A replay reads files in no time order, so the watermark spans the whole history and no row counts as late.
+    The file source replays the oldest files first, so a day's watermark holds the state down.
     """
     base = scratch_path(spark, "stream-silver")
-    cleaned = streaming.clean_event_stream(event_stream(spark, d), watermark="3650 days")
+    cleaned = streaming.clean_event_stream(event_stream(spark, d), watermark="1 day")
     return streaming.run_to_table(cleaned, f"{base}/table", f"{base}/checkpoint").drop("timestamp")
 
 
@@ -166,8 +166,6 @@ def daily_arm_counts(spark, d):
 @query(MONITOR_SQL, "events clean_events")
 def stream_monitor(spark, d):
     """Live sequential monitor from the event stream; equals ``sequential_monitor`` once the input is used up."""
-    from cohortry.operators.cleaning import event_columns
-
     base = scratch_path(spark, "stream-monitor")
-    counts = streaming.windowed_arm_counts(event_columns(event_stream(spark, d)))
+    counts = streaming.windowed_arm_counts(streaming.clean_event_stream(event_stream(spark, d), watermark="1 day"))
     return streaming.live_monitor(counts, f"{base}/table", f"{base}/checkpoint")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortry.operators import keywords, lexicons, sentiment
 from cohortry.operators.metrics import sentiment_stats
-from cohortry.session import settle, spread
+from cohortry.session import settle
 from cohortry.sources.tables import reviews_view, table
 from cohortry.workload.base import query, text_list
 from cohortry.workload.cleaning import NUM, WS
@@ -47,7 +47,7 @@ def review_sentiment(spark, d):
 
 @query(f"with {sentiment_ctes('doc_id', 'text', 'documents')} select doc_id, predicted_sentiment, sentiment_confidence from scored")
 def document_sentiment(spark, d):
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
     return sentiment.add_sentiment(docs, "text").drop("text")
 
 
@@ -163,7 +163,7 @@ KEYWORD_TAIL = """,
     f"""with {gram_ctes('lang', 'doc_id', 'text', 'documents')} select g as lang, term, total, df from vocab"""
 )
 def vocabulary_by_language(spark, d):
-    docs = spread(table(spark, d, "documents").select("lang", "text"))
+    docs = table(spark, d, "documents").select("lang", "text")
     return keywords.vocabulary(docs, ["lang"], "text").select("lang", "term", "total", "df")
 
 
@@ -181,7 +181,7 @@ def review_terms(spark, d):
 
 @query("with " + gram_ctes("lang", "doc_id", "text", "documents") + KEYWORD_TAIL.replace("{name}", "lang"))
 def keywords_by_language(spark, d):
-    docs = spread(table(spark, d, "documents").select("lang", "text"))
+    docs = table(spark, d, "documents").select("lang", "text")
     return keywords.tfidf_keywords(docs, ["lang"], "text")
 
 
@@ -199,7 +199,7 @@ def keywords_by_sentiment(spark, d):
 
 @query("with " + gram_ctes("'all'", "conv_id * 1000000 + turn", "text", "conversations") + KEYWORD_TAIL.replace("g as {name},", ""))
 def keywords_of_conversations(spark, d):
-    return keywords.tfidf_keywords(spread(table(spark, d, "conversations").select("text")), [], "text")
+    return keywords.tfidf_keywords(table(spark, d, "conversations").select("text"), [], "text")
 
 
 @query()

@@ -123,10 +123,13 @@ def test_model_round_trip_and_json_scoring(spark):
     assert again.count() == rows.count() and again.filter("churn_probability < 0 or churn_probability > 1").count() == 0
     body = rows.limit(1).select(F.to_json(F.struct(F.array(*names).alias("features"))).alias("body"))
     nested = body.select(F.regexp_replace(F.regexp_replace("body", r"\[", "[["), r"\]", "]]").alias("body"))
-    replies = churn.score_json(model, body.union(nested).union(spark.createDataFrame([("{}",)], "body string")), "body", names).collect()
+    twice = body.select(F.regexp_replace(F.regexp_replace("body", r"\[(.*)\]", "[[$1],[$1]]"), "nothing", "").alias("body"))
+    bodies = body.union(nested).union(twice).union(spark.createDataFrame([("{}",)], "body string"))
+    replies = churn.score_json(model, bodies, "body", names).collect()
     first = json.loads(replies[0].response)
-    assert first == json.loads(replies[1].response) and set(first) == {"churn_probability", "predicted_class", "risk_level"}
-    assert replies[2].response is None
+    assert set(first) == {"churn_probability", "predicted_class", "risk_level"}
+    assert all(json.loads(r.response) == first for r in replies[:4]) and [r.row for r in replies[:4]] == [0, 0, 0, 1]
+    assert replies[4].response is None
 
 
 def test_medallion_and_insights(spark):
@@ -153,7 +156,8 @@ def test_stream_equals_batch_over_micro_batches(spark):
     want = cleaning.clean_ab_events(experiment_columns(events)).select("event_id", "group", "revenue_inr", "converted")
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
-    counts = streaming.windowed_arm_counts(cleaning.event_columns(experiment_columns(streaming.read_event_stream(spark, f"{base}/in", events.schema, max_files=1))))
+    again = experiment_columns(streaming.read_event_stream(spark, f"{base}/in", events.schema, max_files=1))
+    counts = streaming.windowed_arm_counts(streaming.clean_event_stream(again, watermark="60 days"))
     live = streaming.live_monitor(counts, f"{base}/live", f"{base}/ck2")
-    batch = experiments.sequential_monitor(cleaning.event_columns(experiment_columns(doubled)))
+    batch = experiments.sequential_monitor(cleaning.clean_ab_events(experiment_columns(doubled)))
     assert live.count() == batch.count() > 0 and live.select(batch.columns).exceptAll(batch).count() == 0
