@@ -40,22 +40,19 @@ def review_summary(
 ) -> DataFrame:
     """Executive review summary per group from ``sentiment_stats`` and keywords of the same groups."""
     rows = attach_terms(stats, keywords, keys, 5, sentiment_col).withColumn("band", satisfaction_band(F.col("positive_pct")))
-    or_else = lambda c, d: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(d))
+    # A list of words is shown only if there are any.
+    listed = lambda c, title: F.when(F.coalesce(F.length(c), F.lit(0)) > 0, F.concat(F.lit(title), F.col(c), F.lit("\n\n"))).otherwise("")
     text = F.format_string(
         "## Review summary\n\n"
-        "Of %s reviews, %.0f%% are positive and %.0f%% negative: satisfaction is %s.\n\n"
-        "### What customers like\n- Most named in praise: %s\n\n"
-        "### What needs work\n- Most named in complaints: %s\n\n"
-        "### Next steps\n"
-        "1. Check products before dispatch in the categories with most complaints.\n"
-        "2. Agree delivery times with couriers and watch the late ones.\n"
-        "3. Answer one- and two-star reviews within a day.\n",
+        "%s reviews: %.0f%% positive, %.0f%% negative. Satisfaction is %s.\n\n%s%s"
+        "For every positive review there are %.2f negative ones.\n",
         F.format_number("total_reviews", 0),
         F.col("positive_pct"),
         F.col("negative_pct"),
         F.col("band"),
-        or_else("positive_terms", "quality, delivery"),
-        or_else("negative_terms", "delay, defective"),
+        listed("positive_terms", "Words of praise: "),
+        listed("negative_terms", "Words of complaint: "),
+        F.coalesce(F.try_divide(F.col("negative_pct"), F.col("positive_pct")), F.lit(0.0)),
     )
     return rows.withColumn("summary", text)
 

@@ -68,10 +68,16 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
 def register_table(
     spark: SparkSession, database: str, name: str, path: str, database_path: str | None = None
 ) -> DataFrame:
-    """Register a layer path as an external catalog table and return that table."""
+    """Register a layer path as an external catalog table and return that table; a table of another path is replaced."""
     where = f" LOCATION '{database_path}'" if database_path else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` USING parquet LOCATION '{path}'")
+    table = f"`{database}`.`{name}`"
+    if spark.catalog.tableExists(f"{database}.{name}"):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+        plain = lambda p: p.removeprefix("file:").replace("//", "/").rstrip("/")
+        if not rows or plain(rows[0]["data_type"]) != plain(path):
+            spark.sql(f"DROP TABLE {table}")  # external: the files stay
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{path}'")
     return spark.table(f"`{database}`.`{name}`")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortry.functions import ratio
-from cohortry.operators import cleaning, features
+from cohortry.operators import cleaning, features, lexicons
 from cohortry.operators.lexicons import QUICK_NEGATORS, REVIEW_KEYWORDS
 from cohortry.sources.tables import ab_events_view, customers_view, reviews_view, table
 from cohortry.workload.base import query, text_list
@@ -275,17 +275,18 @@ def reviews_of_negative_balance_customers(spark, d):
 
 
 @query(
-    """select term, count(*) as n_reviews from
+    f"""select term, kind, count(*) as n_reviews from
          (select review_id, unnest(list_distinct(string_split(lower(review_text), ' '))) as term from v_reviews)
-       where term in ('great', 'fast', 'slow', 'not', 'broken', 'easy') group by term""",
+         join (select unnest([{text_list(lexicons.POSITIVE)}]) as term, 'positive' as kind union all select unnest([{text_list(lexicons.NEGATIVE)}]), 'negative') using (term)
+       group by term, kind""",
     "reviews",
 )
 def lexicon_table_lookup(spark, d):
     """A lexicon kept as a table: token rows joined to it; Catalyst broadcasts it by its known size."""
-    entries = [F.lit(w) for w in ("great", "fast", "slow", "not", "broken", "easy")]
-    lexicon = spark.range(1).select(F.explode(F.array(*entries)).alias("term"))
+    entries = [F.struct(F.lit(w).alias("term"), F.lit(kind).alias("kind")) for kind, words in (("positive", lexicons.POSITIVE), ("negative", lexicons.NEGATIVE)) for w in words]
+    lexicon = spark.range(1).select(F.inline(F.array(*entries)))
     words = reviews_view(spark, d).select(F.explode(F.array_distinct(F.split(F.lower("review_text"), " "))).alias("term"))
-    return words.join(lexicon, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_reviews"))
+    return words.join(lexicon, "term").groupBy("term", "kind").agg(F.count(F.lit(1)).alias("n_reviews"))
 
 
 # ---------------------------------------------------------------- scalar function families
@@ -406,7 +407,10 @@ def json_functions(spark, d):
     )
 
 
-@query(name="number_formatting")
+@query(
+    """select o_orderkey, printf('%.1f%%', o_totalprice / 1e6 * 100) as share, format('{:,.2f}', o_totalprice) as grouped,
+         '₹' || format('{:,.0f}', round_even(o_totalprice, 0)) as money from orders"""
+)
 def number_formatting(spark, d):
     from cohortry.functions import as_percent, format_money
 

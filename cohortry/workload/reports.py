@@ -71,8 +71,9 @@ def executive_summary(spark, d):
 
 @query()
 def review_prompts(spark, d):
-    stats = metrics.sentiment_stats(scored_reviews(spark, d), ["category"])
-    return reports.review_prompts(stats, None, ["category"])
+    scored = settle(scored_reviews(spark, d), "reviews")
+    found = keywords.tfidf_keywords(scored, ["category", "predicted_sentiment"], "review_text", 8)
+    return reports.review_prompts(metrics.sentiment_stats(scored, ["category"]), found, ["category"])
 
 
 @query()

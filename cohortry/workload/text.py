@@ -53,10 +53,10 @@ def document_sentiment(spark, d):
 
 @query(
     f"""with {sentiment_ctes('conv_id, turn, role', 'text', 'conversations')}
-       select conv_id, turn, predicted_sentiment, sentiment_confidence from scored where role = 'user'"""
+       select conv_id, turn, role, predicted_sentiment, sentiment_confidence from scored"""
 )
 def user_turn_sentiment(spark, d):
-    turns = table(spark, d, "conversations").filter("role = 'user'").select("conv_id", "turn", "text")
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     return sentiment.add_sentiment(turns, "text").drop("text")
 
 
@@ -214,7 +214,9 @@ def trained_document_classifier(spark, d):
     return apply_text_model(model, docs, "text").select("doc_id", "predicted_sentiment", "sentiment_confidence")
 
 
-@query()
+@query(
+    r"""select conv_id, turn, length(regexp_replace(coalesce(text, ''), '[^\p{Lu}]', '', 'g')) / greatest(length(coalesce(text, '')), 1)::double as model_probability from conversations"""
+)
 def user_model_scores(spark, d):
     """A user's text model plugged in as an iterator pandas UDF (here: share of upper-case letters)."""
 
