@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions.tails import let
+from cohortry.session import settle
 
-GRID = 4000
-SPAN = 8.0  # half-width of the grid in posterior standard deviations
+CELLS = 2000
+SPAN = 8.0  # half-width of a grid in posterior standard deviations
 
 
 def _posterior(arm: str, prior_alpha: float, prior_beta: float) -> tuple[Column, Column]:
@@ -18,41 +19,43 @@ def _posterior(arm: str, prior_alpha: float, prior_beta: float) -> tuple[Column,
     return x + prior_alpha, n - x + prior_beta
 
 
-def _log_density(a: Column, b: Column):
-    return lambda x: (a - 1.0) * F.ln(x) + (b - 1.0) * F.ln(1.0 - x)
+def _log_density(a: Column, b: Column, mean: Column):
+    """Logarithm of the beta density, relative to that at the mean, by the distance from the mean.
 
-
-def _relative(log_density: Column):
-    """Densities relative to the peak, from their logarithms."""
-    return lambda peak: F.transform(log_density, lambda v: F.exp(v - peak))
+    For a large sample the terms of the plain form are so large that their difference would have no digits left.
+    """
+    return lambda d: (a - 1.0) * F.log1p(d / mean) + (b - 1.0) * F.log1p(-d / (1.0 - mean))
 
 
-def _sweep(total_c: Column, total_t: Column, step: Column) -> Column:
-    """One pass over the grid: cumulative masses, P(treatment > control) and expected loss."""
-    cells = F.zip_with("_fc", "_ft", lambda c, t: F.struct(c.alias("fc"), t.alias("ft")))
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("c", "t", "win", "loss")])
+def _with_grid(df: DataFrame, s: str, cells: int) -> DataFrame:
+    """The posterior on its own grid of cells, mean +/- 8 sd within 0..1: low end, step, and mass of each cell."""
+    a, b, mean, sd = (F.col(f"_{x}{s}") for x in "abms")
+    low, high = F.greatest(mean - SPAN * sd, F.lit(0.0)), F.least(mean + SPAN * sd, F.lit(1.0))
+    df = df.withColumns({f"_lo{s}": low, f"_h{s}": (high - low) / float(cells)})
+    away = F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), lambda i: F.col(f"_lo{s}") - mean + (i + 0.5) * F.col(f"_h{s}"))
+    # Values used in a lambda are bound with ``let``: a column used once inside one would be inlined there and
+    # evaluated again for every cell.
+    df = df.withColumn(f"_l{s}", F.transform(away, _log_density(a, b, mean)))
+    df = df.withColumn(f"_f{s}", let(lambda peak: F.transform(f"_l{s}", lambda v: F.exp(v - peak)), F.array_max(f"_l{s}")))
+    total = F.aggregate(f"_f{s}", F.lit(0.0), lambda acc, v: acc + v)
+    return df.withColumn(f"_q{s}", let(lambda t: F.transform(f"_f{s}", lambda v: v / t), total)).drop(f"_l{s}", f"_f{s}")
 
-    def walk(acc: Column, cell: Column) -> Column:
-        fc, ft = cell["fc"] / total_c, cell["ft"] / total_t
-        mid_c, mid_t = acc["c"] + fc / 2.0, acc["t"] + ft / 2.0
-        return F.struct(
-            (acc["c"] + fc).alias("c"),
-            (acc["t"] + ft).alias("t"),
-            (acc["win"] + ft * mid_c).alias("win"),
-            (acc["loss"] + mid_t * (1.0 - mid_c) * step).alias("loss"),
-        )
 
-    return F.aggregate(cells, zero, walk)
+def _running(values: Column) -> Column:
+    """Sums of the values before each one."""
+    zero = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("all"))
+    return F.aggregate(values, zero, lambda acc, v: F.struct((acc["sum"] + v).alias("sum"), F.array_append(acc["all"], acc["sum"]).alias("all")), lambda acc: acc["all"])
 
 
 def bayes_test(
-    totals: DataFrame, prior_alpha: float = 1.0, prior_beta: float = 1.0, grid: int = GRID
+    totals: DataFrame, prior_alpha: float = 1.0, prior_beta: float = 1.0, cells: int = CELLS
 ) -> DataFrame:
     """P(treatment > control), expected lift and expected loss by quadrature; deterministic.
 
-    Both posterior densities are laid over one grid of ``grid`` midpoints that covers mean +/- 8 sd of
-    each, so the step shrinks with the sample. The grid lives in array columns of the experiment's own
-    row: no extra rows, no shuffle and no gamma function (densities are normalised by their sum).
+    Each posterior has a grid of its own, so both are resolved however far apart or unequal they are. The integral
+    runs over the narrower one; the other enters by its distribution function and its partial mean, which are smooth
+    on the narrower one's scale. The grids live in array columns of the experiment's own row: no extra rows, no
+    shuffle and no gamma function (densities are normalised by their sum).
     """
     with_ab = totals
     for arm, s in (("control", "c"), ("treatment", "t")):
@@ -60,29 +63,56 @@ def bayes_test(
         with_ab = with_ab.withColumns({f"_a{s}": a, f"_b{s}": b})
         size = F.col(f"_a{s}") + F.col(f"_b{s}")
         mean = F.col(f"_a{s}") / size
-        with_ab = with_ab.withColumns(
-            {f"_m{s}": mean, f"_s{s}": F.sqrt(mean * (1.0 - mean) / (size + 1.0))}
-        )
-    low = F.greatest(F.least(*[F.col(f"_m{s}") - SPAN * F.col(f"_s{s}") for s in "ct"]), F.lit(0.0))
-    high = F.least(F.greatest(*[F.col(f"_m{s}") + SPAN * F.col(f"_s{s}") for s in "ct"]), F.lit(1.0))
-    gridded = with_ab.withColumns({"_lo": low, "_step": (high - low) / float(grid)})
-    points = F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda i: F.col("_lo") + (i + 0.5) * F.col("_step"))
-    gridded = gridded.withColumn("_x", points)
-    # Peaks and totals are bound with ``let``: a column used once inside a lambda would be inlined there
-    # and evaluated again for every grid point.
-    for s in "ct":
-        gridded = gridded.withColumn(f"_l{s}", F.transform("_x", _log_density(F.col(f"_a{s}"), F.col(f"_b{s}"))))
-        gridded = gridded.withColumn(f"_f{s}", let(_relative(F.col(f"_l{s}")), F.array_max(f"_l{s}")))
-    total = lambda s: F.aggregate(f"_f{s}", F.lit(0.0), lambda acc, v: acc + v)
-    swept = gridded.withColumn("_r", let(_sweep, total("c"), total("t"), F.col("_step")))
-    win = F.col("_r.win")
+        with_ab = with_ab.withColumns({f"_m{s}": mean, f"_s{s}": F.sqrt(mean * (1.0 - mean) / (size + 1.0))})
+        with_ab = _with_grid(with_ab, s, cells)
+    # Written out, so that Catalyst does not put the definition of an array into the lambdas that read it. One row an
+    # experiment; nothing else is in these tables.
+    with_ab = settle(with_ab, "posteriors")
+    flip = F.col("_sc") < F.col("_st")  # the control is the narrower one
+    pick = lambda x, narrow: F.when(flip == narrow, F.col(f"_{x}c")).otherwise(F.col(f"_{x}t"))
+    known = flip.isNotNull()
+    sides = with_ab.withColumns(
+        {f"_{n}{x}": F.when(known, pick(x, n == "n")) for n in "nw" for x in ("lo", "h", "q", "m")}
+    )
+    # Mass and first moment of the wider posterior below the start of each of its cells.
+    moments = F.transform("_wq", lambda q, i: q * (F.col("_wlo") + (i + 0.5) * F.col("_wh")))
+    sides = sides.withColumn("_wd", moments).withColumns({"_wc": _running(F.col("_wq"))})
+    sides = settle(sides, "sides").withColumn("_we", _running(F.col("_wd")))
+    sides = settle(sides, "moments")
+
+    def at(x: Column) -> Column:
+        """Distribution function and partial mean of the wider posterior."""
+        place = (x - F.col("_wlo")) / F.col("_wh")
+        j = F.greatest(F.least(F.floor(place), F.lit(cells - 1)), F.lit(0)).cast("int")
+        part = F.greatest(F.least(place - j, F.lit(1.0)), F.lit(0.0))
+        below = F.get("_wc", j) + part * F.get("_wq", j)
+        return F.struct(below.alias("f"), (F.get("_we", j) + part * F.get("_wd", j)).alias("g"))
+
+    points = F.transform("_nq", lambda q, i: F.struct(q.alias("q"), (F.col("_nlo") + (i + 0.5) * F.col("_nh")).alias("x")))
+    sides = sides.withColumn("_p", points).withColumn("_v", F.transform("_p", lambda p: F.struct(p["q"].alias("q"), p["x"].alias("x"), at(p["x"]).alias("w"))))
+    zero = F.struct(F.lit(0.0).alias("win"), F.lit(0.0).alias("below"), F.lit(0.0).alias("above"))
+    summed = F.aggregate(
+        "_v",
+        zero,
+        lambda acc, v: F.struct(
+            (acc["win"] + v["q"] * v["w"]["f"]).alias("win"),
+            (acc["below"] + v["q"] * (v["x"] * v["w"]["f"] - v["w"]["g"])).alias("below"),
+            (acc["above"] + v["q"] * (F.col("_wm") - v["w"]["g"] - v["x"] * (1.0 - v["w"]["f"]))).alias("above"),
+        ),
+    )
+    # ``win``: the narrower is larger. ``below`` / ``above``: mean shortfall of the wider / of the narrower against the other.
+    swept = sides.withColumn("_r", summed)
+    win = F.when(flip, 1.0 - F.col("_r.win")).otherwise(F.col("_r.win"))
+    loss = F.when(flip, F.col("_r.below")).otherwise(F.col("_r.above"))
+    swept = swept.withColumns({"_win": win, "_loss": F.greatest(loss, F.lit(0.0))})
+    win = F.col("_win")
     return swept.select(
         *totals.columns,
         F.lit("Bayesian Beta-Binomial").alias("method"),
         F.round(win, 4).alias("prob_treatment_better"),
         F.round(1.0 - win, 4).alias("prob_control_better"),
         F.round(F.col("_mt") - F.col("_mc"), 6).alias("expected_lift"),
-        F.round("_r.loss", 6).alias("expected_loss_if_treatment"),
+        F.round(F.when(win.isNotNull(), F.col("_loss")), 6).alias("expected_loss_if_treatment"),
         F.when(win > 0.95, "Ship Treatment ✓")
         .when(win > 0.80, "Continue Testing")
         .when(win.isNotNull(), "Keep Control")
