@@ -80,10 +80,14 @@ def class_balance_by_fold(spark, d):
     return out.withColumn("positive_rate", F.round("positive_rate", 6))
 
 
-@query()
+@query("select customer_id, " + ", ".join(f"coalesce({c}::double, 0) as {c}" for c in SCALED) + " from s_customers", "customers clean_customers")
 def assembled_vectors(spark, d):
+    """Vectors of the scaled columns, taken apart again."""
+    from pyspark.ml.functions import vector_to_array
+
     view = clean_customers(spark, d).na.fill(0, list(SCALED))
-    return churn.assemble(view.select("customer_id", *SCALED), SCALED).select("customer_id", F.col("features").cast("string").alias("features"))
+    parts = churn.assemble(view.select("customer_id", *SCALED), SCALED).withColumn("_v", vector_to_array("features"))
+    return parts.select("customer_id", *[F.col("_v")[i].alias(c) for i, c in enumerate(SCALED)])
 
 
 AUC_SQL = """r as (select {k} p, churned, rank() over ({o} order by p) + (count(*) over ({t} p) - 1) / 2.0 as rk from v_scored),

@@ -10,7 +10,6 @@ import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-SLOW = {"churn_model_predictions", "churn_model_selection", "insights_run"}
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +43,7 @@ def test_matches_sql(spark, con, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_runs(spark, name):
     assert entry.queries()[name](spark, FOLDER).count() > 0
 
