@@ -1,6 +1,6 @@
 """Benchmark decontamination over a positional inverted index of the training text.
 
-The index is a table of segments, each written by the task that read its documents: the sorted terms of about four
+The index is a table of segments, each written by the task that read its documents: the sorted terms of about two
 megabytes of whole documents, and for each term the places of its occurrences. Nothing is shuffled to build it. Test
 windows are looked up in every segment, in blocks of bounded size: the postings of a window's rarest term are
 intersected with those of its other terms, rarest first, each list moved by the term's offset. What is left is where
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cohortry.llm.scan import bound_batches, slices, words
 from cohortry.session import scratch_path, settle
 
-SEGMENT = 4 << 20
+SEGMENT = 2 << 20
 #: Test windows that are looked up at once; with ten terms a window they take under ten megabytes in each task.
 BLOCK = 50_000
 
@@ -37,7 +37,7 @@ def _segments(id_column: str, text: str):
         segment = TaskContext.get().partitionId() << 32
         for batch in batches:
             names = batch.column(id_column).cast(pa.int64())
-            for first, data, offsets in slices(batch, text, SEGMENT):
+            for first, data, offsets in slices(batch, text, SEGMENT, SEGMENT):
                 hashes, owner, _, _ = words(data, offsets)
                 order = np.argsort(hashes, kind="stable")
                 terms, counts = np.unique(hashes[order], return_counts=True)

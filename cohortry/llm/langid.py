@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.scan import bound_batches, kept_columns, kept_types, slices, with_kept
+from cohortry.llm.scan import DENSE_ROWS, bound_batches, kept_columns, kept_types, slices, with_kept
 
 BUCKETS = 8192
 #: A table of more languages than this is refused; the model, which every task gets, has a row of BUCKETS for each.
@@ -61,7 +61,7 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", smoothing: floa
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             labels = batch.column("lang").to_pylist()
-            for first, data, offsets in slices(batch, "text", SLICE):
+            for first, data, offsets in slices(batch, "text", SLICE, DENSE_ROWS):
                 owner, bucket, count = grams(data, offsets)
                 own = np.array(labels[first : first + len(offsets) - 1], object)
                 for name in {x for x in own.tolist() if x is not None}:
@@ -163,7 +163,7 @@ def predict(
 
     def run(batches):
         for batch in batches:
-            for first, data, offsets in slices(batch, "text", SLICE):
+            for first, data, offsets in slices(batch, "text", SLICE, DENSE_ROWS):
                 n = len(offsets) - 1
                 share = np.full((n, count), 1 / max(count, 1))
                 if count:

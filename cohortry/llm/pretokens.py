@@ -83,7 +83,7 @@ def pretokens(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 class Encoder:
     """A tokenizer file and the ids of pre-tokens met before, at most ``limit`` of them at a time."""
 
-    def __init__(self, path: str, limit: int = 2_000_000) -> None:
+    def __init__(self, path: str, limit: int = 600_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.pattern = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")

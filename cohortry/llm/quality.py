@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.scan import bound_batches, kept_columns, kept_types, slices, with_kept, words
+from cohortry.llm.scan import DENSE_ROWS, bound_batches, kept_columns, kept_types, slices, with_kept, words
 
 SLICE = 1 << 19
 SHAPES, WORDS, REPEATS = 4096, 2048, 4
@@ -88,7 +88,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, most: int = 4096, dimens
     def run(batches):
         for batch in batches:
             marks = batch.column("_label")
-            for first, data, offsets in slices(batch, "text", SLICE):
+            for first, data, offsets in slices(batch, "text", SLICE, DENSE_ROWS):
                 n = len(offsets) - 1
                 owner, term, weight = term_shares(data, offsets)
                 edges = np.searchsorted(owner, np.arange(n + 1))
@@ -145,14 +145,10 @@ def score(docs: DataFrame, model: QualityModel, threshold: float = 0.3, neighbou
 
     def run(batches):
         for batch in batches:
-            for first, data, offsets in slices(batch, "text", SLICE):
+            for first, data, offsets in slices(batch, "text", SLICE, DENSE_ROWS):
                 n = len(offsets) - 1
-                scores = np.zeros(n)
-                # A slice of many tiny texts is taken some texts at a time.
-                for a in range(0, n, 512):
-                    own = offsets[a : a + 513]
-                    table = dense(*term_shares(data[own[0] : own[-1]], own - own[0]), len(own) - 1)
-                    scores[a : a + 512] = vote(model, unit(table @ model.projection), neighbours, sharpness)
+                table = dense(*term_shares(data, offsets), n)
+                scores = vote(model, unit(table @ model.projection), neighbours, sharpness)
                 marks = (scores >= threshold).astype(np.int32)
                 others = batch.select(range(2, batch.num_columns)).slice(first, n)
                 made = [batch.column("doc_id").slice(first, n), pa.array(scores), pa.array(marks)]

@@ -7,6 +7,7 @@ Hashes have 64 bits: two different strings are taken for the same with a probabi
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE = 1 << 20
+#: Texts in a slice at most: tables of a row for each text stay small where texts are tiny.
+ROWS = 4096
+#: The same for tables of thousands of columns.
+DENSE_ROWS = 512
 _BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
 
 
 #: Bytes of an Arrow batch. With Spark's own limit a task holds several times 64 MB on either side of the socket.
@@ -74,8 +78,18 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of each slice of a string column; a null is an empty text."""
+_LIBC = ctypes.CDLL(None)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a worker that waits for its next task then holds little."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE, most: int = ROWS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of each slice of a string column, of at most ``most`` texts; a null is an empty text."""
     if not batch.num_rows:
         return
     texts = batch.column(batch.schema.get_field_index(column))
@@ -84,9 +98,10 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE) -> I
     data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(texts):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
+        last = max(first + 1, min(first + most, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1))
         yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
+    give_back()
 
 
 def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,11 +135,6 @@ def windows(hashes: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarra
     return mix(total[first]), first
 
 
-def texts_of(data: np.ndarray, offsets: np.ndarray) -> list[str]:
-    raw = data.tobytes()
-    return [raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-
-
 def kept_columns(df: DataFrame, keep: list[str] | None) -> list[Column]:
     """The columns that an operator hands on, under names that clash with none of its own."""
     return [F.col(c).alias(f"_kept{i}") for i, c in enumerate(keep or [])]
