@@ -167,8 +167,7 @@ def arm_contamination(spark, d):
     return experiments.arm_contamination(events, ["source", "device"])
 
 
-# One grid over both posteriors: another quadrature than the operator's, good enough at this size.
-GRID = 4000
+GRID = bayes.GRID
 
 
 def bayes_sql(keys: str) -> str:
