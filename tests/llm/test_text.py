@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortry.llm import langid, pseudo_likelihood, quality, toxicity
 from cohortry.llm.langid import LanguageModel, Mixtures, grams, proportions
@@ -173,3 +174,38 @@ def test_pseudo_likelihood_prefers_order(spark, awkward, empty):
     assert rows[1].n_words == 0 and rows[1].log_likelihood == 0 and rows[1].mean_log_likelihood is None
     assert pseudo_likelihood.score(empty, model).count() == 0
     assert pseudo_likelihood.score(awkward, pseudo_likelihood.fit(empty)).count() == awkward.count()
+
+
+def test_rare_words_have_their_own_probability(spark):
+    filler = " ".join(f"w{i}" for i in range(pseudo_likelihood.WORDS)) + " "
+    rare = " ".join(f"seldom{i}" for i in range(300)) + " "
+    # Of two words in one bucket, one stands three times as often.
+    names = [f"odd{i}" for i in range(400)]
+    hashes = {w: int(pseudo_likelihood.words(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0][0]) % pseudo_likelihood.BUCKETS for w in names}
+    a = names[0]
+    b = next(w for w in names[1:] if hashes[w] == hashes[a])
+    docs = spark.createDataFrame([(i, filler * 4) for i in range(3)] + [(3, rare + f"{a} {b} {a} w5 {a}")], "doc_id bigint, text string").repartition(2)
+    model = pseudo_likelihood.fit(docs)
+    asked = spark.createDataFrame([(1, f"w1 {a} w2"), (2, f"w1 {b} w2"), (2, f"w1 {b} w2"), (3, f"w1 {b} {b} w2"), (4, "w1 w2")], "doc_id bigint, text string")
+    got = [(r.doc_id, r.log_likelihood) for r in pseudo_likelihood.score(asked, model).collect()]
+    one = dict(got)
+    assert len(got) == 5 and len({v for k, v in got if k == 2}) == 1
+    assert one[1] - one[2] == pytest.approx(np.log(3), abs=1e-5)
+
+
+def test_shares_of_a_bucket_add_up(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"x{j}" for j in range(3000) if j % (i + 1) == 0)) for i in range(6)], "doc_id bigint, text string")
+    model = pseudo_likelihood.fit(docs)
+    counts = {r["word"]: r["count"] for r in model.counts.collect()}
+    numbers = model.vocabulary.encode(np.array(list(counts), np.int64).view(np.uint64)) - model.vocabulary.first_bucket
+    own = np.array(list(counts.values()))
+    assert len(counts) == 3000 and (np.bincount(numbers[numbers >= 0], weights=own[numbers >= 0], minlength=len(model.totals)) == model.totals).all()
+
+
+def test_vocabulary_grows_with_the_corpus(spark):
+    def known(occurrences):
+        return pseudo_likelihood.vocabulary(spark.range(20_000).select(F.col("id").alias("word"), F.lit(occurrences).cast("bigint").alias("count")))
+
+    small, large = known(1), known(5000)
+    assert small.classes == pseudo_likelihood.CLASSES and len(small.hashes) == pseudo_likelihood.WORDS - pseudo_likelihood.BUCKETS
+    assert len(large.hashes) >= 5000 and len(np.unique(large.numbers)) == len(large.hashes) and large.numbers.max() < large.first_bucket
