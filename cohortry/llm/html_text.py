@@ -1,8 +1,8 @@
 """Main text of web pages: the page's own structure first, and a suffix array for what the host repeats.
 
 A page is cut into blocks of text. Blocks in an ``article`` or ``main`` element are its main text; blocks in elements
-that are by name, role or class something else (menus, adverts, forms, comments ...) are not. The rest of a page is
-undecided. The token streams of all that is not in the main element are put together by host, and a suffix array of
+that are by name, role or class something else (menus, adverts, forms, comments ...) are not, unless a class or a form
+wraps the only article or the whole page. The rest of a page is undecided. The token streams of all that is not in the main element are put together by host, and a suffix array of
 them finds every run of tokens that stands on distinct pages. On pages without a main element the runs it covers are
 removed from the undecided blocks and the unique runs are kept.
 """
@@ -28,6 +28,8 @@ RUN = 8
 PART = 1024
 
 MAIN, REMOVED, OPEN = 0, 1, 2
+#: Within a page only: what a class or an id removes, an article in it, and (from FORM on) each form outside the main element.
+MARKED, HELD, FORM = 3, 4, 5
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|textarea|svg|iframe|object|canvas|select|head)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -42,24 +44,55 @@ _BLOCK = frozenset(
 _CONTAINER = frozenset("article aside details dialog div fieldset figure footer form header main menu nav search section table ul ol dl span button".split())
 _NOT_MAIN = frozenset("nav footer aside form menu dialog search button fieldset".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+#: Elements that make a form that holds one the wrapper of a page.
+_PAGE = frozenset("article main nav header footer h1 h2".split())
+#: Parts of a class name beside a mark: ``comments-area`` is comments, ``has-sidebar`` and ``category-social`` are not.
+_NEUTRAL = frozenset("area bar block body bottom box button buttons container group inner item items left link links list main panel post posts right row section site title top unit widget widgets wrap wrapper".split())
 _MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promoted promotion cookie cookies consent gdpr notice notices nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside footer comment comments commentlist reply replies disqus share sharing social related recommended newsletter subscribe subscription popup modal overlay login signup signin pagination pager toolbar banner".split()
 )
 
 
+def _marked(names: str) -> bool:
+    """Whether one of the class names is a mark as a whole, or in all of its parts but neutral ones."""
+    for name in names.split():
+        parts = _PARTS.findall(name)
+        if not _MARKS.isdisjoint(parts) and all(x in _MARKS or x in _NEUTRAL for x in parts):
+            return True
+    return False
+
+
 def _kind(name: str, attributes: str, inside: int) -> int:
     """What an element makes of the text in it, inside an element of kind ``inside``."""
-    if inside == REMOVED or name in _NOT_MAIN or name == "header" and inside != MAIN:
+    if inside == REMOVED or name in _NOT_MAIN and name != "form" or name == "header" and inside not in (MAIN, HELD):
         return REMOVED
-    if attributes:
-        for key, value in _ATTRIBUTE.findall(attributes):
-            key = key.lower()
-            value = value.strip("\"'").lower()
-            if key == "hidden" or key == "role" and value in _ROLES or key == "style" and "display:none" in value.replace(" ", ""):
-                return REMOVED
-            if key in ("class", "id") and name not in ("main",) and not _MARKS.isdisjoint(_PARTS.findall(value)):
-                return REMOVED
-    return MAIN if name in ("article", "main") else inside
+    marked = False
+    for key, value in _ATTRIBUTE.findall(attributes):
+        key = key.lower()
+        value = value.strip("\"'").lower()
+        if key == "hidden" or key == "role" and value in _ROLES or key == "style" and "display:none" in value.replace(" ", ""):
+            return REMOVED
+        marked = marked or key in ("class", "id") and name != "main" and _marked(value)
+    if marked:
+        return MARKED
+    if name == "form":
+        return MARKED if inside in (MAIN, HELD, MARKED) else FORM
+    if name == "article":
+        return HELD if inside in (MARKED, HELD) else MAIN
+    return MAIN if name == "main" else inside
+
+
+def _judged(found: list[tuple[int, str]], wrappers: set[int]) -> list[tuple[int, str]]:
+    """The blocks as MAIN, REMOVED or OPEN, when all of the page is known.
+
+    Articles in marked containers are the main text if the page has no other. A form that wraps the page is undecided.
+    What is marked is undecided if the page has nothing else.
+    """
+    kinds = {kind for kind, _ in found}
+    held = REMOVED if MAIN in kinds else MAIN
+    rest = OPEN if kinds <= {REMOVED, MARKED} | {k for k in kinds if k >= FORM and k not in wrappers} else REMOVED
+    as_one = {MAIN: MAIN, REMOVED: REMOVED, OPEN: OPEN, MARKED: rest, HELD: held}
+    return [(as_one[kind] if kind < FORM else OPEN if kind in wrappers else rest, text) for kind, text in found]
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
@@ -67,6 +100,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
     out: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = []
     kind, held, at = OPEN, [], 0
+    forms, wrappers = FORM, set()
 
     def close() -> None:
         text = " ".join("".join(held).split())
@@ -91,10 +125,14 @@ def blocks(page: str) -> list[tuple[int, str]]:
             continue
         if name in _BLOCK:
             close()
+            if kind >= FORM and name in _PAGE and not tag[2]:
+                wrappers.add(kind)
         if name not in _CONTAINER or tag[4].endswith("/"):
             continue
         if not tag[2]:
             new = _kind(name, tag[4], kind)
+            if new == FORM and name == "form":
+                new, forms = forms, forms + 1
             if new != kind and held:
                 close()
             stack.append((name, kind))
@@ -111,7 +149,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
     if at < len(page):
         held.append(html.unescape(page[at:]))
     close()
-    return out
+    return _judged(out, wrappers)
 
 
 def host_of(url: str | None) -> str:

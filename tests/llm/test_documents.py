@@ -192,6 +192,25 @@ def test_main_text(page, text):
     assert html_text.main_text(page, None) == text
 
 
+WRAPPED = [
+    ('<div class="layout has-sidebar"><article><p>whole text</p></article></div>', "whole text"),
+    ('<div id="page" class="no-comments"><p>whole text</p></div>', "whole text"),
+    ('<article class="post category-social"><p>whole text</p></article>', "whole text"),
+    ('<div class="sidebar"><article><p>whole text</p><div class="share-buttons">share</div></article></div>', "whole text"),
+    ('<div class="comments"><main><p>whole text</p></main></div><p>other</p>', "whole text"),
+    ('<article><p>whole text</p><ol class="comment-list"><li><article><p>first!</p></article></ol></article>', "whole text"),
+    ('<body><form action="Default.aspx"><div><header>top</header><h1>Head</h1><p>whole text</p></div><footer>f</footer></form><p>end</p></body>', "Head\n\nwhole text\n\nend"),
+    ("<body><form><p>whole text</p></form></body>", "whole text"),
+    ("<body><p>whole text</p><form><p>your name</p></form></body>", "whole text"),
+    ('<nav><article><p>menu</p></article></nav><div class="ads-container">buy</div><p>whole text</p>', "whole text"),
+]
+
+
+@pytest.mark.parametrize("page, text", WRAPPED)
+def test_wrappers_do_not_take_the_article(page, text):
+    assert html_text.main_text(page, None) == text
+
+
 def test_host_repeats(spark):
     footer = "this very long line stands below each and every page of the host"
     rows = [(i, f"http://a.example/{i}", f"<div>unique text number {i} of this page here ok</div><div>{footer} {i}</div><div>Short one</div>") for i in range(5)]
