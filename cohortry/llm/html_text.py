@@ -32,11 +32,16 @@ MAIN, REMOVED, OPEN = 0, 1, 2
 MARKED, HELD, FORM = 3, 4, 5
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|textarea|svg|iframe|object|canvas|select|head)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|textarea)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<title(?=[\s/>])[^>]*>.*?</title\s*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|<[a-zA-Z!?/][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+#: Elements without text of the page, from the start tag to its own end tag; a start tag without one is nothing.
+_DROPPED = frozenset("noscript template svg iframe object canvas select".split())
+_HAS_DROPPED = re.compile(r"</(?:" + "|".join(sorted(_DROPPED)) + r")(?=[\s>])", re.IGNORECASE)
+#: Elements of a head; with any other one the body begins.
+_HEAD = frozenset("html head title meta link base script style noscript template".split())
 _PARTS = re.compile(r"[a-z]+")
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -95,12 +100,29 @@ def _judged(found: list[tuple[int, str]], wrappers: set[int]) -> list[tuple[int,
     return [(as_one[kind] if kind < FORM else OPEN if kind in wrappers else rest, text) for kind, text in found]
 
 
+def _dropped(page: str) -> dict[int, int]:
+    """Where the end tag ends of each element that is dropped whole, by where the element begins."""
+    ends: dict[int, int] = {}
+    begun: dict[str, list[int]] = {}
+    for tag in _TAG.finditer(page) if _HAS_DROPPED.search(page) else ():
+        name = (tag[3] or "").lower()
+        if name not in _DROPPED:
+            continue
+        if not tag[2]:
+            if not tag[4].endswith("/"):
+                begun.setdefault(name, []).append(tag.start())
+        elif begun.get(name):
+            ends[begun[name].pop()] = tag.end()
+    return ends
+
+
 def blocks(page: str) -> list[tuple[int, str]]:
     """Kind and text of each block that is not empty, in page order; white space is one space, references decoded."""
     out: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = []
     kind, held, at = OPEN, [], 0
     forms, wrappers = FORM, set()
+    dropped, in_head = _dropped(page), False
 
     def close() -> None:
         text = " ".join("".join(held).split())
@@ -109,16 +131,24 @@ def blocks(page: str) -> list[tuple[int, str]]:
             out.append((kind, text))
 
     for tag in _TAG.finditer(page):
+        if tag.start() < at:
+            continue
         if tag.start() > at:
             text = page[at : tag.start()]
+            in_head = in_head and text.isspace()
             held.append(html.unescape(text) if "&" in text else text)
-        at = tag.end()
+        at = dropped.get(tag.start(), tag.end())
         name = tag[3]
         if name is None:
-            if tag[1] is not None and tag[1].lower() == "head":
-                close()
             continue
         name = name.lower()
+        if name == "head":
+            close()
+            in_head = not tag[2]
+            continue
+        in_head = in_head and name in _HEAD
+        if name in _DROPPED or name == "title" and in_head:
+            continue
         if name in ("br", "wbr"):
             if name == "br":
                 held.append(" ")
@@ -319,7 +349,8 @@ def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", page
     """``page_id url text n_chars`` of each row of ``pages``.
 
     Null and empty pages have an empty text; a null or broken url is a host of its own kind (the empty one); repeated
-    rows give a row each; an empty table gives none; other columns are ignored. Unclosed tags end where the page ends.
+    rows give a row each; an empty table gives none; other columns are ignored. Unclosed tags end where the page ends; of
+    elements without text only script, style and textarea do, as in browsers, the others are nothing without an end tag.
     """
     rows = bound_batches(pages).select(F.col(id_column).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
     key: Column = F.xxhash64("url", "html").alias("page_key")

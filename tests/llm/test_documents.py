@@ -211,6 +211,24 @@ def test_wrappers_do_not_take_the_article(page, text):
     assert html_text.main_text(page, None) == text
 
 
+UNCLOSED = [
+    ("<html><head><title>t</title><meta charset=utf-8><body><article><p>whole text</p></article>", "whole text"),
+    ("<head><title>t <b>x</b></title><link rel=x><noscript><img src=x></noscript><p>whole text</p>", "whole text"),
+    ("<head><script>if (a) '</p>'</script><style>p{}</style></head><title>t</title><p>whole text</p>", "whole text"),
+    ("<p>one</p><svg viewBox='0 0 1 1'/><p>two</p><svg><text>no</text></svg><p>three</p>", "one\n\ntwo\n\nthree"),
+    *((f"<p>one</p><{name} id=x><p>two</p>", "one\n\ntwo") for name in ("noscript", "template", "svg", "iframe", "object", "canvas", "select")),
+    ("<p>one</p><object><p>two</p><object>no<p>no</p></object><p>three</p>", "one\n\ntwo\n\nthree"),
+    ("<p>one <object>no<object>no</object>no</object>line</p><template><article>no</article></template>", "one line"),
+    ("<header-line>own element</header-line><p>text</p><script-less>kept</script-less>", "own element\n\ntext\n\nkept"),
+    ("<p>one</p><script>var a = '<p>no</p>'", "one"),
+]
+
+
+@pytest.mark.parametrize("page, text", UNCLOSED)
+def test_unclosed_tags_do_not_take_the_page(page, text):
+    assert html_text.main_text(page, None) == text
+
+
 def test_host_repeats(spark):
     footer = "this very long line stands below each and every page of the host"
     rows = [(i, f"http://a.example/{i}", f"<div>unique text number {i} of this page here ok</div><div>{footer} {i}</div><div>Short one</div>") for i in range(5)]
