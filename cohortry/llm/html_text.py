@@ -3,8 +3,8 @@
 A page is cut into blocks of text. Blocks in an ``article`` or ``main`` element are its main text; blocks in elements
 that are by name, role or class something else (menus, adverts, forms, comments ...) are not, unless a class or a form
 wraps the only article or the whole page. The rest of a page is undecided. The token streams of all that is not in the main element are put together by host, and a suffix array of
-them finds every run of tokens that stands on distinct pages. On pages without a main element the runs it covers are
-removed from the undecided blocks and the unique runs are kept.
+them finds every run of tokens and on how many distinct pages it stands. On pages without a main element the runs that
+a share of the host's pages have are removed from the undecided blocks and the unique runs are kept.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from cohortry.session import settle
 
 #: Tokens that a repeated run has at least; a block of fewer is compared whole.
 RUN = 8
+#: Distinct pages of a host that have a run that is removed: so many, and this share of the host's pages.
+LEAST, SHARE = 3, 0.05
 #: Pages of a host in one suffix array. A host of more is parted; what the parts find is merged exactly.
 PART = 1024
 
@@ -230,20 +232,21 @@ def suffix_array(codes: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.nd
     return np.argsort(rank, kind="stable"), rank
 
 
-FOUND = pa.schema([("run", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
+FOUND = pa.schema([("run", pa.int64()), ("met", pa.int64()), ("pages", pa.int64())])
 
 
 def _runs(table: pa.Table) -> pa.Table:
-    """Of the streams of one part: each distinct run, with the smallest and the largest page that has it."""
+    """Of the streams of one part: each distinct run, how many pages have it and how many its host has in all parts."""
     pages, hosts = table.column("stream").to_numpy(), table.column("host_hash").to_numpy()
-    pieces, owners, salts = [], [], []
-    for page, host, lengths, data in zip(pages, hosts, table.column("lengths").to_pylist(), table.column("tokens").to_pylist(), strict=True):
+    pieces, owners, salts, sizes = [], [], [], []
+    for page, host, size, lengths, data in zip(pages, hosts, table.column("pages").to_pylist(), table.column("lengths").to_pylist(), table.column("tokens").to_pylist(), strict=True):
         edges = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
         flat = np.frombuffer(data, np.uint64)
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             pieces.append(flat[a:b])
             owners.append(page)
             salts.append(host)
+            sizes.append(size)
     if not pieces:
         return FOUND.empty_table()
     lengths = np.array([len(x) for x in pieces], np.int64)
@@ -265,7 +268,12 @@ def _runs(table: pa.Table) -> pa.Table:
     for i in range(RUN):
         inside = head + i < ends[head]
         name = np.where(inside, mix(name * np.uint64(0x9E3779B97F4A7C15) + flat[np.minimum(head + i, len(flat) - 1)]), name)
-    return pa.Table.from_arrays([pa.array(name.view(np.int64)), pa.array(np.minimum.reduceat(page, group)), pa.array(np.maximum.reduceat(page, group))], schema=FOUND)
+    of = np.cumsum(new) - 1
+    by_page = np.lexsort((page, of))
+    of, page = of[by_page], page[by_page]
+    distinct = np.concatenate([[True], (of[1:] != of[:-1]) | (page[1:] != page[:-1])])
+    met = np.bincount(of[distinct], minlength=len(head))
+    return pa.Table.from_arrays([pa.array(name.view(np.int64)), pa.array(met), pa.array(np.repeat(np.array(sizes, np.int64), lengths)[head])], schema=FOUND)
 
 
 STREAM = "host_hash bigint, stream bigint, lengths array<int>, tokens binary"
@@ -307,6 +315,30 @@ def _open_runs(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=["page_key", "run", "block", "place", "size"])
 
 
+def _uncovered(chosen: list[str], covered: list) -> list[str]:
+    """The blocks without the covered tokens (block, place, size).
+
+    A block of fewer than ``RUN`` tokens is no long run of its own: it goes only if the next block on one of its sides
+    loses tokens, or with others at its side that are together as long as a run.
+    """
+    words = [text.split() for text in chosen]
+    short, touched = set(), set()
+    for c in covered:
+        if c["size"] < RUN:
+            short.add(c["block"])
+            continue
+        touched.add(c["block"])
+        own = words[c["block"]]
+        own[c["place"] : c["place"] + c["size"]] = [None] * c["size"]
+    for first in sorted(x for x in short if x - 1 not in short):
+        last = first
+        while last + 1 in short:
+            last += 1
+        if first - 1 in touched or last + 1 in touched or sum(len(words[i]) for i in range(first, last + 1)) >= RUN:
+            words[first : last + 1] = [[]] * (last + 1 - first)
+    return [" ".join(w for w in own if w is not None) for own in words]
+
+
 def main_text(page: str | None, covered: list | None) -> str:
     """The main blocks, or if there are none the undecided ones without the covered tokens (block, place, size)."""
     found = blocks(page or "")
@@ -314,11 +346,7 @@ def main_text(page: str | None, covered: list | None) -> str:
     if not chosen:
         chosen = [text for kind, text in found if kind == OPEN]
         if covered:
-            words = [text.split() for text in chosen]
-            for c in covered:
-                own = words[c["block"]]
-                own[c["place"] : c["place"] + c["size"]] = [None] * c["size"]
-            chosen = [" ".join(w for w in own if w is not None) for own in words]
+            chosen = _uncovered(chosen, covered)
     return "\n\n".join(text for text in chosen if text)
 
 
@@ -329,11 +357,11 @@ def _texts(batches):
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), *made], names=["page_id", "url", "text", "n_chars"])
 
 
-def repeated_runs(pages: DataFrame, part: int = PART) -> DataFrame:
-    """``run``: the runs that stand on at least two distinct pages of their host, outside the main element.
+def repeated_runs(pages: DataFrame, part: int = PART, least: int = 2, share: float = 0.0) -> DataFrame:
+    """``run``: the runs that stand on at least ``least`` distinct pages and ``share`` of all of their host, outside the main element.
 
     Pages whose streams are the same count as one page. Hosts of few pages share a suffix array, a large host has
-    several; a run's smallest and largest page are merged over all of them, so how pages are dealt changes nothing.
+    several; a page is in one of them, so the counts of all add up and how pages are dealt changes nothing.
     """
     streams = settle(pages.select("url", "html").mapInArrow(_streams, STREAM).dropDuplicates(["host_hash", "stream"]), "streams")
     sizes = settle(streams.groupBy("host_hash").agg(F.count("*").alias("pages")), "hosts")
@@ -341,13 +369,17 @@ def repeated_runs(pages: DataFrame, part: int = PART) -> DataFrame:
     parts = F.ceil(F.col("pages") / part)
     alone = F.struct(F.pmod(F.xxhash64("host_hash"), F.lit(bins)).alias("a"), F.lit(-1).cast("bigint").alias("b"))
     dealt = streams.join(sizes, "host_hash").withColumn("part", F.when(parts == 1, alone).otherwise(F.struct(F.col("host_hash").alias("a"), F.pmod(F.xxhash64("stream"), parts).alias("b"))))
-    found = dealt.select("part.a", "part.b", "host_hash", "stream", "lengths", "tokens").groupBy("a", "b").applyInArrow(_runs, "run bigint, first bigint, last bigint")
-    return found.groupBy("run").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first <> last").select("run")
+    found = dealt.select("part.a", "part.b", "host_hash", "stream", "pages", "lengths", "tokens").groupBy("a", "b").applyInArrow(_runs, "run bigint, met bigint, pages bigint")
+    counted = found.groupBy("run").agg(F.sum("met").alias("met"), F.first("pages").alias("pages"))
+    return counted.where((F.col("met") >= least) & (F.col("met") >= share * F.col("pages"))).select("run")
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", page: str = "html", part: int = PART) -> DataFrame:
     """``page_id url text n_chars`` of each row of ``pages``.
 
+    Without a main element a run goes if it stands on ``LEAST`` distinct pages and ``SHARE`` of those of the host. Two near
+    copies keep their text; from ``LEAST`` near copies on, on a host of few other pages, what they share is taken for the host's.
+
     Null and empty pages have an empty text; a null or broken url is a host of its own kind (the empty one); repeated
     rows give a row each; an empty table gives none; other columns are ignored. Unclosed tags end where the page ends; of
     elements without text only script, style and textarea do, as in browsers, the others are nothing without an end tag.
@@ -355,7 +387,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", page
     rows = bound_batches(pages).select(F.col(id_column).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
     key: Column = F.xxhash64("url", "html").alias("page_key")
     open_runs = settle(rows.select(key, "url", "html").mapInArrow(_open_runs, OPEN_RUN), "open-runs")
-    covered = open_runs.join(repeated_runs(rows, part), "run").groupBy("page_key").agg(F.collect_set(F.struct("block", "place", "size")).alias("covered"))
+    covered = open_runs.join(repeated_runs(rows, part, LEAST, SHARE), "run").groupBy("page_key").agg(F.collect_set(F.struct("block", "place", "size")).alias("covered"))
     marked = rows.withColumn("page_key", key).join(settle(covered, "covered"), "page_key", "left")
     kind = rows.schema["page_id"].dataType.simpleString()
     return marked.select("page_id", "url", "html", "covered").mapInArrow(_texts, f"page_id {kind}, url string, text string, n_chars bigint")

@@ -243,6 +243,22 @@ def test_host_repeats(spark):
     assert html_text.extract(pages.where("false")).count() == 0
 
 
+def test_what_few_pages_share_stays(spark):
+    quote = "a sentence of nine words that two pages quote"
+    story = "the same story stands on this page and in its print version with another date"
+    footer = "this very long line stands below each and every page of the host"
+    rows = [(i, f"http://a.example/{i}", f"<p>{story}</p><p>date {i}</p>") for i in range(2)]
+    rows += [(100 + i, f"http://b.example/{i}", f"<h2>Details</h2><p>text of page{i} alone</p>" + (f"<p>{quote}</p>" if i < 3 else "") + f"<p>{footer}</p><p>Top</p>") for i in range(80)]
+    menu = "".join(f"<li>item {x}" for x in "abcd")
+    rows += [(200 + i, f"http://c.example/{i}", f"<ul>{menu}</ul><p>page{i} own</p>") for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for part in (7, 1024):
+        got = {r.page_id: r.text for r in html_text.extract(pages, part=part).collect()}
+        assert [got[i] for i in range(2)] == [f"{story}\n\ndate {i}" for i in range(2)]
+        assert [got[100 + i] for i in range(80)] == [f"Details\n\ntext of page{i} alone" + (f"\n\n{quote}" if i < 3 else "") for i in range(80)]
+        assert [got[200 + i] for i in range(3)] == [f"page{i} own" for i in range(3)]
+
+
 def test_repeats_do_not_depend_on_parts(spark):
     rng = random.Random(3)
     texts = [" ".join(rng.choice("abc") for _ in range(rng.choice([3, 12, 40]))) for _ in range(60)]
