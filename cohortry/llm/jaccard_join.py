@@ -72,7 +72,7 @@ def minhashes(found: np.ndarray, holders: np.ndarray, texts: np.ndarray) -> np.n
 
 def _sketches(size: int, id_column: str, text: str):
     bands = HASHES // ROWS
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
@@ -87,7 +87,8 @@ def _sketches(size: int, id_column: str, text: str):
                 has[texts] = True
                 edges = np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(band.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([names.slice(first, len(has)), pa.array(keys.view(np.int64), mask=~has), lists], schema=schema)
+                own = [x.slice(first, len(has)) for x in (names, batch.column("at"))]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(keys.view(np.int64), mask=~has), lists], schema=schema)
 
     return run
 
@@ -107,7 +108,7 @@ def _sets(size: int):
                     signature[t] = values[i].tobytes()
                 kept = [batch.column(c).slice(first, len(sets)) for c in columns]
                 made = pa.RecordBatch.from_arrays([*kept, pa.array(signature, pa.binary()), pa.array(sets, pa.binary())], names=[*columns, "signature", "shingles"])
-                # A repeated id may stand for another text as well.
+                # A repeated id may stand for another text as well, and a hash may be an id.
                 yield made.filter(pa.array(keys.view(np.int64) == made.column("node").to_numpy()))
 
     return run
@@ -308,13 +309,16 @@ def jaccard_join(
     is lost with a probability of about ``tolerance`` a look (eight looks at most); none is ever made up.
 
     Null and empty texts and texts without words are linked to nothing. A text of one to ``size - 1`` words is one
-    shingle. Repeated rows and ids count as documents of their own. An empty table gives no row; other columns are
-    ignored. Ids are integers; words are compared by 64-bit hashes.
+    shingle. Repeated rows and ids count as documents of their own, and so do rows without an id; a class of only such
+    rows has no id. An empty table gives no row; other columns are ignored. Ids are integers; words are compared by
+    64-bit hashes.
     """
     rows = bound_batches(docs).select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    sketches = settle(rows.mapInArrow(_sketches(size, "doc_id", "text"), "doc_id bigint, node bigint, bands array<bigint>"), "sketches")
+    # Rows without an id are found again by a hash of their text.
+    rows = rows.withColumn("at", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    sketches = settle(rows.mapInArrow(_sketches(size, "doc_id", "text"), "doc_id bigint, at bigint, node bigint, bands array<bigint>"), "sketches")
     known = sketches.where("node is not null")
-    nodes = known.groupBy("node").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"))
+    nodes = known.groupBy("node").agg(F.min("doc_id").alias("id"), F.min("at").alias("at"), F.count("*").alias("copies"))
     # A bucket holds the nodes that agree in a band; all are tied to the smallest.
     banded = known.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("band"))
     banded = settle(banded, "bands")
@@ -322,9 +326,9 @@ def jaccard_join(
     ties = banded.join(buckets, "band").where("node <> a").select("a", F.col("node").alias("b"))
     grouped = components(ties)
     sizes = grouped.groupBy("label").agg(F.count("*").alias("members"))
-    chosen = grouped.join(sizes, "label").join(nodes, "node").select("node", "id", "copies", "label", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
+    chosen = grouped.join(sizes, "label").join(nodes, "node").select("node", F.coalesce("id", "at").alias("id"), "copies", "label", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
     chosen = settle(chosen, "candidates")
-    wanted = marked(rows, chosen.select("id"))
+    wanted = marked(rows.select(F.coalesce("doc_id", "at").alias("doc_id"), "text"), chosen.select("id"))
     # One plan at every size: a table that is small now is shuffled as it will be.
     texts = wanted.join(chosen.hint("merge"), wanted.doc_id == chosen.id).select("node", "copies", "label", "blocks", "text")
     sets = texts.mapInArrow(_sets(size), "node bigint, copies bigint, label bigint, blocks int, signature binary, shingles binary")

@@ -68,6 +68,20 @@ def test_links_and_classes(spark, block):
     assert sorted((repr(r.doc_id), r.n_links, repr(r.class_id)) for r in got) == links_by_hand(rows)
 
 
+@pytest.mark.parametrize("block", [3, 2048])
+def test_links_of_rows_without_an_id(spark, block):
+    # Every third row has no id, its exact copies neither; a whole class has none.
+    rows = [(None if i % 3 == 1 else i, text) for i, text in near_rows(2)]
+    chain = [f"c{i}" for i in range(40)]
+    # The two ends are linked only through a middle without an id.
+    rows += [(900, " ".join(chain)), (None, " ".join(chain[3:] + ["d0", "d1"])), (901, " ".join(chain[6:] + ["d0", "d1", "d2", "d3"]))]
+    rows += [(None, "one row and its copy have no id at all here"), (None, "one row and its copy have no id, at all here")]
+    got = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id bigint, text string"), block=block).collect()
+    want = links_by_hand(rows)
+    assert sorted((repr(r.doc_id), r.n_links, repr(r.class_id)) for r in got) == want
+    assert ("901", 1, "900") in want
+
+
 def test_links_of_awkward_rows(awkward, empty):
     rows = [(r.doc_id, r.text) for r in awkward.collect() if r.doc_id is not None]
     got = jaccard_join.jaccard_join(awkward.where("doc_id is not null")).collect()
