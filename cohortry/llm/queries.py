@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import decontamination, html_text, jaccard_join, langid, nearest, packing, pseudo_likelihood, quality, token_counts, toxicity
+from cohortry.llm import decontamination, html_text, jaccard_join, langid, nearest, packing, pseudo_likelihood, quality, token_counts, token_records, toxicity
+from cohortry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -132,3 +134,10 @@ def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
 def op6_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return pseudo_likelihood.score(docs, pseudo_likelihood.fit(docs))
+
+
+@query
+def op13_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-records")
+    token_records.write(table(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER), path, end_id=1)
+    return token_records.digest(token_records.read(spark, path))
