@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import decontamination, html_text, jaccard_join, langid, nearest, packing, pseudo_likelihood, quality, token_counts, token_records, toxicity
+from cohortry.llm import decontamination, html_text, jaccard_join, langid, nearest, packing, periodic_runs, pseudo_likelihood, quality, token_counts, token_records, toxicity
 from cohortry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,10 @@ def op13_token_records(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-records")
     token_records.write(table(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER), path, end_id=1)
     return token_records.digest(token_records.read(spark, path))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    changed = periodic_runs.with_planted_tail(docs["doc_id"], docs["text"])
+    return periodic_runs.digest(periodic_runs.periodic_runs(docs, least_periods=4, least_words=6, text=changed))
