@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import decontamination, html_text, jaccard_join, langid, nearest, packing, periodic_runs, pseudo_likelihood, quality, token_counts, token_records, toxicity
+from cohortry.llm import collocations, decontamination, html_text, jaccard_join, langid, nearest, packing, periodic_runs, pseudo_likelihood, quality, token_counts, token_records, toxicity
 from cohortry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,31 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     changed = periodic_runs.with_planted_tail(docs["doc_id"], docs["text"])
     return periodic_runs.digest(periodic_runs.periodic_runs(docs, least_periods=4, least_words=6, text=changed))
+
+
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    phrases = collocations.frequent_phrases(table(spark, folder, "documents"), least=30, longest=4)
+    return collocations.collocations(phrases, top=2000, cover=80)
+
+
+ORACLE["op11_collocations"] = r"""
+with pieces as (
+  select lang, regexp_extract_all(unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') as w
+  from (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents)),
+grams as (select lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)]) as phrase
+          from pieces, (select unnest([1, 2, 3, 4]) as k) where len(w) >= k),
+counts as (select lang, k, phrase, count(*) as f from grams group by all having count(*) >= 30),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from pieces group by lang),
+candidates as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from counts where k > 1),
+cuts as (select c.lang, c.phrase, c.a, c.j, x.f as l, y.f as r, cast(c.a as hugeint) * 2000000 // (x.f + y.f) as score
+         from (select *, unnest(range(1, k)) as j from candidates) c
+         join counts x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:c.j], ' ')
+         join counts y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.j + 1:c.k], ' ')),
+scored as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+inner_ as (select lang, array_to_string(w[i:i + s - 1], ' ') as phrase, max(a) as longer
+           from (select *, unnest(range(1, k - s + 2)) as i from candidates, (select unnest([2, 3]) as s) where s < k) group by all),
+kept as (select s.* from scored s left join inner_ i using (lang, phrase) where i.longer is null or 100 * i.longer < 80 * s.a)
+select lang, rank, phrase, a, l, r, n, cast(score as bigint) as score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept) join totals using (lang) where rank <= 2000
+"""
