@@ -2,13 +2,14 @@
 
 The documents are dealt into shards. A step scans one shard; steps go round the shards. All words are counted from the
 first step. A longer phrase is counted from the step after both its subphrases (without its last, without its first word)
-have reached the threshold, and for one full cycle: once around the shards from where it began. A length of k words is
-therefore complete after at most k cycles, and most phrases begin long before the shorter ones are complete.
-
-Which phrases have reached the threshold is told to the tasks by a table of a byte for each cell of a hash, the step from
-which the cell's phrases count. The table has at most ``CELLS`` bytes. Phrases that share a cell can make another phrase
-be counted too soon or once more; that costs work, but a count is always that of whole shards, each once, so counts
-stay exact at any size. Phrases are compared as texts; only rows within a task are told apart by a hash of 64 bits.
+have reached the threshold, for one full cycle: once around the shards from where it began, or until it has reached the
+threshold too. A length of k words is therefore through after at most k cycles; most phrases begin long before that.
+
+A phrase is counted under a key of 64 bits, its hash and its length: a step shuffles keys and counts, never texts. Which
+phrases have reached the threshold is told to the tasks by a table of a byte for each cell of the key, the step from which
+the cell's phrases count. It has at most ``CELLS`` bytes. Phrases that share a cell can make another one be counted too
+soon or once more; that costs work and loses none. A last scan counts the texts of the phrases that reached the threshold,
+so the counts that are returned are those of texts, at any size.
 """
 
 from __future__ import annotations
@@ -23,13 +24,20 @@ from pyspark.sql import functions as F
 from cohortry.llm.scan import _BASE, BYTE_VALUES, bound_batches, mix, slices, span_hashes, spans
 from cohortry.session import scratch_path, settle
 
-SHARDS = 4
-#: Most bytes of the table of cells; it has a cell for eight words of the corpus up to there.
+#: More shards let longer phrases begin sooner, but the counts of open phrases are shuffled and written once for each.
+SHARDS = 2
+#: Most bytes of the table of cells; it has a cell for four words of the corpus up to there.
 CELLS = 1 << 25
 LEAST_CELLS = 1 << 16
 SLICE = 2 << 20
 
-COUNTED = "lang string, size int, phrase string, key bigint, n bigint"
+KEYS = "key bigint, v bigint"
+STATE = "key bigint, n bigint, age int"
+PHRASES = "lang string, size int, phrase string, n bigint"
+#: Counts of a step are packed with the age of the phrase's cycle above them.
+AGE = 1 << 40
+#: The lowest bits of a key hold the length less one.
+LENGTH_BITS = 4
 UNKNOWN = "und"
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -45,7 +53,8 @@ def phrase_hashes(words: np.ndarray, languages: np.ndarray, longest: int) -> lis
     out = [mix(words + mix(languages))]
     for size in range(2, longest + 1):
         out.append(mix(out[-1][: len(words) - size + 1] * np.uint64(_BASE) + words[size - 1 :]))
-    return out
+    low = np.uint64((1 << LENGTH_BITS) - 1)
+    return [(h & ~low) | np.uint64(k) for k, h in enumerate(out)]
 
 
 def texts_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, size: int) -> pa.Array:
@@ -61,96 +70,127 @@ def texts_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.n
     return pa.Array.from_buffers(pa.large_string(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(out)]).cast(pa.string())
 
 
+def _cell(keys: np.ndarray, cells: int) -> np.ndarray:
+    return (keys >> np.uint64(LENGTH_BITS) & np.uint64(cells - 1)).astype(np.int64)
+
+
+class _Words:
+    """The words of a slice of texts: bytes, spans, text number, piece, and the keys of all phrases."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, language: np.ndarray, longest: int) -> None:
+        self.data = LOWER[data]
+        kind = KINDS[self.data]
+        self.starts, self.ends, self.owner = spans(kind == 2, offsets)
+        # Words of one piece: no mark between them, and one text.
+        self.piece = np.cumsum(kind == 1)[self.starts] + self.owner if len(data) else self.starts
+        words = span_hashes(BYTE_VALUES[self.data], self.starts, self.ends)
+        self.longest = min(longest, len(words))
+        self.keys = phrase_hashes(words, language[self.owner], self.longest) if len(words) else []
+
+    def joined(self, size: int) -> np.ndarray:
+        """Whether a phrase of ``size`` words begins at each word, up to the last that has so many after it."""
+        return self.piece[: len(self.piece) - size + 1] == self.piece[size - 1 :]
+
+
+def _words(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[pa.Array, int, _Words]]:
+    """Language column, first row and words of each slice."""
+    for batch in batches:
+        names = batch.column("lang")
+        raw = names.cast(pa.large_string())
+        edges = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+        language = span_hashes(BYTE_VALUES[np.frombuffer(raw.buffers()[2] or b"", np.uint8)], edges[:-1], edges[1:])
+        for first, data, offsets in slices(batch, "text", limit=SLICE):
+            yield names, first, _Words(data, offsets, language[first:], longest)
+
+
 def _count(step: int, shards: int, longest: int, cells):
+    """Keys of the phrases that are counted in this step, with their number in a slice."""
+
     def run(batches: Iterator[pa.RecordBatch]):
-        table = cells.value if cells is not None else np.zeros(1, np.uint8)
-        mask = np.uint64(len(table) - 1)
-        for batch in batches:
-            languages = batch.column("lang")
-            raw = languages.cast(pa.large_string())
-            edges = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
-            letters = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
-            language = span_hashes(BYTE_VALUES[letters], edges[:-1], edges[1:])
-            for first, data, offsets in slices(batch, "text", limit=SLICE):
-                data = LOWER[data]
-                kind = KINDS[data]
-                starts, ends, owner = spans(kind == 2, offsets)
-                if not len(starts):
+        table = cells.value if cells is not None else None
+        for _, _, words in _words(batches, longest):
+            found = []
+            for size in range(1, words.longest + 1):
+                # The phrases of k words are through after k cycles.
+                if step >= size * shards:
                     continue
-                # Words of one piece: no mark between them, and one text.
-                piece = np.cumsum(kind == 1)[starts] + owner
-                hashes = phrase_hashes(span_hashes(BYTE_VALUES[data], starts, ends), language[first + owner], longest)
-                found = []
-                for size in range(1, min(longest, len(starts)) + 1):
-                    if step >= size * shards:
-                        continue
-                    n = len(starts) - size + 1
-                    if size == 1:
-                        at = np.arange(n)
-                    else:
-                        left = table[(hashes[size - 2][:n] & mask).astype(np.int64)]
-                        right = table[(hashes[size - 2][1 : n + 1] & mask).astype(np.int64)]
-                        active = (left > 0) & (right > 0) & (np.maximum(left, right).astype(np.int64) + shards > step)
-                        at = np.flatnonzero(active & (piece[:n] == piece[size - 1 :]))
-                    if not len(at):
-                        continue
-                    key, where, count = np.unique(hashes[size - 1][at], return_index=True, return_counts=True)
-                    where = at[where]
-                    texts = texts_of(data, starts, ends, where, size)
-                    found.append((languages.take(pa.array(first + owner[where])), np.full(len(key), size, np.int32), texts, key.view(np.int64), count))
-                if step < shards:
-                    # The empty phrase stands before every word.
-                    texts, count = np.unique(owner, return_counts=True)
-                    found.append((languages.take(pa.array(first + texts)), np.zeros(len(texts), np.int32), pa.array([""] * len(texts)), np.zeros(len(texts), np.int64), count))
-                for rows in found:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) if isinstance(x, np.ndarray) else x for x in rows], ["lang", "size", "phrase", "key", "n"])
+                keys = words.keys[size - 1]
+                if size > 1:
+                    if table is None:
+                        break
+                    cell = table[_cell(words.keys[size - 2], len(table))]
+                    left, right = cell[:-1], cell[1:]
+                    keys = keys[(left > 0) & (right > 0) & (np.maximum(left, right).astype(np.int64) + shards > step) & words.joined(size)]
+                found.append(keys)
+            if found:
+                key, count = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count)], ["key", "v"])
+
+    return run
+
+
+def _texts(longest: int, cells):
+    """Texts of the phrases whose cell and whose subphrases' cells are set, with their number in a slice, and all words."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        table = cells.value
+        for names, first, words in _words(batches, longest):
+            before = None
+            for size in range(1, words.longest + 1):
+                inside = table[_cell(words.keys[size - 1], len(table))] > 0
+                if size > 1:
+                    inside &= before[:-1] & before[1:] & words.joined(size)
+                before = inside
+                at = np.flatnonzero(inside)
+                _, where, count = np.unique(words.keys[size - 1][at], return_index=True, return_counts=True)
+                where = at[where]
+                texts = texts_of(words.data, words.starts, words.ends, where, size)
+                columns = [names.take(pa.array(first + words.owner[where])), pa.array(np.full(len(where), size, np.int32)), texts, pa.array(count)]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
+            # The empty phrase stands before every word.
+            rows, count = np.unique(words.owner, return_counts=True)
+            columns = [names.take(pa.array(first + rows)), pa.array(np.zeros(len(rows), np.int32)), pa.array([""] * len(rows), pa.string()), pa.array(count)]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
 
     return run
 
 
-def _reached_cells(reached: DataFrame, cells: int) -> Iterator[np.ndarray]:
-    """Cells of these phrases. Built as bitmaps on the executors; at most a bit for each cell comes to the driver."""
-    cell = F.expr(f"(key & {cells - 1}L) + 1")  # bits are numbered from 1
-    bits = reached.groupBy(F.bitmap_bucket_number(cell).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits"))
+def _cells_of(keys: DataFrame, cells: int) -> Iterator[np.ndarray]:
+    """Cells of these keys. Built as bitmaps on the executors; at most a bit for each cell comes to the driver."""
+    cell = F.expr(f"(shiftright(key, {LENGTH_BITS}) & {cells - 1}L) + 1")  # bits are numbered from 1
+    bits = keys.groupBy(F.bitmap_bucket_number(cell).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits"))
     for row in bits.collect():
         inside = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(row.bits), np.uint8), bitorder="little"))
         yield (row.bucket - 1) * 32768 + inside
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, shards: int = SHARDS, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``lang size phrase n`` of every phrase of 1 to ``longest`` words that occurs ``least`` times or more in its language.
+    """``lang size phrase n`` of every phrase of 1 to ``longest`` words (at most 16) that occurs ``least`` times or more in its language.
 
     A capital ASCII letter counts as the small one; marks ``. , ; : ! ?`` and line ends part a text into pieces, spaces and
     tabs part a piece into words; a phrase lies within a piece. Size 0 has the number of all words of a language, whatever
     ``least`` is. A null language is ``und``; null and empty texts have no words; repeated rows count each; an empty table
-    gives no row; other columns are ignored whatever their names.
+    gives no row; other columns are ignored whatever their names. Rows are dealt to shards by a hash of their text.
     """
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "phrases")
-    shard = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int")
-    dealt = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"), shard.alias("shard"))
-    dealt.write.partitionBy("shard").parquet(f"{path}/texts")
+    rows = bound_batches(docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text")))
+    shard = F.pmod(F.xxhash64("text", "lang"), F.lit(shards))
     table, cells, last, step = None, None, shards - 1, 0
-    state = f"{COUNTED}, opened int, before bigint"
-    done: list[str] = []
     while step <= min(last, longest * shards - 1):
-        scanned = spark.read.schema("lang string, text string, shard int").parquet(f"{path}/texts").where(F.col("shard") == step % shards)
-        counted = bound_batches(scanned.select("lang", "text")).mapInArrow(_count(step, shards, longest, cells), COUNTED)
-        rows = counted.withColumn("opened", F.lit(step)).withColumn("before", F.lit(0).cast("bigint"))
+        counted = rows.where(shard == step % shards).mapInArrow(_count(step, shards, longest, cells), KEYS)
         if step:
-            # Phrases whose cycle is still open; ``before`` is what they had before this step.
-            kept = spark.read.schema(state).parquet(f"{path}/state-{step - 1}").where(F.col("opened") > step - shards)
-            rows = rows.unionByName(kept.withColumn("before", F.col("n")))
-        grouped = rows.groupBy("lang", "size", "phrase", "key").agg(F.sum("n").alias("n"), F.min("opened").alias("opened"), F.sum("before").alias("before"))
-        grouped.write.parquet(f"{path}/state-{step}")
-        now = spark.read.schema(state).parquet(f"{path}/state-{step}")
-        done.append(f"{path}/state-{step}")
+            # Phrases whose cycle is still open and that have not reached the threshold yet.
+            state = spark.read.schema(STATE).parquet(f"{path}/step-{step - 1}").where(F.col("n") < least)
+            counted = counted.unionByName(state.select("key", (F.col("n") + F.col("age") * F.lit(AGE)).alias("v")))
+        summed = counted.groupBy("key").agg(F.sum("v").alias("v")).select("key", F.expr(f"v % {AGE}L").alias("n"), F.expr(f"cast(v div {AGE}L + 1 as int)").alias("age"))
+        summed.where((F.col("n") >= least) | (F.col("age") < shards)).write.parquet(f"{path}/step-{step}")
+        now = spark.read.schema(STATE).parquet(f"{path}/step-{step}")
         if table is None:
-            words = now.where("size = 0").agg(F.sum("n")).first()[0] or 0
-            size = 1 << max(0, int(words * shards // 8)).bit_length()
-            table = np.zeros(min(max(size, LEAST_CELLS), CELLS), np.uint8)
-        reached = now.where((F.col("size") > 0) & (F.col("size") < longest) & (F.col("n") >= least) & (F.col("before") < least))
+            words = int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // 6
+            table = np.zeros(min(max(1 << (words // 4).bit_length(), LEAST_CELLS), CELLS), np.uint8)
         some = False
-        for inside in _reached_cells(reached, len(table)):
+        shorter = F.expr(f"key & {(1 << LENGTH_BITS) - 1}L") < longest - 1
+        for inside in _cells_of(now.where((F.col("n") >= least) & shorter), len(table)):
             table[inside], some = step + 1, True
         if some:
             last = max(last, step + shards)
@@ -158,9 +198,12 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, shards:
                 cells.unpersist()
             cells = spark.sparkContext.broadcast(table)
         step += 1
-    complete = spark.read.schema(state).parquet(*done).where((F.col("n") >= least) | (F.col("size") == 0))
-    # A phrase's open states only grow; a second cycle, met by a shared cell, cannot exceed the first.
-    return complete.groupBy("lang", "size", "phrase").agg(F.max("n").alias("n"))
+    table = np.zeros(len(table), np.uint8)
+    reached = spark.read.schema(STATE).parquet(*[f"{path}/step-{i}" for i in range(step)]).where(F.col("n") >= least)
+    for inside in _cells_of(reached, len(table)):
+        table[inside] = 1
+    texts = rows.mapInArrow(_texts(longest, spark.sparkContext.broadcast(table)), PHRASES)
+    return texts.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("size") == 0))
 
 
 def _part(words: Column, first: Column | int, size: Column) -> Column:
