@@ -29,7 +29,7 @@ SHARDS = 2
 #: Most bytes of the table of cells; it has a cell for four words of the corpus up to there.
 CELLS = 1 << 25
 LEAST_CELLS = 1 << 16
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 KEYS = "key bigint, v bigint"
 STATE = "key bigint, n bigint, age int"
