@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from cohortry.functions.scalars import clamp_negative, parse_number, strip_ws
 from cohortry.functions.tokens import split_words
@@ -104,14 +105,16 @@ def clean_reviews(
 
 
 def event_columns(df: DataFrame) -> DataFrame:
-    """Row-wise part of the event cleaning, shared by batch and streaming."""
-    return df.filter(F.col("group").isin(*ARMS)).withColumns(
-        {
-            "revenue_inr": clamp_negative(F.col("revenue_inr"), "double"),
-            "converted": F.col("converted").try_cast("int"),
-            "timestamp": to_time(F.col("timestamp")),
-        }
+    """Row-wise part of the event cleaning, shared by batch and streaming.
+
+    A time that is a timestamp already is left as it is, so that a stream's watermark stays on it.
+    """
+    out = df.filter(F.col("group").isin(*ARMS)).withColumns(
+        {"revenue_inr": clamp_negative(F.col("revenue_inr"), "double"), "converted": F.col("converted").try_cast("int")}
     )
+    if isinstance(df.schema["timestamp"].dataType, TimestampType):
+        return out
+    return out.withColumn("timestamp", to_time(F.col("timestamp")))
 
 
 def clean_ab_events(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cohortry.functions.scalars import ratio
 from cohortry.functions.tails import normal_two_sided, normal_upper, t_two_sided
 from cohortry.operators.ordering import match, range_pieces
+from cohortry.operators.sequential import running, with_boundaries
 from cohortry.session import settle
 
 SIGNIFICANT, NOT_SIGNIFICANT = "STATISTICALLY SIGNIFICANT ✓", "NOT SIGNIFICANT ✗"
@@ -348,36 +349,37 @@ def segment_scorecard(
     return adjusted.withColumn("significant_bh", F.coalesce(F.col("p_bh") < alpha, F.lit(False)))
 
 
+def planned_sizes(designs: DataFrame, keys: Sequence[str] = ("experiment_name",), alpha: float = 0.05, power: float = 0.80) -> DataFrame:
+    """``planned_n``, users of both arms together, for each experiment's ``baseline_rate`` and ``mde``."""
+    return sample_size(designs, alpha=alpha, power=power).select(*keys, F.col("n_total").alias("planned_n"))
+
+
 def sequential_monitor(
-    events: DataFrame, keys: Sequence[str] = ("experiment_name",), alpha: float = 0.05, time: str = "timestamp"
+    events: DataFrame, planned: DataFrame, keys: Sequence[str] = ("experiment_name",), alpha: float = 0.05, time: str = "timestamp"
 ) -> DataFrame:
-    """Cumulative z per day against an O'Brien-Fleming-shaped boundary z_crit / sqrt(information fraction).
+    """Cumulative z per day against the boundary of a group-sequential test with alpha spending.
 
-    Events are combined to days first; the windows run over at most one row per day and experiment.
-    The boundary is the usual approximation, not an exact alpha-spending function.
+    ``planned`` holds ``planned_n`` for each key (``planned_sizes``). Events are combined to days first; windows and arrays
+    hold at most one row per day and experiment.
     """
     daily = arm_totals(events.withColumn("day", F.to_date(time)), [*keys, "day"])
-    return monitor_columns(daily, keys, alpha)
+    return monitor_columns(daily, planned, keys, alpha)
 
 
-def monitor_columns(daily: DataFrame, keys: Sequence[str] = ("experiment_name",), alpha: float = 0.05) -> DataFrame:
-    running = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
+def monitor_columns(daily: DataFrame, planned: DataFrame, keys: Sequence[str] = ("experiment_name",), alpha: float = 0.05) -> DataFrame:
+    """``crossed`` says that a look's z reached its boundary, ``stopped`` that this or an earlier look's did."""
     counts = ("control_n", "control_conversions", "treatment_n", "treatment_conversions")
-    cumulative = daily.withColumn("_all", F.sum(F.col("control_n") + F.col("treatment_n")).over(whole)).withColumns(
-        {c: F.sum(c).over(running) for c in counts}
-    )
-    tested = two_proportion_test(cumulative, alpha)
-    fraction = (F.col("control_n") + F.col("treatment_n")) / F.col("_all")
-    boundary = z_quantile(1 - alpha / 2) / F.sqrt(fraction)
-    return tested.select(
+    tested = two_proportion_test(running(daily, keys), alpha).select(*keys, "day", *counts, "z_statistic")
+    bounded = with_boundaries(tested, keys, planned, alpha)
+    upto = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    return bounded.select(
         *keys,
         "day",
         *counts,
         "z_statistic",
-        F.round(fraction, 6).alias("information_fraction"),
-        F.round(boundary, 4).alias("boundary"),
-        F.coalesce(F.abs("z_statistic") >= F.round(boundary, 4), F.lit(False)).alias("crossed"),
-    )
-
-
+        "planned_n",
+        F.round("information", 6).alias("information_fraction"),
+        F.round("boundary", 4).alias("boundary"),
+        F.round("alpha_spent", 6).alias("alpha_spent"),
+        F.coalesce(F.abs("z_statistic") >= F.round("boundary", 4), F.lit(False)).alias("crossed"),
+    ).withColumn("stopped", F.max("crossed").over(upto))

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType, TimestampType
 
-from cohortry.operators.cleaning import event_columns
-from cohortry.operators.experiments import monitor_columns
+from cohortry.operators.cleaning import event_columns, keep_first, to_time
+from cohortry.operators.experiments import arm_totals, monitor_columns
+from cohortry.session import settle
 
 
 def read_event_stream(
@@ -39,7 +40,9 @@ def windowed_arm_counts(
     events: DataFrame, keys: Sequence[str] = ("experiment_name",), width: str = "1 day", watermark: str | None = None
 ) -> DataFrame:
     """Users, conversions and rate per tumbling window and arm; the same columns in batch and streaming."""
-    timed = events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    # A cast, even to the same type, would lose the watermark.
+    done = isinstance(events.schema["timestamp"].dataType, TimestampType)
+    timed = events if done else events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     if watermark:
         timed = timed.withWatermark("timestamp", watermark)
     return (
@@ -63,34 +66,83 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, **trigger) -> Da
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def live_monitor(
-    counts: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = ("experiment_name",), alpha: float = 0.05, **trigger
-) -> DataFrame:
-    """Sequential-test table kept up to date from daily ``windowed_arm_counts``.
+def closed_windows(counts: DataFrame, path: str, checkpoint: str, **trigger) -> DataFrame:
+    """Windowed counts of a stream with a watermark, each window appended once, when the watermark has passed its end.
 
-    Each micro-batch receives the complete daily totals (days x experiments x arms, not events), turns them
-    into the monitor columns and replaces one of two tables, the one that is not the newest; a replayed batch writes
-    the same folder. Give it ``clean_event_stream`` as input of the counts, so that repeated events count once.
+    State holds only windows that are still open; it is dropped with the window. What arrives for a closed window is too
+    late and changes nothing (``live_monitor`` takes such events).
     """
+    return run_to_table(counts, path, checkpoint, **trigger)
+
 
-    def refresh(totals: DataFrame, batch: int) -> None:
-        arm = lambda a, c: F.coalesce(F.sum(F.when(F.col("group") == a, F.col(c))), F.lit(0))
-        daily = totals.groupBy(*keys, F.to_date("window_start").alias("day")).agg(
-            arm("control", "n").alias("control_n"),
-            arm("control", "conversions").alias("control_conversions"),
-            arm("treatment", "n").alias("treatment_n"),
-            arm("treatment", "conversions").alias("treatment_conversions"),
-        )
-        made = monitor_columns(daily, keys, alpha).withColumn("batch", F.lit(batch).cast("bigint"))
-        made.write.mode("overwrite").parquet(f"{path}/side={batch % 2}")
+COUNTS = ("control_n", "control_conversions", "treatment_n", "treatment_conversions")
 
+
+def merge_events(events: DataFrame, path: str, batch: int, keys: Sequence[str] = ("experiment_name",), key: str = "event_id") -> None:
+    """Adds the events of one micro-batch to the tables under ``path``; the same batch again changes nothing.
+
+    ``events`` (by day and batch) keeps each event once: copies inside the batch, and copies of an event that an earlier
+    batch brought for the same day, are left out however late they come. ``totals`` (by day) holds the counts of both arms
+    with those before the last batch that changed them, so a batch that is run again starts from these. Only the days that
+    the batch has events of are read and written.
+    """
+    spark = events.sparkSession
+    own = keep_first(events.withColumn("timestamp", to_time(F.col("timestamp"))).withColumn("day", F.to_date("timestamp")), [key], ["timestamp"])
+    own = settle(own, "micro-batch")
+    days = [r.day for r in own.select("day").distinct().collect()]
+    of_days = F.col("day").isin([d for d in days if d is not None])
+    of_days = of_days | F.col("day").isNull() if None in days else of_days
+    stored = spark.read.schema(StructType([*own.schema, StructField("batch", LongType())])).parquet(f"{path}/events")
+    known = stored.where(of_days & (F.col("batch") < batch)).select(F.col(key).alias("_known"))
+    fresh = settle(own.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti").withColumn("batch", F.lit(batch).cast("bigint")), "fresh")
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(f"{path}/events")
+
+    added = arm_totals(event_columns(fresh), [*keys, "day"])
+    totals = spark.read.schema(totals_schema(own, keys)).parquet(f"{path}/totals").where(of_days)
+    before = [F.when(F.col("batch") == batch, F.col(f"before_{c}")).otherwise(F.col(c)).alias(f"before_{c}") for c in COUNTS]
+    base = totals.select(*keys, "day", *before)
+    both = base.withColumns({c: F.col(f"before_{c}") for c in COUNTS}).unionByName(added.withColumns({f"before_{c}": F.lit(0).cast("bigint") for c in COUNTS}))
+    merged = both.groupBy(*keys, "day").agg(*[F.sum(c).cast("bigint").alias(c) for n in COUNTS for c in (n, f"before_{n}")])
+    settled = settle(merged.withColumn("batch", F.lit(batch).cast("bigint")), "totals")
+    settled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{path}/totals")
+
+
+def totals_schema(events: DataFrame, keys: Sequence[str]) -> StructType:
+    counts = [StructField(c, LongType()) for n in COUNTS for c in (n, f"before_{n}")]
+    return StructType([*[events.schema[k] for k in keys], *counts, StructField("batch", LongType()), StructField("day", DateType())])
+
+
+def merge_stream(events: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = ("experiment_name",), **trigger) -> None:
+    """Runs a stream of events, copies and all, into the tables of ``merge_events`` until its input is used up."""
+    spark = events.sparkSession
+    day = StructField("day", DateType())
+    timed = events.withColumn("timestamp", to_time(F.col("timestamp")))
+    for name, schema in (("events", StructType([*timed.schema, day, StructField("batch", LongType())])), ("totals", totals_schema(events, keys))):
+        spark.createDataFrame([], schema).write.mode("append").partitionBy(*(("day", "batch") if name == "events" else ("day",))).parquet(f"{path}/{name}")
     started = (
-        counts.writeStream.foreachBatch(refresh)
-        .outputMode("complete")
+        events.writeStream.foreachBatch(lambda rows, batch: merge_events(rows, path, batch, keys))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
     started.awaitTermination()
-    written = counts.sparkSession.read.parquet(path)
-    return written.filter(F.col("batch") == written.agg(F.max("batch")).scalar()).drop("batch", "side")
+
+
+def live_monitor(
+    events: DataFrame, path: str, checkpoint: str, planned: DataFrame, keys: Sequence[str] = ("experiment_name",), alpha: float = 0.05, **trigger
+) -> DataFrame:
+    """Sequential-test table of an event stream, equal to ``sequential_monitor`` over the same events.
+
+    A micro-batch changes only the totals of the days it has events of (``merge_events``); the stream itself keeps no
+    state, and events count once however late they or their copies come. The result is computed from the daily totals.
+    """
+    merge_stream(events, path, checkpoint, keys, **trigger)
+    totals = events.sparkSession.read.schema(totals_schema(events, keys)).parquet(f"{path}/totals")
+    return monitor_columns(totals.select(*keys, "day", *COUNTS), planned, keys, alpha)
+
+
+def merged_events(events: DataFrame, path: str) -> DataFrame:
+    """Silver events of the tables that ``merge_stream`` keeps."""
+    timed = events.withColumn("timestamp", to_time(F.col("timestamp")))
+    schema = StructType([*timed.schema, StructField("day", DateType()), StructField("batch", LongType())])
+    return event_columns(events.sparkSession.read.schema(schema).parquet(f"{path}/events")).select(*events.columns)

@@ -36,6 +36,8 @@ def with_views(sql: str, names: list[str]) -> str:
     if not needed:
         return sql
     body = sql.strip()
+    if body.lower().startswith("with recursive "):
+        return "with recursive " + ",\n".join(needed) + ",\n" + body[15:]
     if body.lower().startswith("with "):
         return "with " + ",\n".join(needed) + ",\n" + body[5:]
     return "with " + ",\n".join(needed) + "\n" + body

@@ -6,6 +6,7 @@ from statistics import NormalDist
 
 from pyspark.sql import functions as F
 
+from cohortry.functions import tails
 from cohortry.operators import bayes, experiments, hypothesis
 from cohortry.sources.tables import ab_events_view, table
 from cohortry.workload.base import p_chi2, p_f, p_normal, p_normal_upper, p_t, query
@@ -167,25 +168,33 @@ def arm_contamination(spark, d):
     return experiments.arm_contamination(events, ["source", "device"])
 
 
-GRID = bayes.GRID
+def bayes_sql(keys: str, interval: bool = False, outer: int = 240, inner: int = 400) -> str:
+    """Treatment rates on an even grid of 12 deviations each way, the control's distribution by Simpson's rule up to each."""
+    density = lambda y, a, b: f"(case when {y} <= 0 or {y} >= 1 then 0 else exp(lgamma({a} + {b}) - lgamma({a}) - lgamma({b}) + ({a} - 1) * ln({y}) + ({b} - 1) * ln(1 - {y})) end)"
 
+    def upto(x: str, factor: str = "1.0") -> str:
+        """Integral of the control's density times ``factor`` (in y) up to ``x``."""
+        y = f"(low + (least(greatest({x}, low), 1.0) - low) * k / {inner}.0)"
+        weight = f"(case when k = 0 or k = {inner} then 1 when k % 2 = 1 then 4 else 2 end)"
+        body = f"list_transform([{y}], lambda y: {factor} * {density('y', 'ac', 'bc')})[1]"
+        return f"(list_sum(list_transform(range(0, {inner + 1}), lambda k: {weight} * {body})) * (least(greatest({x}, low), 1.0) - low) / {inner}.0 / 3.0)"
 
-def bayes_sql(keys: str) -> str:
-    join = " and ".join(f"c.{k.strip()} = t.{k.strip()}" for k in keys.split(","))
+    lists = f"""list_transform(range(0, {outer + 1}), lambda i: mt + (i - {outer // 2}) * st * 24.0 / {outer}.0)"""
+    share = f"list_sum(list_transform(range(1, {outer + 2}), lambda i: ws[i] * (1 - {upto('(xs[i] - (r[1] + r[2]) / 2)')})))"
+    root = lambda q: f"""list_reduce(list_transform(range(0, 40), lambda h: [mt - mc - 12 * sqrt(sc * sc + st * st), mt - mc + 12 * sqrt(sc * sc + st * st)]),
+        lambda r, e: case when {share} < {q} then [(r[1] + r[2]) / 2, r[2]] else [r[1], (r[1] + r[2]) / 2] end)"""
+    bounds = f""", case when win is not null then list_transform([{root('0.025')}], lambda r: round((r[1] + r[2]) / 2, 6))[1] end as credible_lower,
+      case when win is not null then list_transform([{root('0.975')}], lambda r: round((r[1] + r[2]) / 2, 6))[1] end as credible_upper"""
     return f"""ab as (select {keys}, 1.0::double + xc as ac, 1.0::double + nc - xc as bc, 1.0::double + xt as a_t, 1.0::double + nt - xt as b_t from totals),
       m as (select *, ac / (ac + bc) as mc, a_t / (a_t + b_t) as mt from ab),
       sd as (select *, sqrt(mc * (1 - mc) / (ac + bc + 1)) as sc, sqrt(mt * (1 - mt) / (a_t + b_t + 1)) as st from m),
-      lim as (select *, greatest(least(mc - 8 * sc, mt - 8 * st), 0.0) as lo, least(greatest(mc + 8 * sc, mt + 8 * st), 1.0) as hi from sd),
-      g as (select *, unnest(range(0, {GRID})) as i, (hi - lo) / {GRID}.0::double as step from lim),
-      x as (select *, lo + (i + 0.5::double) * step as x from g),
-      l as (select *, (ac - 1) * ln(x) + (bc - 1) * ln(1 - x) as lc, (a_t - 1) * ln(x) + (b_t - 1) * ln(1 - x) as lt from x),
-      f as (select *, exp(lc - max(lc) over (partition by {keys})) as fc, exp(lt - max(lt) over (partition by {keys})) as ft from l),
-      n as (select *, fc / sum(fc) over (partition by {keys}) as qc, ft / sum(ft) over (partition by {keys}) as qt from f),
-      cum as (select *, sum(qc) over w - qc / 2 as cc, sum(qt) over w - qt / 2 as ct from n window w as (partition by {keys} order by i)),
-      r as (select {keys}, sum(qt * cc) as win, sum(ct * (1 - cc) * step) as loss, any_value(mt - mc) as lift from cum group by {keys})
-    select {keys}, round(win, 4) as prob_treatment_better, round(1 - win, 4) as prob_control_better, round(lift, 6) as expected_lift,
+      g as (select *, greatest(mc - 12 * sc, 0.0) as low, {lists} as xs from sd),
+      w as (select *, list_transform(xs, lambda x: {density('x', 'a_t', 'b_t')} * st * 24.0 / {outer}.0) as ws from g),
+      r as (select *, list_sum(list_transform(range(1, {outer + 2}), lambda i: ws[i] * {upto('xs[i]')})) as win,
+              list_sum(list_transform(range(1, {outer + 2}), lambda i: ws[i] * (mc - xs[i] + {upto('xs[i]', '(xs[i] - y)')}))) as loss from w)
+    select {keys}, round(win, 4) as prob_treatment_better, round(1 - win, 4) as prob_control_better, round(mt - mc, 6) as expected_lift,
       round(loss, 6) as expected_loss_if_treatment,
-      case when win > 0.95 then 'Ship Treatment ✓' when win > 0.8 then 'Continue Testing' else 'Keep Control' end as recommendation from r"""
+      case when win > 0.95 then 'Ship Treatment ✓' when win > 0.8 then 'Continue Testing' else 'Keep Control' end as recommendation{bounds if interval else ''} from r"""
 
 
 BAYES = ["prob_treatment_better", "prob_control_better", "expected_lift", "expected_loss_if_treatment", "recommendation"]
@@ -202,7 +211,7 @@ def bayes_test_by_segment(spark, d):
     return bayes.bayes_test(experiments.arm_totals(clean_events(spark, d), keys)).select(*keys, *BAYES)
 
 
-@query()
+@query(f"with {totals_sql('experiment_name')}, {bayes_sql('experiment_name', interval=True)}", "events clean_events")
 def bayes_credible_interval(spark, d):
     totals = experiments.arm_totals(clean_events(spark, d))
     return bayes.bayes_report(totals).select("experiment_name", *BAYES, "credible_lower", "credible_upper")
@@ -336,18 +345,70 @@ def multiple_testing_correction(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("p_bonferroni", "p_bh")})
 
 
-MONITOR_SQL = f"""with {totals_sql('experiment_name, "timestamp"::date as day').replace('group by experiment_name, "timestamp"::date as day', 'group by experiment_name, "timestamp"::date')},
-         run as (select experiment_name, day, sum(nc) over w as nc, sum(xc) over w as xc, sum(nt) over w as nt, sum(xt) over w as xt,
-             sum(nc + nt) over (partition by experiment_name) as total from totals
-           window w as (partition by experiment_name order by day)),
-         {z_sql('experiment_name', 'run')}, b as (select *, (nc + nt) / total::double as frac from zed)
-       select experiment_name, day, nc::bigint as control_n, xc::bigint as control_conversions, nt::bigint as treatment_n, xt::bigint as treatment_conversions, round(z, 4) as z_statistic,
-         round(frac, 6) as information_fraction, round({CRIT} / sqrt(frac), 4) as boundary, coalesce(abs(round(z, 4)) >= round({CRIT} / sqrt(frac), 4), false) as crossed from b"""
+#: The design of each experiment: conversion rate before it and the smallest difference worth finding.
+DESIGNS = {"exp_a": (0.2, 0.03), "exp_b": (0.2, 0.05), "exp_c": (0.2, 0.1)}
+
+
+def normal_tail_sql(z: str) -> str:
+    """P(Z >= z) by Hart's rational form; ``z`` is bound to a name first."""
+    poly = lambda cs: " + x * (".join(repr(c) for c in cs) + ")" * (len(cs) - 1)
+    far = "(x + 1.0 / (x + 2.0 / (x + 3.0 / (x + 4.0 / (x + 0.65)))))"
+    half = f"exp(-0.5 * x * x) * (case when x < 7.07106781186547 then ({poly(tails.HART_TOP)}) / ({poly(tails.HART_BOTTOM)}) else 1.0 / {far} / sqrt(2 * pi()) end)"
+    return f"list_transform([({z})::double], lambda z: list_transform([abs(z)], lambda x: case when z >= 0 then {half} else 1 - {half} end)[1])[1]"
+
+
+def recursive_views(sql: str) -> str:
+    """The first ``with`` of a statement that refers to itself."""
+    return "with recursive " + sql.strip()[5:]
+
+
+def monitor_sql(nodes: int = 300) -> str:
+    """Looks and boundaries by a recursive table: one row a day, with the density on its own even grid by Simpson's rule."""
+    designs = ", ".join(f"('{k}', {p}::double, {d}::double)" for k, (p, d) in DESIGNS.items())
+    beyond = lambda c: f"(2 * list_sum(list_transform(range(1, len(xs) + 1), lambda i: ws[i] * ({normal_tail_sql(f'({c} - xs[i]) / s')} + {normal_tail_sql(f'({c} + xs[i]) / s')}))))"
+    halved = f"""list_reduce(list_transform(range(0, 48), lambda k: [0.0::double, 8.0::double]), lambda a, e:
+        case when {beyond('(a[1] + a[2]) / 2 * root')} > target then [(a[1] + a[2]) / 2, a[2]] else [a[1], (a[1] + a[2]) / 2] end)[2]"""
+    spend = f"4 * {normal_tail_sql(f'{Z(1 - 0.05 / 4)!r} / sqrt(t)')}"
+    return recursive_views(f"""with {totals_sql('experiment_name, "timestamp"::date as day').replace('group by experiment_name, "timestamp"::date as day', 'group by experiment_name, "timestamp"::date')},
+      run as (select experiment_name, day, sum(nc) over w as nc, sum(xc) over w as xc, sum(nt) over w as nt, sum(xt) over w as xt
+              from totals window w as (partition by experiment_name order by day)),
+      {z_sql('experiment_name', 'run')},
+      plan as (select experiment_name, 2 * ceil(2 * pow({Z(0.975)!r} + {Z(0.8)!r}, 2) / pow(2 * asin(sqrt(p + d)) - 2 * asin(sqrt(p)), 2))::bigint as planned_n
+               from (values {designs}) as v(experiment_name, p, d)),
+      days as (select *, least((nc + nt) / planned_n::double, 1.0) as frac, row_number() over (partition by experiment_name order by day) as d from zed join plan using (experiment_name)),
+      walk as (
+        select experiment_name, 0::bigint as d, 0.0::double as t, 0.0::double as spent, [0.0::double] as xs, [0.5::double] as ws, null::double as boundary, null::double as alpha_spent
+          from (select distinct experiment_name from days)
+        union all
+        select experiment_name, d, t, case when looked then spent + lost else spent end, case when looked then ys else xs end,
+          case when looked then list_transform(range(1, len(ys) + 1), lambda j: (case when j = 1 or j = len(ys) then 1 when j % 2 = 0 then 4 else 2 end) * c / {nodes}.0 / 3.0 / (s * sqrt(2 * pi()))
+            * list_sum(list_transform(range(1, len(xs) + 1), lambda i: ws[i] * (exp(-0.5 * pow((ys[j] - xs[i]) / s, 2)) + exp(-0.5 * pow((ys[j] + xs[i]) / s, 2)))))) else ws end,
+          case when looked then b end, case when looked then spent + lost end
+        from (select *, b * root as c, {beyond('b * root')} as lost, list_transform(range(0, {nodes + 1}), lambda k: b * root * k / {nodes}.0) as ys
+              from (select *, case when looked then {halved} else 1.0 end as b
+                    from (select experiment_name, d, looked, spent, xs, ws, case when looked then now else t end as t, case when looked then sqrt(now - t) else 1.0 end as s,
+                            sqrt(now) as root, case when looked then greatest(spend - spent, 0.0) end as target
+                          from (select w.experiment_name, n.d, w.t, w.spent, w.xs, w.ws, n.frac as now, (n.frac - w.t >= 0.002 or (n.frac >= 1 and w.t < 1)) as looked,
+                                  list_transform([n.frac], lambda t: {spend})[1] as spend
+                                from walk w join days n on n.experiment_name = w.experiment_name and n.d = w.d + 1)))))
+      select experiment_name, day, nc::bigint as control_n, xc::bigint as control_conversions, nt::bigint as treatment_n, xt::bigint as treatment_conversions, round(z, 4) as z_statistic,
+        planned_n, round(frac, 6) as information_fraction, round(boundary, 4) as boundary, round(alpha_spent, 6) as alpha_spent,
+        coalesce(abs(round(z, 4)) >= round(boundary, 4), false) as crossed,
+        max(coalesce(abs(round(z, 4)) >= round(boundary, 4), false)) over (partition by experiment_name order by day) as stopped
+      from days join walk using (experiment_name, d)""")
+
+
+MONITOR_SQL = monitor_sql()
+
+
+def experiment_plans(spark):
+    designs = spark.createDataFrame([(k, *v) for k, v in DESIGNS.items()], "experiment_name string, baseline_rate double, mde double")
+    return experiments.planned_sizes(designs)
 
 
 @query(MONITOR_SQL, "events clean_events")
 def sequential_monitor(spark, d):
-    return experiments.sequential_monitor(clean_events(spark, d))
+    return experiments.sequential_monitor(clean_events(spark, d), experiment_plans(spark))
 
 
 @query(

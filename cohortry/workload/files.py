@@ -13,7 +13,7 @@ from cohortry.sources import files
 from cohortry.sources.tables import ab_events_view, customers_view, experiment_columns, reviews_view, table
 from cohortry.workload.base import query
 from cohortry.workload.cleaning import clean_events, gold, gold_sql, rounded_gold
-from cohortry.workload.experiments import MONITOR_SQL
+from cohortry.workload.experiments import MONITOR_SQL, experiment_plans
 
 CSV_SCHEMAS = {
     "customers": """customer_id bigint, name string, state string, preferred_category string, signup_date date, tenure_days int,
@@ -163,9 +163,21 @@ def daily_arm_counts(spark, d):
     return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "experiment_name", "group", "n", "conversions", F.round("cvr", 6).alias("cvr"))
 
 
+@query(
+    """select strftime(date_trunc('day', "timestamp"), '%Y-%m-%d') as day, experiment_name, "group", count(*) as n, sum(converted)::bigint as conversions, round(avg(converted), 6) as cvr
+       from s_events where date_trunc('day', "timestamp") + interval 1 day <= (select max("timestamp") from s_events) - interval 1 day group by all""",
+    "events clean_events",
+)
+def stream_closed_days(spark, d):
+    """The day's counts from the event stream, each day written once, when a day's watermark has passed its end."""
+    base = scratch_path(spark, "stream-days")
+    counts = streaming.windowed_arm_counts(streaming.clean_event_stream(event_stream(spark, d), watermark="1 day"))
+    out = streaming.closed_windows(counts, f"{base}/table", f"{base}/checkpoint")
+    return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "experiment_name", "group", "n", "conversions", F.round("cvr", 6).alias("cvr"))
+
+
 @query(MONITOR_SQL, "events clean_events")
 def stream_monitor(spark, d):
-    """Live sequential monitor from the event stream; equals ``sequential_monitor`` once the input is used up."""
+    """Live sequential monitor from the event stream; equals ``sequential_monitor`` over the same events."""
     base = scratch_path(spark, "stream-monitor")
-    counts = streaming.windowed_arm_counts(streaming.clean_event_stream(event_stream(spark, d), watermark="1 day"))
-    return streaming.live_monitor(counts, f"{base}/table", f"{base}/checkpoint")
+    return streaming.live_monitor(event_stream(spark, d), f"{base}/table", f"{base}/checkpoint", experiment_plans(spark))

@@ -3,6 +3,7 @@
 import json
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,8 +157,60 @@ def test_stream_equals_batch_over_micro_batches(spark):
     want = cleaning.clean_ab_events(experiment_columns(events)).select("event_id", "group", "revenue_inr", "converted")
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
-    again = experiment_columns(streaming.read_event_stream(spark, f"{base}/in", events.schema, max_files=1))
-    counts = streaming.windowed_arm_counts(streaming.clean_event_stream(again, watermark="60 days"))
-    live = streaming.live_monitor(counts, f"{base}/live", f"{base}/ck2")
-    batch = experiments.sequential_monitor(cleaning.clean_ab_events(experiment_columns(doubled)))
+
+PLANS = [("exp_a", 5_882), ("exp_b", 500), ("exp_c", None)]
+
+
+def days_of_micro_batches(spark, path):
+    """The events in 20 files by time; copies of a tenth of the events arrive three days and more late, some twice in a file."""
+    events = table(spark, FOLDER, "events").toPandas().sort_values("ts").reset_index(drop=True)
+    arrival = events.copy()
+    arrival["at"] = arrival["ts"]
+    late = events.iloc[::10].copy()
+    late["at"] = late["ts"] + pd.Timedelta(days=3)
+    # An event itself that is five days late, and a copy within the hour.
+    arrival.loc[arrival.index % 97 == 0, "at"] += pd.Timedelta(days=5)
+    soon = events.iloc[::25].copy()
+    soon["at"] = soon["ts"] + pd.Timedelta(minutes=40)
+    everything = pd.concat([arrival, late, soon, late.iloc[::2]]).sort_values("at").reset_index(drop=True)
+    schema = table(spark, FOLDER, "events").schema
+    size = -(-len(everything) // 20)
+    for i in range(20):
+        spark.createDataFrame(everything.iloc[i * size : (i + 1) * size].drop(columns="at"), schema).coalesce(1).write.mode("append").parquet(path)
+    return events, schema
+
+
+def test_live_monitor_over_micro_batches(spark):
+    base = scratch_path(spark, "t-live")
+    _, schema = days_of_micro_batches(spark, f"{base}/in")
+    planned = spark.createDataFrame(PLANS, "experiment_name string, planned_n bigint")
+    source = experiment_columns(streaming.read_event_stream(spark, f"{base}/in", schema, max_files=1))
+    live = streaming.live_monitor(source, f"{base}/live", f"{base}/ck", planned)
+    events = cleaning.clean_ab_events(experiment_columns(spark.read.schema(schema).parquet(f"{base}/in")))
+    batch = experiments.sequential_monitor(events, planned)
     assert live.count() == batch.count() > 0 and live.select(batch.columns).exceptAll(batch).count() == 0
+    silver = streaming.merged_events(source, f"{base}/live")
+    assert silver.exceptAll(events.select(silver.columns)).count() == 0 and silver.count() == events.count()
+    # A batch that runs again, as after a failure, changes nothing; one that comes once more under a new number neither.
+    again = experiment_columns(spark.read.schema(schema).parquet(f"{base}/in").where("event_id < 400"))
+    streaming.merge_events(again, f"{base}/live", 100)
+    streaming.merge_events(again, f"{base}/live", 100)
+    totals = spark.read.parquet(f"{base}/live/totals")
+    counted = totals.agg(F.sum(F.col("control_n") + F.col("treatment_n"))).first()[0]
+    assert counted == events.count()
+    # Without a plan there is no boundary; before the plan is complete a day's row is final.
+    assert batch.where("experiment_name = 'exp_c' and (boundary is not null or crossed)").count() == 0
+    early = experiments.sequential_monitor(events.where("timestamp < '2024-01-11'"), planned)
+    assert early.exceptAll(batch).count() == 0 and early.where("boundary is not null").count() > 5
+
+
+def test_closed_days_of_a_stream(spark):
+    base = scratch_path(spark, "t-closed")
+    events, schema = days_of_micro_batches(spark, f"{base}/in")
+    source = experiment_columns(streaming.read_event_stream(spark, f"{base}/in", schema, max_files=1))
+    counts = streaming.windowed_arm_counts(streaming.clean_event_stream(source, watermark="6 days"))
+    got = streaming.closed_windows(counts, f"{base}/out", f"{base}/ck").select("window_start", "experiment_name", "group", "n", "conversions")
+    clean = cleaning.clean_ab_events(experiment_columns(spark.createDataFrame(events, schema)))
+    last = clean.agg(F.max("timestamp") - F.expr("interval 6 days")).first()[0]
+    want = streaming.windowed_arm_counts(clean).where(F.col("window_end") <= F.lit(last)).select(got.columns)
+    assert got.count() == want.count() > 100 and got.exceptAll(want).count() == 0
