@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from itertools import permutations
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,19 +25,40 @@ HIDDEN_LAYERS = (256, 128, 64, 32)
 # ---------------------------------------------------------------- preparation
 
 
+def category_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``_column _value _code``: the distinct values of each column numbered from 0 in the order of their bytes.
+
+    Distinct values are range-partitioned and numbered within their piece; the counts of earlier pieces come before. No
+    task holds more than a piece of a column's values and none of them pass through the driver.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("_column"), F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("_value")) for c in columns])
+    distinct = df.select(F.inline(pairs)).distinct()
+    pieces = settle(range_pieces(distinct, "_column", "_value"), "categories")
+    earlier = Window.partitionBy("_column").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = pieces.groupBy("_column", "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_column", "_piece", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_column", "_piece").orderBy("_value"))
+    numbered = pieces.withColumn("_place", place).join(offsets, ["_column", "_piece"])
+    return settle(numbered.select("_column", "_value", (F.col("_before") + F.col("_place") - 1).cast("int").alias("_code")), "category-codes")
+
+
 def encode_categories(df: DataFrame, columns: Sequence[str] = CATEGORICAL, fit_on: DataFrame | None = None) -> DataFrame:
     """Integer codes in alphabetical order; null is the category ``nan``.
 
-    Fitting on the training rows (``fit_on``) gives values unseen there one extra code per column.
+    Fitting on the training rows (``fit_on``) gives values unseen there one extra code per column. The dictionary is joined
+    by value: it is broadcast only if its measured size allows.
     """
     present = [c for c in columns if c in df.columns]
-    as_text = lambda d: d.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in present})
     if not present:
         return df
-    coded = [f"_{c}_code" for c in present]
-    indexer = StringIndexer(inputCols=present, outputCols=coded, stringOrderType="alphabetAsc", handleInvalid="keep")
-    out = indexer.fit(as_text(fit_on if fit_on is not None else df)).transform(as_text(df))
-    return out.withColumns({c: F.col(k).cast("int") for c, k in zip(present, coded)}).drop(*coded)
+    codes = category_dictionary(fit_on if fit_on is not None else df, present)
+    sizes = one_row(codes, *[F.count_if(F.col("_column") == c).cast("int").alias(c) for c in present])
+    out = df.withColumn("_sizes", sizes)
+    for c in present:
+        own = codes.filter(F.col("_column") == c).select(F.col("_value").alias(f"_{c}_value"), F.col("_code").alias(f"_{c}_code"))
+        out = out.join(own, F.coalesce(F.col(c).cast("string"), F.lit("nan")) == F.col(f"_{c}_value"), "left")
+    coded = {c: F.coalesce(F.col(f"_{c}_code"), F.col("_sizes")[c]) for c in present}
+    return out.withColumns(coded).select(*df.columns)
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -65,7 +88,7 @@ def stratified_split(
     )
     # Thresholds per class; a class without any cut has no row and is training data.
     fold = F.when(F.col("_h") <= F.col("_test"), "test").when(F.col("_h") <= F.col("_validation"), "validation")
-    return hashed.join(cuts, label, "left").withColumn("fold", fold.otherwise("train")).drop("_h", "_test", "_validation")
+    return match(hashed, cuts, [label], "left").withColumn("fold", fold.otherwise("train")).drop("_h", "_test", "_validation")
 
 
 def standardise(df: DataFrame, columns: Sequence[str], fit_on: Column | None = None) -> DataFrame:
@@ -116,13 +139,81 @@ def classifier(kind: str, n_features: int, label: str, max_iter: int = 25, seed:
     raise ValueError(f"unknown model kind {kind!r}; use mlp, gbt or logistic")
 
 
+def _assembler(features: Sequence[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+
+
 def train(df: DataFrame, features: Sequence[str], label: str = "churned", kind: str = "mlp", **params) -> PipelineModel:
-    """Fit on the rows given (normally the training fold)."""
-    stages = [
-        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
-        classifier(kind, len(features), label, **params),
-    ]
-    return detached(Pipeline(stages=stages).fit(df), df.sparkSession)
+    """Fit on the rows given (normally the training fold); every round reads the assembled vectors from the shared folder."""
+    assembler = _assembler(features)
+    rows = settle(assembler.transform(df).select("features", label), "training-rows")
+    fitted = classifier(kind, len(features), label, **params).fit(rows)
+    return detached(PipelineModel(stages=[assembler, fitted]), df.sparkSession)
+
+
+HISTORY = "run_id string, epoch int, train_loss double, val_loss double, val_auc double"
+
+
+def log_loss(p: str | Column, label: str | Column) -> Column:
+    """Mean cross-entropy; a probability of 0 or 1 counts as 1e-15 from it."""
+    clipped = F.least(F.greatest(F.col(p) if isinstance(p, str) else p, F.lit(1e-15)), F.lit(1.0 - 1e-15))
+    truth = F.col(label) if isinstance(label, str) else label
+    return -F.avg(F.when(truth == 1, F.ln(clipped)).otherwise(F.ln(1.0 - clipped)))
+
+
+def train_epochs(
+    df: DataFrame,
+    features: Sequence[str],
+    path: str,
+    validation: DataFrame,
+    label: str = "churned",
+    run_id: str = "run",
+    epochs: int = 20,
+    iterations: int = 5,
+    patience: int = 4,
+    layers: Sequence[int] = HIDDEN_LAYERS,
+    seed: int = 42,
+) -> tuple[PipelineModel, DataFrame]:
+    """The network of the best epoch and the history, a row for each epoch, in ``path/history``.
+
+    An epoch is some L-BFGS iterations that start from the weights of the last one. After each its losses and its
+    validation AUC are measured and written, and its weights kept if the AUC is the highest so far (the first of equals).
+    Training stops after ``patience`` epochs without a better one. Vectors are assembled and written once.
+    """
+    spark, assembler = df.sparkSession, _assembler(features)
+    rows = settle(assembler.transform(df).select("features", label), "training-rows")
+    held = settle(assembler.transform(validation).select("features", label), "validation-rows")
+    network = MultilayerPerceptronClassifier(layers=[len(features), *layers, 2], labelCol=label, maxIter=iterations, seed=seed)
+    best, best_epoch, weights = None, 0, None
+    for epoch in range(1, epochs + 1):
+        if weights is not None:
+            network.setInitialWeights(weights)
+        model = network.fit(rows)
+        weights = model.weights
+        on = lambda d, m=model: m.transform(d).select(label, vector_to_array("probability")[1].alias("_p"))
+        scored = settle(on(held), "validation-scores")
+        loss = scored.agg(log_loss("_p", label).alias("val_loss")).withColumn("val_auc", auc(scored, "_p", label).scalar())
+        row = on(rows).agg(log_loss("_p", label).alias("train_loss")).withColumn("_v", loss.select(F.struct("val_loss", "val_auc")).scalar())
+        row = row.select(F.lit(run_id).alias("run_id"), F.lit(epoch).alias("epoch"), "train_loss", "_v.val_loss", "_v.val_auc")
+        row.write.mode("append").parquet(f"{path}/history")
+        history = spark.read.schema(HISTORY).parquet(f"{path}/history").filter(F.col("run_id") == run_id)
+        at = best_of_epochs(history).first().epoch
+        if at == epoch:
+            best, best_epoch = model, epoch
+        elif epoch - best_epoch >= patience:
+            break
+    if best is None:
+        raise ValueError("no epoch could be judged: the validation rows need both classes")
+    return detached(PipelineModel(stages=[assembler, best]), spark), history
+
+
+def best_of_epochs(history: DataFrame) -> DataFrame:
+    """One row a run: the epoch of the highest validation AUC, the first of equals, and the number of epochs run."""
+    order = F.struct("val_auc", -F.col("epoch"))
+    known = F.when(F.col("val_auc").isNotNull(), order)
+    return history.groupBy("run_id").agg(
+        F.max_by("epoch", known).alias("epoch"), F.max("val_auc").alias("val_auc"), F.count(F.lit(1)).alias("epochs")
+    )
 
 
 def detached(model: PipelineModel, spark: SparkSession) -> PipelineModel:
@@ -316,6 +407,76 @@ def permutation_importance(
     return areas.filter("feature <> '(none)'").select("feature", (base - F.col("auc_roc")).alias("importance"))
 
 
+Predictor = Callable[[DataFrame], DataFrame]
+
+
+def model_predictor(model: PipelineModel) -> Predictor:
+    """Adds ``_p``, the positive probability of the values in the array ``_x``."""
+
+    def predict(rows: DataFrame) -> DataFrame:
+        scored = model.stages[-1].transform(rows.withColumn("features", array_to_vector("_x")))
+        return scored.select(*rows.columns, vector_to_array("probability")[1].alias("_p"))
+
+    return predict
+
+
+#: More background rows than this would multiply the scoring for little: the attribution is a mean over them.
+BACKGROUND = 100
+
+
+def shapley_values(
+    predict: Predictor,
+    df: DataFrame,
+    features: Sequence[str],
+    background: DataFrame,
+    ids: Sequence[str] = ("customer_id",),
+    orders: int | None = 4,
+    seed: int = 42,
+) -> DataFrame:
+    """Shapley values of each row's features against background rows: ``ids feature attribution``.
+
+    For each background row and each of ``orders`` random orders of the features (None: all orders), the features take the
+    row's values one by one; a feature's share is the change it makes. They are the mean over background rows and orders.
+    The feature ``(base)`` has the mean prediction of the background, so a row's attributions add up to its prediction.
+
+    ``background`` holds ``BACKGROUND`` rows at most, a bounded sample by definition; its rows are one array in the plan.
+    Every row is scored in one job, 1 + number of features times for each pair; contributions are combined on the map side.
+    """
+    n = len(features)
+    held = one_row(background.limit(BACKGROUND + 1), F.collect_list(F.array(*[F.col(f).cast("double") for f in features])).alias("rows"))["rows"]
+    size = background.limit(BACKGROUND + 1).count()
+    if not 0 < size <= BACKGROUND:
+        raise ValueError(f"the background has {size} rows; give 1 to {BACKGROUND}")
+    if orders is None:
+        every = F.array(*[F.array(*[F.lit(i) for i in o]) for o in permutations(range(n))])
+        order = F.explode(every)
+    else:
+        drawn = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(F.xxhash64(*[F.col(i_) for i_ in ids], F.col("_b"), F.col("_r"), i, F.lit(seed)).alias("h"), i.alias("i")))
+        order = F.transform(F.array_sort(drawn), lambda s: s["i"])
+    rows = df.select(*ids, F.array(*[F.col(f).cast("double") for f in features]).alias("_own")).withColumn("_rows", held)
+    pairs = rows.select(*ids, "_own", F.posexplode("_rows").alias("_b", "_other"))
+    if orders is not None:
+        pairs = pairs.withColumn("_r", F.explode(F.sequence(F.lit(1), F.lit(orders))))
+    steps = pairs.withColumn("_order", order).withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(n))))
+    own = F.slice("_order", 1, F.col("_step"))
+    mixed = F.transform(F.zip_with("_own", "_other", lambda x, y: F.struct(x.alias("x"), y.alias("y"))), lambda s, i: F.when(F.array_contains(own, i), s["x"]).otherwise(s["y"]))
+    scored = predict(steps.select(*ids, "_order", "_step", mixed.alias("_x")))
+    names = F.array(*[F.lit(f) for f in features])
+    share = lambda name, value: F.struct(name.alias("feature"), value.alias("_v"))
+    parts = F.array(
+        F.when(F.col("_step") == 0, share(F.lit("(base)"), F.col("_p"))).otherwise(share(F.get(names, F.get("_order", F.col("_step") - 1)), F.col("_p"))),
+        F.when(F.col("_step") < n, share(F.get(names, F.get("_order", F.col("_step"))), -F.col("_p"))),
+    )
+    count = size * (math.factorial(n) if orders is None else orders)
+    shares = scored.select(*ids, F.inline(F.array_compact(parts)))
+    return shares.groupBy(*ids, "feature").agg((F.sum("_v") / count).alias("attribution"))
+
+
+def shapley_importance(values: DataFrame) -> DataFrame:
+    """Mean absolute attribution of each feature over the explained rows."""
+    return values.filter("feature <> '(base)'").groupBy("feature").agg(F.avg(F.abs("attribution")).alias("importance"))
+
+
 def top_importance(importance: DataFrame, k: int = 5) -> DataFrame:
     return importance.orderBy(F.desc("importance"), "feature").limit(k)
 

@@ -50,37 +50,51 @@ def hash_buckets(hashed: DataFrame, group: Sequence[str], h: str = "_h") -> Data
     ).withColumn("_before", F.col("_upto") - F.col("_n"))
 
 
+#: A bucket of hashes is ranked by one task once it has no more rows.
+RANKED = 100_000
+
+
+def _cuts(buckets: DataFrame, group: Sequence[str], wanted: Column, h: int) -> DataFrame:
+    """The bucket of each cut: its prefix of ``h`` digits, the rank wanted inside it and its rows.
+
+    ``wanted`` is an array of structs of ``_cut`` and the rank within the group that ``buckets`` part.
+    """
+    inside = F.transform(wanted, lambda s: F.struct(s["_cut"].alias("_cut"), (s["_rank"] - F.col("_before")).alias("_rank"), F.col("_n").alias("_in")))
+    chosen = F.filter(inside, lambda s: (s["_rank"] >= 1) & (s["_rank"] <= s["_in"]))
+    return buckets.select(*group, F.col("_b").alias("_prefix"), F.inline(chosen))
+
+
 def hash_thresholds(
     hashed: DataFrame, group: Sequence[str], shares: dict[str, float], h: str = "_h"
 ) -> DataFrame:
     """Per group, the largest hash among its first ``floor(share * size)`` rows in hash order.
 
-    Only rows of the buckets that hold a cut are ranked: size / 65,536 rows per group and cut.
-    Groups and cuts without rows get an empty threshold.
+    A radix search: rows are counted by the first digits of their hash, then those of the bucket that holds a cut by the
+    next digits, until no such bucket has more than ``RANKED`` rows. So no task ranks more than these, whatever the
+    group's size; rows with equal hashes count as one. Groups and cuts without rows get an empty threshold.
     """
-    buckets = hash_buckets(hashed, group, h)
-    cuts = buckets.select(
-        *group,
-        "_b",
-        F.inline(
-            F.filter(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(name).alias("_cut"),
-                            (F.floor(F.col("_size") * share + 1e-9) - F.col("_before")).alias("_rank"),
-                            F.col("_n").alias("_in"),
-                        )
-                        for name, share in shares.items()
-                    ]
-                ),
-                lambda s: (s["_rank"] >= 1) & (s["_rank"] <= s["_in"]),
-            )
-        ),
-    )
-    near = match(hashed.select(*group, F.col(h).alias("_h"), _bucket(h).alias("_b")), settle(cuts, "cuts"), [*group, "_b"])
-    w = Window.partitionBy(*group, "_cut").orderBy("_h")
-    exact = near.withColumn("_rn", F.row_number().over(w)).filter("_rn = _rank")
+    digits = HEX_DIGITS
+    wanted = F.array(*[F.struct(F.lit(name).alias("_cut"), F.floor(F.col("_size") * share + 1e-9).alias("_rank")) for name, share in shares.items()])
+    cuts = settle(_cuts(hash_buckets(hashed, group, h), group, wanted, digits), "cuts")
+    while digits < 32 and (cuts.agg(F.max("_in")).first()[0] or 0) > RANKED:
+        large, small = cuts.filter(F.col("_in") > RANKED), cuts.filter(F.col("_in") <= RANKED)
+        of_prefix = hashed.select(*group, F.col(h).alias("_h"), F.substring(h, 1, digits).alias("_prefix"))
+        prefixes = settle(large.select(*group, "_prefix").distinct(), "prefixes")
+        rows = match(of_prefix, prefixes, [*group, "_prefix"])
+        digits += HEX_DIGITS
+        counts = rows.groupBy(*group, "_prefix", F.substring("_h", 1, digits).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        upto = Window.partitionBy(*group, "_prefix").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        parts = counts.withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
+        found = match(parts, large, [*group, "_prefix"])
+        deeper = found.filter((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_n")))
+        deeper = deeper.select(*group, F.col("_b").alias("_prefix"), "_cut", (F.col("_rank") - F.col("_before")).alias("_rank"), F.col("_n").alias("_in"))
+        cuts = settle(deeper.unionByName(small), "cuts")
+    # Prefixes of different lengths: a row is looked up under each length that occurs.
+    prefixes = F.array(*[F.substring("_h", 1, k) for k in range(HEX_DIGITS, digits + 1, HEX_DIGITS)])
+    named = hashed.select(*group, F.col(h).alias("_h")).withColumn("_prefix", F.explode(prefixes))
+    near = match(named, cuts, [*group, "_prefix"]).groupBy(*group, "_cut", "_rank", "_h").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*group, "_cut").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
+    exact = near.withColumn("_upto", F.sum("_n").over(upto)).filter((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
     found = exact.groupBy(*group).agg(
         *[F.coalesce(F.max(F.when(F.col("_cut") == n, F.col("_h"))), F.lit("")).alias(n) for n in shares]
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortry.operators import churn
 from cohortry.operators.metrics import best_run
+from cohortry.operators.ordering import first_by_hash
 from cohortry.session import scratch_path, settle
 from cohortry.sources.tables import customers_view, table
 from cohortry.workload.base import query
@@ -32,6 +33,18 @@ def category_codes(spark, d):
     return churn.encode_categories(rows)
 
 
+@query(
+    """select c_custkey as customer_id, cast(dense_rank() over (order by c_name) - 1 as int) as c_name,
+         cast(dense_rank() over (order by alias) - 1 as int) as alias, cast(dense_rank() over (order by c_mktsegment) - 1 as int) as c_mktsegment
+       from (select *, case when c_custkey % 3 = 0 then 'nan' else md5(c_name) end as alias from customer)"""
+)
+def category_codes_of_names(spark, d):
+    """Columns with a value a row, one of them null in a third of the rows."""
+    rows = table(spark, d, "customer").withColumn("alias", F.when(F.col("c_custkey") % 3 != 0, F.md5("c_name")))
+    named = rows.select(F.col("c_custkey").alias("customer_id"), "c_name", "alias", "c_mktsegment")
+    return churn.encode_categories(named, ["c_name", "alias", "c_mktsegment"])
+
+
 @query(
     """select customer_id, coalesce(tenure_days, (select median(tenure_days) from v_customers))::double as tenure_days,
          coalesce(email_open_rate, (select median(email_open_rate) from v_customers)) as email_open_rate,
@@ -178,6 +191,49 @@ def churn_model_selection(spark, d):
     return tested.withColumn("run_id", best.select("run_id").scalar()).withColumn("selected", F.lit(name))
 
 
+@query()
+def churn_training_history(spark, d):
+    """Losses and validation AUC of each epoch of a small network, and which epoch's weights were kept."""
+    rows, features = prepared(spark, d)
+    path = scratch_path(spark, "epochs")
+    _, history = churn.train_epochs(
+        fold(rows, "train"), features, path, fold(rows, "validation"), run_id="churn", epochs=8, iterations=6, patience=3, layers=(32, 16)
+    )
+    best = churn.best_of_epochs(history).select("epoch").scalar()
+    return history.withColumn("kept", F.col("epoch") == best)
+
+
+LINEAR = {"monthly_spend_inr": 0.002, "total_orders": -0.7, "support_tickets": 1.5, "tenure_days": -0.01}
+
+
+@query(
+    f"""with rows as (select customer_id, {", ".join(f"coalesce({c}::double, 0) as {c}" for c in LINEAR)} from v_customers),
+         background as (select * from rows order by md5('42:' || customer_id), customer_id limit 16),
+         means as (select {", ".join(f"avg({c}) as {c}" for c in LINEAR)} from background)
+       select customer_id, feature, round(attribution, 6) as attribution from (
+         {" union all ".join(f"select r.customer_id, '{c}' as feature, {w} * (r.{c} - m.{c}) as attribution from rows r, means m" for c, w in LINEAR.items())}
+         union all select customer_id, '(base)', {" + ".join(f"{w} * m.{c}" for c, w in LINEAR.items())} from rows, means m)""",
+    "customers",
+)
+def shapley_values_linear(spark, d):
+    """A linear score: the sampled Shapley values are the weights times the distances from the background's means."""
+    rows = customers_view(spark, d).select("customer_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in LINEAR])
+    background = first_by_hash(rows, [], ["customer_id"], 16)
+    linear = lambda df: df.withColumn("_p", sum((F.col("_x")[i] * w for i, w in enumerate(LINEAR.values())), F.lit(0.0)))
+    out = churn.shapley_values(linear, rows, list(LINEAR), background, orders=2)
+    return out.withColumn("attribution", F.round("attribution", 6) + 0.0)
+
+
+@query()
+def shapley_importance(spark, d):
+    """Mean absolute Shapley value of the logistic churn model's features over the test fold."""
+    rows, features = prepared(spark, d)
+    model = churn.train(fold(rows, "train"), features, kind="logistic")
+    background = first_by_hash(fold(rows, "train").select("customer_id", *features), [], ["customer_id"], 8)
+    values = churn.shapley_values(churn.model_predictor(model), fold(rows, "test"), features, settle(background), orders=1)
+    return churn.top_importance(churn.shapley_importance(values), 8)
+
+
 @query()
 def permutation_importance(spark, d):
     rows, features = prepared(spark, d)
