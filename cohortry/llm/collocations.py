@@ -5,7 +5,9 @@ first step. A longer phrase is counted from the step after both its subphrases (
 have reached the threshold, for one full cycle: once around the shards from where it began, or until it has reached the
 threshold too. A length of k words is therefore through after at most k cycles; most phrases begin long before that.
 
-A phrase is counted under a key of 64 bits, its hash and its length: a step shuffles keys and counts, never texts. Which
+A phrase is counted under a key of 64 bits, its hash and its length: a step shuffles keys and counts, never texts. A task
+adds up its own counts and sends them packed, one value for each range of keys: the distances of the sorted keys, byte by
+byte, of which the compression of the shuffle leaves five or six bytes a phrase. A range is added up by one task. Which
 phrases have reached the threshold is told to the tasks by a table of a byte for each cell of the key, the step from which
 the cell's phrases count. It has at most ``CELLS`` bytes. Phrases that share a cell can make another one be counted too
 soon or once more; that costs work and loses none. A last scan counts the texts of the phrases that reached the threshold,
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortry.llm.scan import _BASE, BYTE_VALUES, bound_batches, mix, slices, span_hashes, spans
+from cohortry.llm.scan import _BASE, BYTE_VALUES, bound_batches, give_back, mix, slices, span_hashes, spans
 from cohortry.session import scratch_path, settle
 
 #: More shards let longer phrases begin sooner, but the counts of open phrases are shuffled and written once for each.
@@ -31,11 +33,14 @@ CELLS = 1 << 25
 LEAST_CELLS = 1 << 16
 SLICE = 1 << 20
 
-KEYS = "key bigint, v bigint"
-STATE = "key bigint, n bigint, age int"
+PACKED = "bucket int, packed binary"
+STEP = "bucket int, packed binary, reached array<bigint>"
 PHRASES = "lang string, size int, phrase string, n bigint"
-#: Counts of a step are packed with the age of the phrase's cycle above them.
-AGE = 1 << 40
+#: Phrases of a range of keys, about; and the most ranges.
+RANGE = 1 << 20
+RANGES = 1 << 20
+#: A task hands its counts on when it holds so many phrases.
+HELD = 6_000_000
 #: The lowest bits of a key hold the length less one.
 LENGTH_BITS = 4
 UNKNOWN = "und"
@@ -103,28 +108,93 @@ def _words(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[pa
             yield names, first, _Words(data, offsets, language[first:], longest)
 
 
-def _count(step: int, shards: int, longest: int, cells):
-    """Keys of the phrases that are counted in this step, with their number in a slice."""
+def pack(keys: np.ndarray, counts: np.ndarray, ages: np.ndarray) -> bytes:
+    """Sorted keys with their counts and ages: bytes of equal weight stand together, as most of them are the same."""
+    distances = np.diff(keys, prepend=np.uint64(0))
+    planes = [x.view(np.uint8).reshape(len(keys), x.itemsize).T.tobytes() for x in (distances, counts.astype("<u8"), ages.astype(np.uint8))]
+    return b"".join(planes)
+
+
+def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    planes = np.frombuffer(data, np.uint8).reshape(17, len(data) // 17)
+    distances, counts = (np.ascontiguousarray(planes[a : a + 8].T).view("<u8").ravel() for a in (0, 8))
+    return np.cumsum(distances, dtype=np.uint64), counts.astype(np.int64), planes[16].astype(np.int64)
+
+
+def _added(keys: list[np.ndarray], counts: list[np.ndarray], ages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One entry a key: counts added, the greatest age."""
+    key, count, age = np.concatenate(keys), np.concatenate(counts), np.concatenate(ages)
+    order = np.argsort(key, kind="stable")
+    key, count, age = key[order], count[order], age[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return (key[first], np.add.reduceat(count, first), np.maximum.reduceat(age, first)) if len(first) else (key, count, age)
+
+
+def _counted_keys(words: _Words, step: int, shards: int, table: np.ndarray | None) -> Iterator[np.ndarray]:
+    """Keys of the phrases that are counted in this step, wherever they stand in a slice."""
+    for size in range(1, words.longest + 1):
+        # The phrases of k words are through after k cycles.
+        if step >= size * shards:
+            continue
+        keys = words.keys[size - 1]
+        if size > 1:
+            if table is None:
+                return
+            cell = table[_cell(words.keys[size - 2], len(table))]
+            left, right = cell[:-1], cell[1:]
+            keys = keys[(left > 0) & (right > 0) & (np.maximum(left, right).astype(np.int64) + shards > step) & words.joined(size)]
+        yield keys
+
+
+def _count(step: int, shards: int, longest: int, bits: int, cells):
+    """The counts of a task, packed by the highest ``bits`` of the key."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         table = cells.value if cells is not None else None
+        keys: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+
+        def held() -> pa.RecordBatch:
+            key, count, age = _added(keys, counts, [np.zeros(len(k), np.int64) for k in keys])
+            bucket = (key >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
+            first = np.flatnonzero(np.diff(bucket, prepend=-1))
+            edges = np.append(first, len(key))
+            packed = [pack(key[a:b], count[a:b], age[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            keys.clear()
+            counts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int32()), pa.array(packed, pa.binary())], ["bucket", "packed"])
+
+        more = 0
         for _, _, words in _words(batches, longest):
-            found = []
-            for size in range(1, words.longest + 1):
-                # The phrases of k words are through after k cycles.
-                if step >= size * shards:
-                    continue
-                keys = words.keys[size - 1]
-                if size > 1:
-                    if table is None:
-                        break
-                    cell = table[_cell(words.keys[size - 2], len(table))]
-                    left, right = cell[:-1], cell[1:]
-                    keys = keys[(left > 0) & (right > 0) & (np.maximum(left, right).astype(np.int64) + shards > step) & words.joined(size)]
-                found.append(keys)
-            if found:
-                key, count = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count)], ["key", "v"])
+            found = list(_counted_keys(words, step, shards, table))
+            if not found:
+                continue
+            key, count = np.unique(np.concatenate(found), return_counts=True)
+            keys.append(key)
+            counts.append(count)
+            more += len(key)
+            if more > HELD // 2:
+                # Slices repeat each other's phrases: add up before anything is sent.
+                key, count, _ = _added(keys, counts, [np.zeros(len(k), np.int64) for k in keys])
+                keys[:], counts[:], more = [key], [count], 0
+                if len(key) > HELD // 2:
+                    yield held()
+        if keys:
+            yield held()
+        give_back()
+
+    return run
+
+
+def _add(least: int, shards: int):
+    """A range of keys: those that reached the threshold, and those whose cycle goes on."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        keys, counts, ages = _added(*zip(*(unpack(x.as_py()) for x in table.column("packed")), strict=True))
+        reached, on = counts >= least, (counts < least) & (ages + 1 < shards)
+        row = {"bucket": key[0].as_py(), "packed": pack(keys[on], counts[on], ages[on] + 1), "reached": keys[reached].view(np.int64)}
+        schema = pa.schema([("bucket", pa.int32()), ("packed", pa.binary()), ("reached", pa.list_(pa.int64()))])
+        return pa.Table.from_pylist([row], schema)
 
     return run
 
@@ -175,22 +245,21 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, shards:
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "phrases")
     rows = bound_batches(docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text")))
     shard = F.pmod(F.xxhash64("text", "lang"), F.lit(shards))
-    table, cells, last, step = None, None, shards - 1, 0
+    # About six bytes a word.
+    words = int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // 6
+    table = np.zeros(min(max(1 << (words // 4).bit_length(), LEAST_CELLS), CELLS), np.uint8)
+    bits = min(max(2 * words // RANGE, 7).bit_length(), RANGES.bit_length() - 1)
+    cells, last, step = None, shards - 1, 0
     while step <= min(last, longest * shards - 1):
-        counted = rows.where(shard == step % shards).mapInArrow(_count(step, shards, longest, cells), KEYS)
+        counted = rows.where(shard == step % shards).mapInArrow(_count(step, shards, longest, bits, cells), PACKED)
         if step:
             # Phrases whose cycle is still open and that have not reached the threshold yet.
-            state = spark.read.schema(STATE).parquet(f"{path}/step-{step - 1}").where(F.col("n") < least)
-            counted = counted.unionByName(state.select("key", (F.col("n") + F.col("age") * F.lit(AGE)).alias("v")))
-        summed = counted.groupBy("key").agg(F.sum("v").alias("v")).select("key", F.expr(f"v % {AGE}L").alias("n"), F.expr(f"cast(v div {AGE}L + 1 as int)").alias("age"))
-        summed.where((F.col("n") >= least) | (F.col("age") < shards)).write.parquet(f"{path}/step-{step}")
-        now = spark.read.schema(STATE).parquet(f"{path}/step-{step}")
-        if table is None:
-            words = int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // 6
-            table = np.zeros(min(max(1 << (words // 4).bit_length(), LEAST_CELLS), CELLS), np.uint8)
+            counted = counted.unionByName(spark.read.schema(STEP).parquet(f"{path}/step-{step - 1}").select("bucket", "packed"))
+        counted.groupBy("bucket").applyInArrow(_add(least, shards), STEP).write.parquet(f"{path}/step-{step}")
+        now = spark.read.schema(STEP).parquet(f"{path}/step-{step}").select(F.explode("reached").alias("key"))
         some = False
         shorter = F.expr(f"key & {(1 << LENGTH_BITS) - 1}L") < longest - 1
-        for inside in _cells_of(now.where((F.col("n") >= least) & shorter), len(table)):
+        for inside in _cells_of(now.where(shorter), len(table)):
             table[inside], some = step + 1, True
         if some:
             last = max(last, step + shards)
@@ -199,7 +268,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, shards:
             cells = spark.sparkContext.broadcast(table)
         step += 1
     table = np.zeros(len(table), np.uint8)
-    reached = spark.read.schema(STATE).parquet(*[f"{path}/step-{i}" for i in range(step)]).where(F.col("n") >= least)
+    reached = spark.read.schema(STEP).parquet(*[f"{path}/step-{i}" for i in range(step)]).select(F.explode("reached").alias("key"))
     for inside in _cells_of(reached, len(table)):
         table[inside] = 1
     texts = rows.mapInArrow(_texts(longest, spark.sparkContext.broadcast(table)), PHRASES)

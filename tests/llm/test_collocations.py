@@ -106,6 +106,25 @@ def test_awkward_rows(spark, awkward, empty):
     assert collocations.collocations(collocations.frequent_phrases(empty)).count() == 0
 
 
+def test_packed_counts():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 64, 500, dtype=np.uint64))
+    counts, ages = rng.integers(1, 1 << 40, len(keys)), rng.integers(0, 5, len(keys))
+    for n in (0, 1, len(keys)):
+        got = collocations.unpack(collocations.pack(keys[:n], counts[:n], ages[:n]))
+        assert all(np.array_equal(a, b[:n]) for a, b in zip(got, (keys, counts, ages), strict=True))
+    added = collocations._added([keys, keys[::3]], [counts, counts[::3]], [ages, ages[::3] + 1])
+    assert np.array_equal(added[0], keys) and added[1].sum() == counts.sum() + counts[::3].sum() and added[2][0] == ages[0] + 1
+
+
+def test_small_ranges_and_full_tasks(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "RANGE", 50)
+    monkeypatch.setattr(collocations, "HELD", 40)
+    rows = texts(4, 120)
+    got = {(r.lang, r["size"], r.phrase): r.n for r in collocations.frequent_phrases(frame(spark, rows), least=5).collect()}
+    assert got == {k: n for k, n in slow_counts(rows).items() if n >= 5 or not k[1]}
+
+
 def test_phrase_text_and_hash():
     data = np.frombuffer(b"ab  c\td ab  c", np.uint8)
     starts, ends = np.array([0, 4, 6, 8, 12]), np.array([2, 5, 7, 10, 13])
