@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import functions as F
 
-from cohortry.operators import keywords, lexicons, sentiment
+from cohortry.operators import keywords, lexicons, sentiment, textmodel
 from cohortry.operators.metrics import sentiment_stats
-from cohortry.session import settle
+from cohortry.session import scratch_path, settle
 from cohortry.sources.tables import reviews_view, table
 from cohortry.workload.base import query, text_list
 from cohortry.workload.cleaning import NUM, WS
@@ -225,3 +228,95 @@ def user_model_scores(spark, d):
 
     turns = table(spark, d, "conversations").select("conv_id", "turn", "text")
     return sentiment.score_with_model(turns, "text", load).drop("text")
+
+
+def shipped_length_model(path):
+    """The shipped model of ``shipped_model_sentiment``: long texts are positive; it fails at every text of 3k characters."""
+    with open(path, encoding="utf-8") as source:
+        weights = json.loads(source.readline())
+
+    def one(text):
+        if len(text) % 3 == 0:
+            raise ValueError("a text that this model cannot read")
+        p = 1 / (1 + math.exp(-(weights["bias"] + weights["per_character"] * min(len(text), 400))))
+        return ("positive", p) if p >= 0.5 else ("negative", 1 - p)
+
+    return lambda texts: [one(t) for t in texts]
+
+
+@query(
+    f"""with {sentiment_ctes('conv_id, turn, role', 'text', 'conversations')},
+         asked as (select s.*, length(c.text) as n, c.text from scored s join (select distinct conv_id, turn, role, text from conversations) c using (conv_id, turn, role)),
+         model as (select *, t <> '' and n % 3 <> 0 as from_model, 1 / (1 + exp(-(-3.0::double + 0.05::double * least(n, 400)))) as p from asked)
+       select conv_id, turn, role,
+         case when from_model then case when greatest(p, 1 - p) <= 0.75 then 'neutral' when p >= 0.5 then 'positive' else 'negative' end else predicted_sentiment end as predicted_sentiment,
+         case when from_model then round(greatest(p, 1 - p), 4) else sentiment_confidence end as sentiment_confidence, coalesce(from_model, false) as from_model from model"""
+)
+def shipped_model_sentiment(spark, d):
+    """A stored model sent to the executors; where it raises, the lexicon's result stays."""
+    weights = spark.createDataFrame([(-3.0, 0.05)], "bias double, per_character double")
+    name = textmodel.ship_model(spark, textmodel.one_json_file(weights, scratch_path(spark, "length-model")))
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    return textmodel.apply_shipped_model(turns, "text", name, shipped_length_model).drop("text")
+
+
+# ---------------------------------------------------------------- evaluation and keywords of whole documents
+
+DOCUMENT_LABELS = """v_labelled as (select d.doc_id, d.text, d.lang, d.source, l.quality, l.toxic, case when l.toxic = 1 then 'negative' when l.quality = 1 then 'positive' else 'neutral' end as sentiment_label
+    from documents d join labels l using (doc_id))"""
+
+
+def labelled_documents(spark, d):
+    """Documents with a reviewer's view of them: toxic is negative, good is positive, the rest neutral."""
+    label = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
+    return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").withColumn("sentiment_label", label)
+
+
+def document_confusion(spark, d, keys=()):
+    scored = sentiment.add_sentiment(labelled_documents(spark, d).select("doc_id", "lang", "text", "sentiment_label"), "text")
+    return settle(sentiment.confusion_counts(scored, "sentiment_label", "predicted_sentiment", keys), "confusion")
+
+
+DOCUMENT_CONFUSION = DOCUMENT_LABELS + ", " + CONFUSION.replace(sentiment_ctes("review_id, category, sentiment_label", "review_text", "v_reviews"), sentiment_ctes("doc_id, lang, sentiment_label", "text", "v_labelled"))
+
+
+@query(
+    "with " + DOCUMENT_CONFUSION.replace("{keys}", "lang,")
+    + """ select lang, round(sum(recall * support) / sum(support), 4) as accuracy, round(avg(f1), 4) as macro_f1,
+         round(sum(f1 * support) / sum(support), 4) as weighted_f1, sum(support)::bigint as n from report group by lang"""
+)
+def document_sentiment_scores(spark, d):
+    """Lexicon sentiment of whole documents against their labels, by language."""
+    out = sentiment.classification_summary(document_confusion(spark, d, ["lang"]), ["lang"])
+    return out.withColumns({c: F.round(c, 4) for c in ("accuracy", "macro_f1", "weighted_f1")})
+
+
+@query(
+    "with " + DOCUMENT_CONFUSION.replace("{keys}", "")
+    + """ select label, round("precision", 6) as "precision", round(recall, 6) as recall, round(f1, 6) as f1, support from report"""
+)
+def document_class_report(spark, d):
+    out = sentiment.classification_report(document_confusion(spark, d))
+    return out.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
+
+
+@query(
+    f"""with {gram_ctes("lang", "conv_id * 1000000 + turn", "text", "(select *, 'all' as lang from conversations)")}
+       select id as turn_id, array_to_string(list_sort(list(term)), '|') as terms, cast(count(*) as int) as n_terms from grams group by id"""
+)
+def conversation_terms(spark, d):
+    """Terms and bigrams of every turn's whole text."""
+    turns = table(spark, d, "conversations").select((F.col("conv_id") * 1000000 + F.col("turn")).alias("turn_id"), "text")
+    out = keywords.tokenize(turns, "text")
+    return out.filter(F.size("terms") > 0).select("turn_id", F.array_join(F.sort_array("terms"), "|").alias("terms"), F.size("terms").alias("n_terms"))
+
+
+@query(
+    f"""with {sentiment_ctes('doc_id', 'text', 'documents')}, keep as (select v.doc_id, text, predicted_sentiment from documents v join scored using (doc_id)
+         where predicted_sentiment in ('positive', 'negative', 'neutral')), """
+    + gram_ctes("predicted_sentiment", "doc_id", "text", "keep").replace("src as", "ksrc as").replace("from src", "from ksrc")
+    + KEYWORD_TAIL.replace("{name}", "predicted_sentiment").replace("from src", "from ksrc")
+)
+def document_keywords_by_sentiment(spark, d):
+    scored = sentiment.add_sentiment(table(spark, d, "documents").select("doc_id", "text"), "text").select("text", "predicted_sentiment")
+    return keywords.keywords_by_sentiment(settle(scored, "documents"), text_col="text")
