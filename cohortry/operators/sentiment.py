@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cohortry.functions.scalars import parse_number, strip_ws
 from cohortry.functions.tokens import split_words
 from cohortry.operators import lexicons
+from cohortry.session import settle
 
 CLASSES = ("positive", "neutral", "negative")
 
@@ -94,6 +95,19 @@ def add_sentiment(
     return inside.select(*keep, F.inline_outer(F.array(result)).alias(label_col, score_col))
 
 
+def lexicon_hits(df: DataFrame, text_col: str, lexicon: DataFrame, keys: Sequence[str] = (), term: str = "term") -> DataFrame:
+    """Entries of a lexicon table that occur in texts: ``keys``, the lexicon's columns and ``n_texts``, the texts that hold them.
+
+    A text's distinct lower-case words are joined to the table by word; several entries of one word count each. The table is
+    written and read back first, so that Catalyst broadcasts it if its measured size allows and shuffles otherwise; words are
+    combined before that. Null and blank texts have no words, a null entry is in no text.
+    """
+    entries = settle(lexicon.filter(F.col(term).isNotNull()).withColumn(term, F.lower(term)).distinct(), "lexicon")
+    words = F.array_distinct(split_words(F.lower(F.coalesce(F.col(text_col), F.lit("")))))
+    counted = df.select(*keys, F.explode(words).alias(term)).groupBy(*keys, term).agg(F.count(F.lit(1)).alias("n_texts"))
+    return counted.join(entries, term).select(*keys, *lexicon.columns, "n_texts")
+
+
 def confident_label(df: DataFrame, label: str, score: str, threshold: float = 0.75) -> Column:
     """A model's label where its score clears the threshold, else neutral."""
     return F.when(F.col(score) > threshold, F.lower(F.col(label))).otherwise("neutral")

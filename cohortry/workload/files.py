@@ -5,8 +5,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from cohortry import streaming
+from cohortry import schemas, streaming
+from cohortry.operators import cleaning
 from cohortry.plans import run_insights, run_medallion
 from cohortry.session import scratch_path
 from cohortry.sources import files
@@ -131,6 +133,33 @@ def insights_run(spark, d):
     return tables.summary
 
 
+def in_columns(df, ddl):
+    """``df`` with exactly the columns of a schema, null where it has none: files without names are read by position."""
+    return df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(ddl)])
+
+
+@query(
+    """select customer_id, churned, monthly_spend_inr, timestamp '2024-06-01 00:00:00' as stamp, count(*) over () as loaded from s_customers""",
+    "customers clean_customers",
+)
+def feature_store_csv(spark, d):
+    """Silver customers stamped with a given time, written as a CSV feature store and loaded back by its schema."""
+    path = scratch_path(spark, "feature-store")
+    stamped = cleaning.clean_customers(customers_view(spark, d), as_of="2024-06-01 00:00:00")
+    files.write_csv(in_columns(stamped, schemas.FEATURE_STORE), path)
+    loaded = files.load_feature_store(spark, path)
+    named = loaded.select(F.col("customer_id").cast("bigint").alias("customer_id"), F.col("churned").cast("int").alias("churned"), F.col("monthly_spend_inr").cast("double").alias("monthly_spend_inr"))
+    return named.withColumns({"stamp": stamped.select(F.max("_processed_at")).scalar().cast("timestamp_ntz"), "loaded": named.agg(F.count(F.lit(1))).scalar()})
+
+
+@query("select review_id, category, rating, review_text, sentiment_label from v_reviews", "reviews")
+def reviews_csv(spark, d):
+    """The reviews written as CSV and loaded back by their schema."""
+    path = scratch_path(spark, "reviews-csv")
+    files.write_csv(in_columns(reviews_view(spark, d), schemas.REVIEWS), path)
+    return files.load_reviews(spark, path).select(F.col("review_id").cast("bigint").alias("review_id"), "category", "rating", "review_text", "sentiment_label")
+
+
 # ---------------------------------------------------------------- streams
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortry.operators import keywords, lexicons, sentiment, textmodel
 from cohortry.operators.metrics import sentiment_stats
 from cohortry.session import scratch_path, settle
+from cohortry.sources import files
 from cohortry.sources.tables import reviews_view, table
 from cohortry.workload.base import query, text_list
 from cohortry.workload.cleaning import NUM, WS
@@ -320,3 +321,18 @@ def conversation_terms(spark, d):
 def document_keywords_by_sentiment(spark, d):
     scored = sentiment.add_sentiment(table(spark, d, "documents").select("doc_id", "text"), "text").select("text", "predicted_sentiment")
     return keywords.keywords_by_sentiment(settle(scored, "documents"), text_col="text")
+
+
+@query(
+    f"""with w as (select lang, doc_id, unnest(list_distinct(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{WS}+'), lambda x: x <> ''))) as term from documents)
+       select lang, term, kind, count(*) as n_texts from w
+         join (select unnest([{text_list(lexicons.POSITIVE)}]) as term, 'positive' as kind union all select unnest([{text_list(lexicons.NEGATIVE)}]), 'negative') using (term)
+       group by lang, term, kind"""
+)
+def lexicon_hits_by_language(spark, d):
+    """A lexicon written as a CSV source and read back as a table, looked up in whole documents."""
+    path = scratch_path(spark, "lexicon")
+    rows = [(w, kind) for kind, words in (("positive", lexicons.POSITIVE), ("negative", lexicons.NEGATIVE)) for w in words]
+    files.write_csv(spark.createDataFrame(rows, "term string, kind string"), path)
+    lexicon = files.read_csv(spark, path, "term string, kind string")
+    return sentiment.lexicon_hits(table(spark, d, "documents"), "text", lexicon, ["lang"])
