@@ -27,6 +27,8 @@ WORDS = CLASSES * CLASSES
 BUCKETS = 2 * CLASSES
 #: Neighbours on each side, width of the hidden layer, places in a batch.
 REACH, WIDTH, BATCH = 3, 32, 4096
+#: Places of a gradient step, and the squares that past gradients begin with: small ones let the first steps be as long as the rate.
+STEP, SQUARES = 2048, 1e-8
 #: Weights in one row of the table in which they are averaged.
 CHUNK = 8192
 SLICE = 1 << 19
@@ -43,6 +45,7 @@ class Vocabulary:
     hashes: np.ndarray
     numbers: np.ndarray
     classes: int = CLASSES
+    counts: np.ndarray | None = None
 
     @property
     def first_bucket(self) -> int:
@@ -83,7 +86,8 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     rank = np.arange(len(top))
     numbers = rank % (classes - 2) * classes + rank // (classes - 2)
     order = np.argsort(hashes)
-    return Vocabulary(hashes[order], numbers[order], classes)
+    counts = np.array([r["count"] for r in top], np.int64)
+    return Vocabulary(hashes[order], numbers[order], classes, counts[order])
 
 
 def bucket_totals(counted: DataFrame, known: Vocabulary) -> np.ndarray:
@@ -182,6 +186,19 @@ def initial(seed: int = 5, classes: int = CLASSES) -> dict[str, np.ndarray]:
     return {name: (rng.standard_normal(shape) * 0.1).astype(np.float32) if len(shape) > 1 else np.zeros(shape, np.float32) for name, shape in shapes(classes).items()}
 
 
+def unigram_start(weights: dict[str, np.ndarray], known: Vocabulary, totals: np.ndarray) -> dict[str, np.ndarray]:
+    """Weights whose outputs are the shares of all numbers in the corpus whatever surrounds them, so that training only has
+    to learn what the neighbours add."""
+    shares = np.full(known.classes**2, 0.5)
+    shares[known.numbers] += known.counts
+    shares[known.first_bucket :] += totals
+    shares = (shares / shares.sum()).reshape(known.classes, known.classes)
+    whole = shares.sum(axis=1)
+    biases = {"class_bias": np.log(whole), "member_bias": np.log(shares / whole[:, None])}
+    small = {name: weights[name] * np.float32(0.1) for name in ("classes", "members")}
+    return {**weights, **small, **{name: x.astype(np.float32) for name, x in biases.items()}}
+
+
 def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([x.ravel() for x in weights.values()])
 
@@ -257,13 +274,17 @@ class Trainer:
 
     def __init__(self, weights: dict[str, np.ndarray], rate: float) -> None:
         self.weights = {k: v.copy() for k, v in weights.items()}
-        self.squares = {k: np.full(v.shape, 1e-3, np.float32) for k, v in weights.items()}
+        self.squares = {k: np.full(v.shape, SQUARES, np.float32) for k, v in weights.items()}
         self.rate = rate
         self.seen = 0
 
     def _move(self, name: str, gradient: np.ndarray, index=...) -> None:
-        self.squares[name][index] += gradient**2
-        self.weights[name][index] -= self.rate * gradient / np.sqrt(self.squares[name][index])
+        squares = self.squares[name][index] + gradient * gradient
+        self.squares[name][index] = squares
+        np.sqrt(squares, out=squares)
+        np.divide(gradient, squares, out=gradient)
+        gradient *= np.float32(self.rate)
+        self.weights[name][index] -= gradient
 
     def step(self, around: np.ndarray, target: np.ndarray) -> None:
         w, n = self.weights, len(target)
@@ -296,10 +317,14 @@ class Trainer:
         self._move("members", members)
         self._move("member_bias", biases)
         self._move("hidden", back.sum(axis=0))
+        # Short numbers are sorted by their bytes, which is faster.
+        short = np.uint16 if classes * classes < 1 << 16 else np.int32
         for i in range(2 * REACH):
-            order = np.argsort(around[:, i], kind="stable")
-            found, first = np.unique(around[order, i], return_index=True)
-            self._move("embedding", np.add.reduceat(back[order], first, axis=0), (i, found))
+            column = around[:, i].astype(short)
+            order = np.argsort(column, kind="stable")
+            column = column[order]
+            first = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
+            self._move("embedding", np.add.reduceat(back[order], first, axis=0), (i, column[first]))
         self.seen += n
 
 
@@ -313,8 +338,8 @@ def _trained(words_: Vocabulary, weights: np.ndarray, masked: float, rate: float
 
         def spend() -> None:
             around, target = (np.concatenate(x) for x in zip(*held, strict=True))
-            for a in range(0, len(target), BATCH):
-                trainer.step(around[a : a + BATCH], target[a : a + BATCH])
+            for a in range(0, len(target), STEP):
+                trainer.step(around[a : a + STEP], target[a : a + STEP])
 
         for batch in batches:
             for _, data, offsets in slices(batch, "text", SLICE):
@@ -370,16 +395,17 @@ class LanguageModel:
     totals: np.ndarray
 
 
-def fit(docs: DataFrame, rounds: int = 2, masked: float = 0.15, rate: float = 0.05, text: str = "text") -> LanguageModel:
+def fit(docs: DataFrame, rounds: int = 2, masked: float = 0.15, rate: float = 0.2, text: str = "text") -> LanguageModel:
     """A model of all of ``docs``: counts of all words, then ``rounds`` passes that mask a share of every text's places.
 
-    The tasks' weights are averaged by the number of places each saw, in two shuffled steps of running sums; the driver
+    Training starts from the shares of words in the corpus. The tasks' weights are averaged by the number of places each saw, in two shuffled steps of running sums; the driver
     gets one set of weights. A table without words gives the initial weights.
     """
     rows = bound_batches(docs).select(F.col(text).alias("text"))
     counted = settle(counted_words(rows), "word-counts")
     known = vocabulary(counted)
-    weights = flat(initial(classes=known.classes))
+    totals = bucket_totals(counted, known)
+    weights = flat(unigram_start(initial(classes=known.classes), known, totals))
     sums = "chunk bigint, seen bigint, weights binary"
     for i in range(rounds):
         trained = rows.mapInArrow(_trained(known, weights, masked, rate / (i + 1), i), "chunk bigint, part bigint, seen bigint, weights binary")
@@ -387,7 +413,7 @@ def fit(docs: DataFrame, rounds: int = 2, masked: float = 0.15, rate: float = 0.
         whole = partly.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_added, sums).collect()
         if whole:
             weights = np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(whole, key=lambda r: r["chunk"])])
-    return LanguageModel(known, weights, counted, bucket_totals(counted, known))
+    return LanguageModel(known, weights, counted, totals)
 
 
 def score(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -209,3 +209,58 @@ def test_vocabulary_grows_with_the_corpus(spark):
     small, large = known(1), known(5000)
     assert small.classes == pseudo_likelihood.CLASSES and len(small.hashes) == pseudo_likelihood.WORDS - pseudo_likelihood.BUCKETS
     assert len(large.hashes) >= 5000 and len(np.unique(large.numbers)) == len(large.hashes) and large.numbers.max() < large.first_bucket
+
+
+def slow_log_likelihood(model, counts, text):
+    """Word by word: both softmaxes over plain lists, and a rare word's share of its bucket."""
+    known, w = model.vocabulary, pseudo_likelihood.shaped(model.weights, model.vocabulary.classes)
+    data = np.frombuffer(text.encode(), np.uint8)
+    hashes = pseudo_likelihood.words(data, np.array([0, len(data)]))[0]
+    numbers = [int(known.encode(hashes[i : i + 1])[0]) for i in range(len(hashes))]
+    softmax = lambda z: np.exp(z) / np.exp(z).sum()
+    total = 0.0
+    for i, n in enumerate(numbers):
+        hidden = w["hidden"].astype(float)
+        for k, step in enumerate((-3, -2, -1, 1, 2, 3)):
+            inside = 0 <= i + step < len(numbers)
+            hidden = hidden + w["embedding"][k, numbers[i + step] if inside else known.classes**2]
+        hidden = np.tanh(hidden)
+        c, m = divmod(n, known.classes)
+        p = softmax(w["classes"].astype(float) @ hidden + w["class_bias"])[c] * softmax(w["members"][c].astype(float) @ hidden + w["member_bias"][c])[m]
+        if n >= known.first_bucket:
+            p *= counts.get(int(hashes[i].astype(np.int64)), 1) / (model.totals[n - known.first_bucket] + 1)
+        total += np.log(p)
+    return total
+
+
+@pytest.fixture(scope="module")
+def read_corpus(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = pseudo_likelihood.fit(docs.where("doc_id % 10 <> 0"))
+    return docs, model, {r["word"]: r["count"] for r in model.counts.collect()}
+
+
+def test_log_likelihood_word_by_word(spark, read_corpus):
+    docs, model, counts = read_corpus
+    some = docs.where("doc_id % 10 = 0 and length(text) between 1 and 900").limit(12).collect()
+    asked = spark.createDataFrame([tuple(r) for r in some] + [(-1, "one"), (-2, "unseenword anotherunseen one the")], "doc_id bigint, text string")
+    got = {r.doc_id: r.log_likelihood for r in pseudo_likelihood.score(asked, model).collect()}
+    for r in asked.collect():
+        assert got[r.doc_id] == pytest.approx(slow_log_likelihood(model, counts, r.text), rel=1e-4, abs=1e-3)
+
+
+def test_held_out_words_and_order(spark, read_corpus):
+    """Neighbours tell something: better than the words' shares alone, and the given order better than a shuffled one."""
+    docs, model, counts = read_corpus
+    held = [r for r in docs.where("doc_id % 10 = 0 and text is not null").collect() if len(r.text.split()) > 20]
+    rng = np.random.default_rng(2)
+    mixed = [(-1 - r.doc_id, " ".join(rng.permutation(r.text.split()))) for r in held]
+    got = {r.doc_id: r for r in pseudo_likelihood.score(spark.createDataFrame([tuple(r) for r in held] + mixed, "doc_id bigint, text string"), model).collect()}
+    total, plain, n = sum(counts.values()), 0.0, 0
+    for r in held:
+        data = np.frombuffer(r.text.encode(), np.uint8)
+        hashes = pseudo_likelihood.words(data, np.array([0, len(data)]))[0].astype(np.int64)
+        plain += sum(np.log(counts.get(int(h), 1) / total) for h in hashes)
+        n += len(hashes)
+    assert sum(got[r.doc_id].log_likelihood for r in held) / n > plain / n + 0.1
+    assert np.mean([got[r.doc_id].log_likelihood > got[-1 - r.doc_id].log_likelihood for r in held]) > 0.65
