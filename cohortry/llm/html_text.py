@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -34,10 +35,11 @@ MAIN, REMOVED, OPEN = 0, 1, 2
 MARKED, HELD, FORM = 3, 4, 5
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|textarea)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<title(?=[\s/>])[^>]*>.*?</title\s*>"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|textarea)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|<[a-zA-Z!?/][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
+_TITLE_END = re.compile(r"</title\s*>", re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 #: Elements without text of the page, from the start tag to its own end tag; a start tag without one is nothing.
 _DROPPED = frozenset("noscript template svg iframe object canvas select".split())
@@ -124,7 +126,9 @@ def blocks(page: str) -> list[tuple[int, str]]:
     stack: list[tuple[str, int]] = []
     kind, held, at = OPEN, [], 0
     forms, wrappers = FORM, set()
-    dropped, in_head = _dropped(page), False
+    dropped, in_head, titles = _dropped(page), False, True
+    #: How many elements of each name are open, so that a stray end tag costs no look through all of them.
+    opened_names: Counter[str] = Counter()
 
     def close() -> None:
         text = " ".join("".join(held).split())
@@ -149,7 +153,13 @@ def blocks(page: str) -> list[tuple[int, str]]:
             in_head = not tag[2]
             continue
         in_head = in_head and name in _HEAD
-        if name in _DROPPED or name == "title" and in_head:
+        if name == "title":
+            # A title runs to its own end tag; once the page has none left there is nothing more to look for.
+            end = _TITLE_END.search(page, at) if titles and not tag[2] else None
+            titles = titles and (end is not None or bool(tag[2]))
+            at = end.end() if end else at
+            continue
+        if name in _DROPPED:
             continue
         if name in ("br", "wbr"):
             if name == "br":
@@ -168,11 +178,13 @@ def blocks(page: str) -> list[tuple[int, str]]:
             if new != kind and held:
                 close()
             stack.append((name, kind))
+            opened_names[name] += 1
             kind = new
-        elif any(x[0] == name for x in stack):
+        elif opened_names[name]:
             before = kind
             while True:
                 opened, outer = stack.pop()
+                opened_names[opened] -= 1
                 if opened == name:
                     break
             if outer != before and held:

@@ -42,8 +42,11 @@ class Codes:
     rotation: np.ndarray
     length: float
     radius: int
+    #: Coding multiplies vectors by this power of two, so that no square of a component leaves the range of a double.
+    scale: float = 1.0
 
     def extended(self, vectors: np.ndarray, query: bool) -> np.ndarray:
+        vectors = vectors * self.scale
         rest = np.zeros(len(vectors)) if query else np.sqrt(np.maximum(self.length**2 - (vectors**2).sum(axis=1), 0))
         if query:
             vectors = vectors * (self.length / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300))
@@ -64,10 +67,10 @@ def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return total
 
 
-def learn(sample: np.ndarray, length: float, k: int, recall: float, rounds: int = 20) -> Codes:
+def learn(sample: np.ndarray, length: float, k: int, recall: float, rounds: int = 20, scale: float = 1.0) -> Codes:
     """Rotations by iterative quantisation from several starts, and the radius that holds ``recall`` of the true ``k``
     nearest within the sample. In more rows than the sample's the k nearest are nearer, so the radius errs on the safe side."""
-    codes = Codes(np.zeros(sample.shape[1] + 1), np.zeros((sample.shape[1] + 1, BITS)), length, 0)
+    codes = Codes(np.zeros(sample.shape[1] + 1), np.zeros((sample.shape[1] + 1, BITS)), length, 0, scale)
     extended = codes.extended(sample, False)
     centre = extended.mean(axis=0)
     centred = extended - centre
@@ -79,9 +82,9 @@ def learn(sample: np.ndarray, length: float, k: int, recall: float, rounds: int
             left, _, right = np.linalg.svd(np.sign(centred @ rotation).T @ centred, full_matrices=False)
             rotation = (left @ right).T
         parts.append(rotation)
-    codes = Codes(centre, np.hstack(parts)[:, :BITS], length, 0)
+    codes = Codes(centre, np.hstack(parts)[:, :BITS], length, 0, scale)
     asked = sample[:: max(1, len(sample) // 256)][:256]
-    near = asked @ sample.T
+    near = (asked * scale) @ (sample * scale).T
     count = min(k + 1, len(sample))
     best = np.argpartition(-near, count - 1, axis=1)[:, :count]
     apart = np.take_along_axis(distances(codes.encode(asked, True), codes.encode(sample)), best, 1)
@@ -174,13 +177,17 @@ def nearest(
         return rows.where(F.col("id").isNotNull() & usable("vector"))
 
     base, asked = cleaned(vectors), cleaned(queries)
-    facts = base.groupBy(F.size("vector").alias("dims")).agg(F.count("*").alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("square")).orderBy(F.desc("n"), "dims").first()
+    facts = base.groupBy(F.size("vector").alias("dims")).agg(F.count("*").alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x)))).alias("largest")).orderBy(F.desc("n"), "dims").first()
     if facts is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     base, asked = (df.where(F.size("vector") == facts["dims"]) for df in (base, asked))
     asked = settle(asked.groupBy("id").agg(F.min("vector").alias("vector")), "queries")
     taken = base.orderBy(F.xxhash64("id", F.lit("sample")), "id").limit(sample).toPandas()
-    codes = learn(np.stack(taken["vector"].to_numpy()).astype(np.float64), float(np.sqrt(facts["square"])), k, recall)
+    scale = 2.0 ** -np.clip(np.frexp(facts["largest"])[1], -1000, 1000)
+    # No vector is longer than this; the common length only has to be as large.
+    scaled = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x * float(scale)) * (x * float(scale)))
+    length = float(np.sqrt(base.agg(F.max(scaled)).first()[0]))
+    codes = learn(np.stack(taken["vector"].to_numpy()).astype(np.float64), length, k, recall, scale=float(scale))
     shards, blocks = max(1, -(-facts["n"] // shard)), max(1, -(-asked.count() // QUERY_BLOCK))
     # Rows are dealt by a hash of their id and vector, so rows of one id spread too.
     left = base.withColumn("shard", F.pmod(F.xxhash64("id", "vector"), F.lit(shards))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))

@@ -70,19 +70,25 @@ class QualityModel:
 
 
 def _references(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """At most ``most`` labelled documents, chosen by a hash of their id; repeated labels of an id are averaged."""
+    """At most ``most`` labelled documents, chosen by a hash of their id; repeated labels of an id are averaged.
+
+    Of an id on several rows one text is taken, that of the smallest hash; ids with the same text are one reference with
+    the mean of their labels. So at most ``most`` rows remain however often ids repeat, and every run takes the same.
+    """
     known = labels.select(F.col("doc_id"), F.col(label).cast("double").alias("_label")).where("doc_id is not null and _label is not null")
     known = known.groupBy("doc_id").agg(F.avg("_label").alias("_label"))
     known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     chosen = known.orderBy(F.xxhash64("doc_id", F.lit("references")), "doc_id").limit(most)
     # The side that is broadcast has at most ``most`` rows of two numbers.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("_label", "text").dropDuplicates(["text"])
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    single = rows.groupBy("doc_id").agg(F.min("_label").alias("_label"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    return single.groupBy("text").agg(F.avg("_label").alias("_label")).select("_label", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, most: int = 4096, dimensions: int = 64) -> QualityModel:
     """A model from at most ``most`` rows of ``docs`` (``doc_id text``) that have a label in ``labels``.
 
-    No labelled row gives a model that scores everything with 0.5.
+    No labelled row, and so an empty table, gives a model that scores everything with 0.5. Null texts are empty ones.
     """
 
     def run(batches):

@@ -26,7 +26,6 @@ PREFIXES = (3, 4, 5, 6, 7, 8, 9)
 TIERS = ((18.0, 0.95), (18.0, 0.8), (11.0, 0.6))
 VOTERS = ["insults", *(f"{kind}{tier}{part}" for kind in ("words", "starts") for tier in ("strong", "medium", "weak") for part in "ab"), "shouting", "exclaiming", "repeating", "several", "dense", "sparse", "silent"]
 LEXICAL = VOTERS.index("shouting")
-MOST_TERMS = 4096
 SLICE = 1 << 19
 
 
@@ -100,13 +99,18 @@ def votes(lexicon: Lexicon, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """At most ``most`` / 4 toxic and three times as many other documents, chosen by a hash of their id."""
+    """At most ``most`` / 4 toxic and three times as many other documents, chosen by a hash of their id.
+
+    Of an id on several rows the text of the smallest hash is taken; a text of several ids is toxic if half of them are.
+    """
     known = labels.select("doc_id", F.col(label).cast("double").alias("_label")).where("doc_id is not null and _label is not null")
     known = known.groupBy("doc_id").agg((F.avg("_label") >= 0.5).alias("_toxic")).join(docs.select("doc_id"), "doc_id", "left_semi")
     order = F.xxhash64("doc_id", F.lit("voters"))
     chosen = known.where("_toxic").orderBy(order, "doc_id").limit(most // 4).unionByName(known.where("not _toxic").orderBy(order, "doc_id").limit(most - most // 4))
     # The side that is broadcast has at most ``most`` rows of an id and a flag.
-    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("_toxic", "text").dropDuplicates(["text"])
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    single = rows.groupBy("doc_id").agg(F.max("_toxic").alias("_toxic"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    known = single.groupBy("text").agg((F.avg(F.col("_toxic").cast("int")) >= 0.5).alias("_toxic")).select("_toxic", "text")
     return known.withColumn("_mined", F.pmod(F.xxhash64("text"), F.lit(3)) > 0)
 
 
@@ -134,9 +138,10 @@ def mine(sample: DataFrame) -> tuple[Lexicon, float]:
     # How far the toxic share among its documents is beyond chance: n times the Kullback-Leibler divergence.
     rest = F.when(F.col("good") > 0, F.col("good") * F.log((1 - precision) / (1 - share))).otherwise(0.0)
     scored = counted.where(precision > share).withColumn("precision", precision).withColumn("evidence", F.col("bad") * F.log(precision / share) + rest)
-    top = scored.where((F.col("evidence") >= TIERS[-1][0]) & (F.col("precision") >= TIERS[-1][1])).orderBy(F.desc("evidence"), "term", "kind").limit(MOST_TERMS)
+    top = scored.where((F.col("evidence") >= TIERS[-1][0]) & (F.col("precision") >= TIERS[-1][1]))
     chosen: dict[int, int] = {}
-    for r in top.collect():
+    # As many as the bounded sample gives reason for: each has at least the weakest tier's evidence.
+    for r in sorted(top.collect(), key=lambda r: (-r["evidence"], r["term"], r["kind"])):
         tier = next(i for i, (evidence, precision) in enumerate(TIERS) if r["evidence"] >= evidence and r["precision"] >= precision)
         chosen[r["term"]] = 1 + 6 * (r["kind"] > 0) + 2 * tier + (r["term"] & 1)
     seeds = " ".join(INSULTS).encode()
@@ -243,7 +248,10 @@ def _train(features: list[np.ndarray], targets: np.ndarray, counts: np.ndarray,
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, most: int = 8192, trained: int = 8192) -> ToxicityModel:
     """The voters from at most ``most`` labelled rows of ``docs`` (``doc_id text``), the label model from the votes on all
-    of ``docs``, and the classifier from at most ``trained`` distinct sets of votes and terms, each weighed by how many documents have it."""
+    of ``docs``, and the classifier from at most ``trained`` distinct sets of votes and terms, each weighed by how many documents have it.
+
+    Null and empty texts have no words. Without labelled rows, and for an empty table, only the fixed list and patterns vote.
+    """
     sample = settle(_labelled(bound_batches(docs), labels, label, most), "labelled")
     lexicon, share = mine(sample.where("_mined"))
 
