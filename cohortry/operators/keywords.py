@@ -153,7 +153,7 @@ def tfidf_keywords(
         "_v",
         lambda v: F.struct(
             v["term"].alias("term"),
-            (F.size(F.filter("_hits", lambda t: t == v["term"])) * v["idf"]).alias("w"),
+            ((F.size("_hits") - F.size(F.array_remove("_hits", v["term"]))) * v["idf"]).alias("w"),
         ),
     )
     # The second use of _hits (the size test) keeps Catalyst from inlining its definition into the
