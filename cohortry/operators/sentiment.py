@@ -108,7 +108,7 @@ def lexicon_hits(df: DataFrame, text_col: str, lexicon: DataFrame, keys: Sequenc
     return counted.join(entries, term).select(*keys, *lexicon.columns, "n_texts")
 
 
-def confident_label(df: DataFrame, label: str, score: str, threshold: float = 0.75) -> Column:
+def confident_label(label: str, score: str, threshold: float = 0.75) -> Column:
     """A model's label where its score clears the threshold, else neutral."""
     return F.when(F.col(score) > threshold, F.lower(F.col(label))).otherwise("neutral")
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from cohortry.functions.scalars import parse_number, strip_ws
 from cohortry.functions.tokens import TERM
 from cohortry.operators.churn import detached
-from cohortry.operators.sentiment import add_sentiment
+from cohortry.operators.sentiment import add_sentiment, confident_label
 
 NEUTRAL_BELOW = 0.75
 
@@ -66,7 +66,7 @@ def apply_text_model(
     scoring = PipelineModel(stages=model.stages[1:])
     scored = scoring.transform(base).withColumn("_top", F.array_max(vector_to_array("_probability")))
     usable = (F.size("_tokens") > 0) & parse_number(strip_ws(F.col("_text"))).isNull()
-    label = F.when(F.col("_top") > threshold, F.lower("_name")).otherwise("neutral")
+    label = confident_label("_name", "_top", threshold)
     keep: Sequence[str] = [c for c in df.columns if c not in (label_col, score_col)]
     return scored.select(
         *keep,
@@ -141,11 +141,11 @@ def apply_shipped_model(
     blank = strip_ws(F.coalesce(F.col(text_col), F.lit(""))) == ""
     asked = base.withColumn("_m", ask(F.when(~blank, F.col(text_col))))
     usable = F.col("_m.label").isNotNull() & F.col("_m.score").isNotNull() & ~F.isnan("_m.score")
-    sure = F.lower("_m.label").isin(*LABELS) & (F.col("_m.score") > threshold)
+    known = F.when(F.lower("_m.label").isin(*LABELS), confident_label("_m.label", "_m.score", threshold)).otherwise("neutral")
     keep = [c for c in df.columns if c not in (label_col, score_col)]
     return asked.select(
         *keep,
-        F.when(usable, F.when(sure, F.lower("_m.label")).otherwise("neutral")).otherwise(F.col("_lex_label")).alias(label_col),
+        F.when(usable, known).otherwise(F.col("_lex_label")).alias(label_col),
         F.when(usable, F.round("_m.score", 4)).otherwise(F.col("_lex_score")).alias(score_col),
         usable.alias("from_model"),
     )

@@ -231,6 +231,17 @@ def user_model_scores(spark, d):
     return sentiment.score_with_model(turns, "text", load).drop("text")
 
 
+@query(
+    "with " + gram_ctes("lang", "doc_id", "text", "documents") + KEYWORD_TAIL.split("select g as {name}")[0]
+    + """ select g as lang, cast(count(*) as int) as n, string_agg(term || ' ' || printf('%.4f', score), '; ' order by rank) as keywords from ranked where rank <= 10 group by g"""
+)
+def keyword_lists_by_language(spark, d):
+    """One row a language with its ranked keywords and their scores."""
+    found = keywords.tfidf_keywords(table(spark, d, "documents").select("lang", "text"), ["lang"], "text")
+    shown = F.transform("keywords", lambda k: F.format_string("%s %.4f", k["term"], k["score"]))
+    return keywords.keyword_lists(found, ["lang"]).select("lang", F.size("keywords").alias("n"), F.array_join(shown, "; ").alias("keywords"))
+
+
 def shipped_length_model(path):
     """The shipped model of ``shipped_model_sentiment``: long texts are positive; it fails at every text of 3k characters."""
     with open(path, encoding="utf-8") as source:
