@@ -3,6 +3,7 @@ from cohortry.functions.scalars import (
     clamp_negative,
     cut,
     finite_or_null,
+    fixed,
     format_money,
     parse_number,
     ratio,
@@ -18,6 +19,7 @@ __all__ = [
     "clamp_negative",
     "cut",
     "f_sf",
+    "fixed",
     "finite_or_null",
     "format_money",
     "ngram_terms",

@@ -67,9 +67,21 @@ def risk_level(p: Column) -> Column:
     return F.when(p >= 0.7, "High").when(p >= 0.4, "Medium").when(p.isNotNull(), "Low")
 
 
+def fixed(c: Column, digits: int = 0, grouped: bool = False) -> Column:
+    """Fixed-point text as Python's ``f`` format: the double's exact value is rounded, exact halves to even; null stays null.
+
+    ``format_string`` would round the shortest decimal text half up and write a null as text. From about 1e15 on digits
+    that the shortest decimal text does not have are zeros.
+    """
+    number = c.cast("double")
+    shown = F.call_function("format_number", number, F.lit(("#,##0" if grouped else "0") + ("." + "0" * digits if digits else "")))
+    infinite = F.when(number > 0, "inf").otherwise("-inf")
+    return F.when(F.isnan(number), "nan").when(F.abs(number) == float("inf"), infinite).otherwise(shown)
+
+
 def as_percent(c: Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", c.cast("double") * 100.0)
+    return F.concat(fixed(c.cast("double") * 100.0, digits), F.lit("%"))
 
 
 def format_money(c: Column, symbol: str = "₹") -> Column:
-    return F.concat(F.lit(symbol), F.format_number(c.cast("double"), 0))
+    return F.concat(F.lit(symbol), fixed(c, grouped=True))

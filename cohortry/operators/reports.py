@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.functions.scalars import as_percent, format_money
+from cohortry.functions.scalars import as_percent, fixed, format_money
 
 
 def satisfaction_band(positive_pct: Column) -> Column:
@@ -155,11 +155,11 @@ def experiment_prompts(report: DataFrame, keys: Sequence[str] = ("experiment_nam
         F.lit("Act as a growth analyst. Experiment "),
         F.concat_ws(" / ", *keys),
         F.format_string(
-            ": control %d users, %.1f%% converting; treatment %d users, %.1f%% converting; relative change ",
-            "control_n", F.col("control_cvr") * 100.0, "treatment_n", F.col("treatment_cvr") * 100.0,
+            ": control %d users, %s converting; treatment %d users, %s converting; relative change ",
+            "control_n", as_percent(F.col("control_cvr")), "treatment_n", as_percent(F.col("treatment_cvr")),
         ),
         F.coalesce(as_percent(F.col("uplift")), F.lit("n/a")),
-        F.format_string("; p-value %.4f (alpha 0.05): ", F.col("p_value")),
+        F.format_string("; p-value %s (alpha 0.05): ", fixed(F.col("p_value"), 4)),
         F.col("significance_label"),
         F.lit("; estimated monthly revenue impact "),
         F.coalesce(format_money(F.col("revenue_impact")), F.lit("n/a")),

@@ -412,11 +412,11 @@ def json_functions(spark, d):
          '₹' || format('{:,.0f}', round_even(o_totalprice, 0)) as money from orders"""
 )
 def number_formatting(spark, d):
-    from cohortry.functions import as_percent, format_money
+    from cohortry.functions import as_percent, fixed, format_money
 
     p = F.col("o_totalprice")
     return table(spark, d, "orders").select(
-        "o_orderkey", as_percent(p / 1e6).alias("share"), F.format_number(p, 2).alias("grouped"), format_money(p).alias("money")
+        "o_orderkey", as_percent(p / 1e6).alias("share"), fixed(p, 2, grouped=True).alias("grouped"), format_money(p).alias("money")
     )
 
 
