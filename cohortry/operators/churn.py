@@ -67,11 +67,15 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def impute_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls and NaN become the exact column median."""
-    medians = exact_medians(df, columns)
-    filled = df.withColumn("_m", medians.select(F.struct(*columns)).scalar())
+    """Nulls and NaN become the exact column median; only columns that hold any are ranked."""
     value = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-    return filled.withColumns({c: F.coalesce(value(c), F.col("_m")[c]) for c in columns}).drop("_m")
+    gaps = df.agg(*[F.count_if(value(c).isNull()).alias(c) for c in columns]).first()
+    missing = [c for c in columns if gaps[c]]
+    cast = df.withColumns({c: F.col(c).cast("double") for c in columns})
+    if not missing:
+        return cast
+    filled = cast.withColumn("_m", exact_medians(df, missing).select(F.struct(*missing)).scalar())
+    return filled.withColumns({c: F.coalesce(value(c), F.col("_m")[c]) for c in missing}).drop("_m")
 
 
 def stratified_split(
@@ -117,9 +121,10 @@ def prepare(
 
     Category codes and scaling are fitted on the training fold.
     """
-    base = df.drop(*[c for c in drop if c not in ids]).filter(F.col(label).isNotNull())
+    # Settled first: the split reads its input three times, coding and scaling theirs as often.
+    base = settle(df.drop(*[c for c in drop if c not in ids]).filter(F.col(label).isNotNull()), "labelled")
     folded = settle(stratified_split(base, label, ids), "folded")
-    coded = encode_categories(folded, fit_on=folded.filter("fold = 'train'"))
+    coded = settle(encode_categories(folded, fit_on=folded.filter("fold = 'train'")), "coded")
     features = [c for c in numeric_columns(coded, [*ids, label])]
     scaled = standardise(impute_medians(coded, features), features, F.col("fold") == "train")
     return settle(scaled.select(*ids, label, "fold", *features), "prepared"), features

@@ -111,3 +111,26 @@ def test_shapley_by_enumeration(spark, planted):
 def test_background_is_bounded(spark, planted):
     with pytest.raises(ValueError):
         churn.shapley_values(lambda df: df, planted, ["x0"], planted, ids=["id"])
+
+
+def test_preparation_reads_its_input_once(spark):
+    """The input is a plan of joins: the split, the codes and the scaling read what was written of it."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rows = spark.range(400).selectExpr("id as customer_id", "int(id % 3 = 0) as churned", "double(id % 7) as a", "if(id % 5 = 0, null, double(id)) as b", "string(id % 4) as state")
+    prepared, features = churn.prepare(rows.mapInPandas(counted, rows.schema))
+    assert (prepared.count(), sorted(features)) == (400, ["a", "b", "state"])
+    assert prepared.filter("a is null or b is null").count() == 0
+    assert read.value == 400
+
+
+def test_medians_of_columns_with_gaps_only(spark):
+    rows = spark.createDataFrame([(1, 1.0, float("nan")), (2, 4.0, 3.0), (None, 2.0, 5.0)], "a int, b double, c double")
+    got = churn.impute_medians(rows, ["a", "b", "c"])
+    assert [t for _, t in got.dtypes] == ["double"] * 3
+    assert sorted(map(tuple, got.collect())) == [(1.0, 1.0, 4.0), (1.5, 2.0, 5.0), (2.0, 4.0, 3.0)]
