@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,6 +114,63 @@ def _vocabulary(words: DataFrame, group: list[str], max_features: int | None, ma
     return _most_frequent(best.unionByName(found), group, max_features)
 
 
+#: Cells of (document, vocabulary term) that a task counts at once.
+CELLS = 2_000_000
+PARTIAL = "_gid bigint, term string, w double"
+
+
+def _term_counts(words: pa.ListArray, vocabulary: list[str]) -> np.ndarray:
+    """Occurrences of each vocabulary term, of one word or more, in each document: an array of documents x terms."""
+    flat, n, size = words.flatten(), len(words), len(vocabulary)
+    doc = np.repeat(np.arange(n), pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64))
+    coded = flat.dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    parts = [t.split(" ") for t in vocabulary]
+    known = pa.array(sorted({w for p in parts for w in p}), pa.string())
+    code_of = dict(zip(known.to_pylist(), pc.index_in(known, value_set=coded.dictionary).to_pylist()))
+    counts = np.zeros(n * size)
+    term_of = np.full(len(coded.dictionary) + 1, -1)
+    for t, p in enumerate(parts):
+        if len(p) == 1 and code_of[p[0]] is not None:
+            term_of[code_of[p[0]]] = t
+    found = term_of[codes]
+    at = np.flatnonzero(found >= 0)
+    counts += np.bincount(doc[at] * size + found[at], minlength=n * size)
+    places: dict[int, np.ndarray] = {}
+    for t, p in enumerate(parts):
+        if len(p) == 1 or any(code_of[w] is None for w in p):
+            continue
+        first = code_of[p[0]]
+        if first not in places:
+            places[first] = np.flatnonzero(codes == first)
+        at = places[first][places[first] + len(p) <= len(codes)]
+        for i, word in enumerate(p[1:], 1):
+            at = at[(codes[at + i] == code_of[word]) & (doc[at + i] == doc[at])]
+        counts += np.bincount(doc[at] * size + t, minlength=n * size)
+    return counts.reshape(n, size)
+
+
+def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents (``_gid _k _names _idf``) to the sums of their normalised weights by group and term."""
+    for whole in batches:
+        if not whole.num_rows:
+            continue
+        rows = max(1, CELLS // max(1, pc.max(pc.list_value_length(whole.column("_names"))).as_py()))
+        for start in range(0, whole.num_rows, rows):
+            batch = whole.slice(start, rows)
+            groups, first, member = np.unique(batch.column("_gid").to_numpy(), return_index=True, return_inverse=True)
+            for g, gid in enumerate(groups):
+                names = batch.column("_names")[int(first[g])].as_py()
+                idf = np.array(batch.column("_idf")[int(first[g])].as_py())
+                own = batch.column("_k") if len(groups) == 1 else batch.column("_k").take(pa.array(np.flatnonzero(member == g)))
+                weights = _term_counts(own, names) * idf
+                norm = np.sqrt((weights * weights).sum(axis=1, keepdims=True))
+                sums = np.divide(weights, norm, out=np.zeros_like(weights), where=norm > 0).sum(axis=0)
+                hit = np.flatnonzero(sums > 0)
+                out = [pa.array([int(gid)] * len(hit), pa.int64()), pa.array([names[i] for i in hit], pa.string()), pa.array(sums[hit])]
+                yield pa.RecordBatch.from_arrays(out, ["_gid", "term", "w"])
+
+
 def tfidf_keywords(
     df: DataFrame,
     group: Sequence[str],
@@ -123,8 +183,9 @@ def tfidf_keywords(
     """Mean L2-normalised TF-IDF weight per (group, term), ranked within the group.
 
     The last pass carries each group's vocabulary (at most ``max_features`` entries) to its documents as one
-    array, counts and normalises inside the row, and only shuffles one partial sum per (task, group, term).
-    Every document of the group counts in the mean, also those without any kept term.
+    array. A task numbers the words of a batch once, counts and normalises by document, and only shuffles one
+    partial sum per (batch, group, term). Every document of the group counts in the mean, also those without any
+    kept term.
     """
     group = list(group)
     source = df if group else df.withColumn("_all", F.lit(1))
@@ -132,44 +193,17 @@ def tfidf_keywords(
     docs = settle(source.select(*key, terms(F.col(text_col), stop_words).alias("_k")), "words")
     sizes = docs.groupBy(*key).agg(F.count(F.lit(1)).alias("_docs"))
     idf = F.ln((1.0 + F.col("_docs")) / (1.0 + F.col("df"))) + 1.0
-    in_phrases = F.flatten(F.transform(F.filter("_names", lambda t: t.contains(" ")), lambda t: F.split(t, " ")))
     vocab = (
         match(_vocabulary(docs, key, max_features, max_n), sizes, key)
         .withColumn("idf", idf)
         .groupBy(*key, "_docs")
         .agg(F.sort_array(F.collect_list(F.struct("term", "idf"))).alias("_v"))
-        .withColumn("_names", F.col("_v.term"))
-        .withColumn("_parts", F.array_distinct(in_phrases))
+        .select(*key, "_docs", F.monotonically_increasing_id().alias("_gid"), F.col("_v.term").alias("_names"), F.col("_v.idf").alias("_idf"))
     )
     kept = settle(vocab, "vocabulary")
-    if group:
-        known = match(docs, kept, key)
-    else:
-        known = docs.withColumn("_s", kept.select(F.struct("_docs", "_v", "_names", "_parts")).scalar()).select("*", "_s.*")
-    is_known = lambda t: F.array_contains("_names", t)
-    known = known.withColumn("_m", F.transform("_k", lambda w: F.when(F.array_contains("_parts", w), w)))
-    known = known.withColumn("_hits", F.concat(F.filter("_k", is_known), F.filter(phrases(F.col("_m"), max_n), is_known)))
-    weights = F.transform(
-        "_v",
-        lambda v: F.struct(
-            v["term"].alias("term"),
-            ((F.size("_hits") - F.size(F.array_remove("_hits", v["term"]))) * v["idf"]).alias("w"),
-        ),
-    )
-    # The second use of _hits (the size test) keeps Catalyst from inlining its definition into the
-    # lambda above, where it would be evaluated once per vocabulary entry. Likewise inline_outer below:
-    # for inline Catalyst infers a size filter and pushes a copy of the whole expression to the scan.
-    known = known.select(
-        *key, "_docs", F.when(F.size("_hits") > 0, F.filter(weights, lambda s: s["w"] > 0)).alias("_w")
-    )
-    norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda acc, s: acc + s["w"] * s["w"]))
-    scored = (
-        known.withColumn("_norm", norm)
-        .select(*key, "_docs", "_norm", F.inline_outer("_w"))
-        .filter(F.col("term").isNotNull())
-        .groupBy(*key, "term")
-        .agg((F.sum(F.col("w") / F.col("_norm")) / F.first("_docs")).alias("score"))
-    )
+    known = match(docs, kept.select(*key, "_gid", "_names", "_idf"), key).select("_gid", "_k", "_names", "_idf")
+    sums = known.mapInArrow(_weigh, PARTIAL).groupBy("_gid", "term").agg(F.sum("w").alias("_sum"))
+    scored = sums.join(kept.select(*key, "_docs", "_gid"), "_gid").select(*key, "term", (F.col("_sum") / F.col("_docs")).alias("score"))
     w = Window.partitionBy(*key).orderBy(F.desc(F.round("score", 10)), "term")
     ranked = scored.withColumn("rank", F.row_number().over(w))
     if top_n is not None:
