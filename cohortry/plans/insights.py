@@ -43,6 +43,8 @@ def analyse_reviews(reviews: DataFrame) -> dict[str, DataFrame]:
 
 
 def model_churn(features: DataFrame, kind: str = "mlp", max_iter: int = 25) -> dict[str, DataFrame]:
+    # A plan of joins that the preparation and the risk summary read.
+    features = settle(features, "features")
     rows, names = churn.prepare(features)
     train_rows = rows.filter("fold = 'train'")
     held_out = rows.filter("fold = 'test'")
@@ -56,6 +58,8 @@ def model_churn(features: DataFrame, kind: str = "mlp", max_iter: int = 25) -> d
 
 
 def analyse_experiments(events: DataFrame) -> dict[str, DataFrame]:
+    """Events are cleaned and written once; every test reads that table."""
+    events = settle(events, "events")
     return {
         "experiments": settle(experiments.experiment_report(events), "experiments"),
         "bayes": bayes.bayes_report(experiments.arm_totals(events)),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortry import scratch_path, streaming
 from cohortry.operators import churn, cleaning, experiments, features, ordering, sentiment
-from cohortry.plans import run_insights, run_medallion
+from cohortry.plans import insights, run_insights, run_medallion
 from cohortry.sources import files
 from cohortry.sources.tables import ab_events_view, customers_view, experiment_columns, reviews_view, table
 from cohortry.workload.files import CSV_SCHEMAS, export_sources
@@ -214,3 +214,23 @@ def test_closed_days_of_a_stream(spark):
     last = clean.agg(F.max("timestamp") - F.expr("interval 6 days")).first()[0]
     want = streaming.windowed_arm_counts(clean).where(F.col("window_end") <= F.lit(last)).select(got.columns)
     assert got.count() == want.count() > 100 and got.exceptAll(want).count() == 0
+
+
+def test_insights_read_their_inputs_once(spark):
+    """Features and events are plans of joins and windows: each is computed once for all analyses."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    events = cleaning.clean_ab_events(ab_events_view(spark, FOLDER)).drop("_processed_at")
+    tables = insights.analyse_experiments(events.mapInPandas(counted, events.schema))
+    assert all(t.count() > 0 for t in tables.values())
+    assert read.value == events.count()
+    rows = spark.range(400).selectExpr("id as customer_id", "int(id % 3 = 0) as churned", "double(id % 7) as a", "double(id % 11) as monthly_spend_inr", "string(id % 4) as state")
+    before = read.value
+    tables = insights.model_churn(rows.mapInPandas(counted, rows.schema), "logistic", 3)
+    assert all(t.count() > 0 for t in tables.values())
+    assert read.value - before == 400
