@@ -20,32 +20,44 @@ from cohortry.functions.scalars import parse_number, strip_ws
 from cohortry.functions.tokens import TERM
 from cohortry.operators.churn import detached
 from cohortry.operators.sentiment import add_sentiment, confident_label
+from cohortry.session import settle
 
 NEUTRAL_BELOW = 0.75
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all tasks by a hash of whole rows, so that copies of a text part as long as their ids differ.
+
+    A file is read by as many tasks as it has row groups; work on texts is not bound to that number.
+    """
+    # Maps have no hash.
+    return df.repartition(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]))
+
+
 def train_text_model(
     df: DataFrame, text_col: str, label_col: str, num_features: int = 1 << 14, max_iter: int = 20, reg: float = 1e-3
 ) -> PipelineModel:
     """Fit tokens -> hashed TF -> IDF -> logistic regression on labelled text.
 
-    Hashing keeps the model size fixed whatever the vocabulary; training is distributed L-BFGS.
+    Hashing keeps the model size fixed whatever the vocabulary; training is distributed L-BFGS. Texts are read and cut into
+    tokens once: their hashed counts are written, and every pass of the fit reads those.
     """
-    labels = StringIndexer(inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="skip")
-    fitted = labels.fit(df)
+    tokenizer = RegexTokenizer(inputCol="_text", outputCol="_tokens", pattern=TERM, gaps=False)
+    hashing = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
+    rows = spread(df).select(label_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    counted = settle(hashing.transform(tokenizer.transform(rows)).select(label_col, "_tf"), "text-counts")
+    labels = StringIndexer(inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="skip").fit(counted)
     stages = [
-        fitted,
-        RegexTokenizer(inputCol="_text", outputCol="_tokens", pattern=TERM, gaps=False),
-        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features),
+        labels,
         IDF(inputCol="_tf", outputCol="_features"),
         LogisticRegression(
             featuresCol="_features", labelCol="_label", predictionCol="_prediction", probabilityCol="_probability",
             rawPredictionCol="_raw", maxIter=max_iter, regParam=reg,
         ),
-        IndexToString(inputCol="_prediction", outputCol="_name", labels=fitted.labelsArray[0]),
+        IndexToString(inputCol="_prediction", outputCol="_name", labels=labels.labelsArray[0]),
     ]
-    rows = df.withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
-    return detached(Pipeline(stages=stages).fit(rows), df.sparkSession)
+    fitted = Pipeline(stages=stages).fit(counted).stages
+    return detached(PipelineModel(stages=[fitted[0], tokenizer, hashing, *fitted[1:]]), df.sparkSession)
 
 
 def apply_text_model(
@@ -58,20 +70,24 @@ def apply_text_model(
 ) -> DataFrame:
     """Whole texts are scored; a label below the threshold becomes neutral.
 
-    Blank texts, ratings and texts without any token keep the lexicon result.
+    Blank texts, ratings and texts without any token keep the lexicon result; the lexicon looks at no other text.
     """
-    base = add_sentiment(df, text_col, "_lex_label", "_lex_score").withColumn(
-        "_text", F.coalesce(F.col(text_col), F.lit(""))
-    )
+    base = spread(df).withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
     scoring = PipelineModel(stages=model.stages[1:])
     scored = scoring.transform(base).withColumn("_top", F.array_max(vector_to_array("_probability")))
     usable = (F.size("_tokens") > 0) & parse_number(strip_ws(F.col("_text"))).isNull()
     label = confident_label("_name", "_top", threshold)
     keep: Sequence[str] = [c for c in df.columns if c not in (label_col, score_col)]
-    return scored.select(
+    judged = scored.select(
+        *keep,
+        F.when(usable, F.struct(label.alias("label"), F.round("_top", 4).alias("score"))).alias("_model"),
+        F.when(~usable, F.col("_text")).alias("_left"),
+    )
+    known = F.col("_model").isNotNull()
+    return add_sentiment(judged, "_left", "_lex_label", "_lex_score").select(
         *keep,
-        F.when(usable, label).otherwise(F.col("_lex_label")).alias(label_col),
-        F.when(usable, F.round("_top", 4)).otherwise(F.col("_lex_score")).alias(score_col),
+        F.when(known, F.col("_model.label")).otherwise(F.col("_lex_label")).alias(label_col),
+        F.when(known, F.col("_model.score")).otherwise(F.col("_lex_score")).alias(score_col),
     )
 
 
