@@ -12,6 +12,11 @@ pre-token has to be encoded only once. A special string inside a text is one id
 
 from __future__ import annotations
 
+import json
+import os
+from itertools import chain
+from string import ascii_lowercase
+
 import numpy as np
 import regex
 from tokenizers import Tokenizer, pre_tokenizers
@@ -80,13 +85,49 @@ def pretokens(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.searchsorted(offsets, starts, "right") - 1
 
 
+#: Normalisers that leave a word of small ASCII letters as it is, and the pre-tokeniser that keeps such a word whole.
+NEUTRAL = ({"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "})
+SUFFIX = "</w>"
+KEEPS_WORDS = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def _model_of_words(tokenizer: Tokenizer, special: dict[str, int]) -> Tokenizer | None:
+    """The tokenizer's model alone, if it gives a word of ASCII letters in lower case the ids that the tokenizer gives the word.
+
+    Its last id is then one with the suffix, as each letter has an id with it and one without.
+    """
+    made = json.loads(tokenizer.to_str())
+    steps = (made["normalizer"] or {}).get("normalizers", [])
+    lowers = {"type": "Lowercase"} in steps and all(x in NEUTRAL or x == {"type": "Lowercase"} for x in steps)
+    model = made["model"]
+    closed = model.get("end_of_word_suffix") == SUFFIX and model["dropout"] is None and all(c + SUFFIX in model["vocab"] and c in model["vocab"] for c in ascii_lowercase)
+    if lowers and closed and made["pre_tokenizer"] == KEEPS_WORDS and not any(s.isalpha() for s in special):
+        return Tokenizer(tokenizer.model)
+    return None
+
+
 class Encoder:
-    """A tokenizer file and the ids of pre-tokens met before, at most ``limit`` of them at a time."""
+    """A tokenizer file and the ids of pre-tokens met before, at most ``limit`` of them at a time.
+
+    The library's own threads stay off unless the environment asks for them: tasks fill the cores already.
+    """
 
     def __init__(self, path: str, limit: int = 600_000) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.pattern = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
+        self.words = _model_of_words(self.tokenizer, self.special)
+        #: Whether an id is the last one of a word: its string has the suffix.
+        self.ending = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if self.words is not None:
+            self.ending[[i for t, i in self.words.get_vocab().items() if t.endswith(SUFFIX)]] = True
         self.limit = limit
         self._clear()
 
@@ -129,6 +170,28 @@ class Encoder:
         """Ids of single pre-tokens."""
         return [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
+    def encode_flat(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First place and number of the ids of single pre-tokens, and these ids.
+
+        Words of ASCII letters go to the model directly, in one call, where that is the same.
+        """
+        plain = np.zeros(len(pieces), bool)
+        first, count, ids = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), np.zeros(0, np.uint32)
+        if self.words is not None:
+            plain = np.fromiter((p.isascii() and p.isalpha() for p in pieces), bool, len(pieces))
+            words = [pieces[i].lower() for i in np.flatnonzero(plain).tolist()]
+            if words:
+                ids = np.array(self.words.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+                ends = np.flatnonzero(self.ending[ids]) + 1
+                if len(ends) != len(words):
+                    raise ValueError("a word without an id that ends it")
+                count[plain] = np.diff(ends, prepend=0)
+                first[plain] = ends - count[plain]
+        lists = self.encode_pieces([pieces[i] for i in np.flatnonzero(~plain).tolist()])
+        count[~plain] = np.fromiter(map(len, lists), np.int64, len(lists))
+        first[~plain] = len(ids) + np.cumsum(count[~plain]) - count[~plain]
+        return first, count, np.concatenate([ids, np.fromiter(chain.from_iterable(lists), np.uint32)])
+
     def lookup(self, hashes: np.ndarray, text: str, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First place in ``self.ids`` and number of ids of each distinct pre-token; encodes those not met before."""
         if len(self.known[0]) + len(self.recent[0]) + len(hashes) > self.limit:
@@ -143,13 +206,12 @@ class Encoder:
                 fresh &= ~met
         fresh = np.flatnonzero(fresh)
         if len(fresh):
-            made = self.encode_pieces([text[a:b] for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist(), strict=True)])
-            count[fresh] = np.fromiter(map(len, made), np.int64, len(made))
-            more = int(count[fresh].sum())
-            first[fresh] = self.filled + np.cumsum(count[fresh]) - count[fresh]
+            place, count[fresh], made = self.encode_flat([text[a:b] for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist(), strict=True)])
+            more = len(made)
+            first[fresh] = self.filled + place
             if self.filled + more > len(self.ids):
                 self.ids = np.concatenate([self.ids[: self.filled], np.zeros(max(more, self.filled), np.uint32)])
-            self.ids[self.filled : self.filled + more] = np.fromiter((i for ids in made for i in ids), np.uint32, more)
+            self.ids[self.filled : self.filled + more] = made
             self.filled += more
             self.recent = self._merged(self.recent, (hashes[fresh], first[fresh], count[fresh]))
             if len(self.recent[0]) > 20_000 + len(self.known[0]) // 8:
@@ -166,10 +228,11 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder for each file in a worker; it outlives the task."""
+def encoder(path: str, limit: int = 600_000) -> Encoder:
+    """One encoder for each file in a worker; it outlives the task. The largest limit that was asked for holds."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, limit)
+    _encoders[path].limit = max(_encoders[path].limit, limit)
     return _encoders[path]
 
 

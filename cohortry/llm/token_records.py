@@ -14,6 +14,7 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ MASK = 0xA282EAD8
 
 #: A file is closed once it holds so many bytes; no file depends on how a key is distributed.
 FILE_BYTES = 64 << 20
+#: Distinct parts of texts whose ids a worker keeps, about 60 bytes each.
+PARTS = 1_200_000
 #: Bytes of ids in an Arrow batch on the way back.
 BATCH_BYTES = 4 << 20
 
@@ -132,13 +135,20 @@ def masked_one(data: bytes) -> int:
 
 def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Variable-length bytes of unsigned 32-bit values, one after the other, and the offset of each."""
-    size = 1 + sum((values >= 1 << 7 * k).astype(np.int64) for k in range(1, 5))
-    edges = np.concatenate([[0], np.cumsum(size)])
+    size = np.ones(len(values), np.int8)
+    most = 1
+    while most < 5 and (longer := values >= 1 << 7 * most).any():
+        size += longer
+        most += 1
+    edges = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(size, out=edges[1:])
     out = np.zeros(edges[-1], np.uint8)
-    for k in range(int(size.max()) if len(size) else 0):
-        here = size > k
-        more = np.where(size[here] > k + 1, 128, 0)
-        out[edges[:-1][here] + k] = ((values[here] >> np.uint32(7 * k)) & np.uint32(127)).astype(np.uint8) | more.astype(np.uint8)
+    # The last byte of a value has no mark; all before it have one.
+    place, rest, left = edges[:-1], values, size
+    for _ in range(most):
+        out[place] = rest & np.uint32(127) | np.left_shift(left > 1, 7, dtype=np.uint32)
+        here = left > 1
+        place, rest, left = place[here] + 1, rest[here] >> np.uint32(7), left[here] - 1
     return out, edges
 
 
@@ -146,10 +156,12 @@ def unpack_varints(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The values of variable-length bytes, and the offset at which each one ends."""
     ends = np.flatnonzero(data < 128) + 1
     starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-    out = np.zeros(len(ends), np.uint64)
-    for k in range(int((ends - starts).max()) if len(ends) else 0):
-        here = ends - starts > k
-        out[here] |= (data[starts[here] + k] & 127).astype(np.uint64) << np.uint64(7 * k)
+    byte, here, k = data[starts], None, 0
+    out = (byte & 127).astype(np.uint64)
+    while len(more := np.flatnonzero(byte > 127)):
+        here, k = more if here is None else here[more], k + 1
+        byte = data[starts[here] + k]
+        out[here] |= (byte & 127).astype(np.uint64) << np.uint64(7 * k)
     return out, ends
 
 
@@ -162,11 +174,13 @@ def _varint(value: int) -> bytes:
     return bytes((*out, value))
 
 
+@lru_cache(1 << 14)
 def _field(number: int, size: int) -> bytes:
     """Tag and length of a length-delimited field."""
     return bytes([number << 3 | 2]) + _varint(size)
 
 
+@lru_cache(1 << 14)
 def _list_head(name: bytes, size: int) -> bytes:
     """All bytes of a named integer list up to its ``size`` packed bytes."""
     packed = _field(1, size)
@@ -288,11 +302,13 @@ def token_ids(enc, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[
     own = np.bincount(owner, weights=count, minlength=len(offsets) - 1).astype(np.int64) + 1
     edges = np.concatenate([[0], np.cumsum(own)])
     ids = np.full(edges[-1], end_id, np.uint32)
-    # Ids of earlier parts and one end id for each earlier text stand before a part.
-    place = np.cumsum(count) - count + owner
-    source = np.arange(int(count.sum()))
     before = np.cumsum(count) - count
-    ids[source + np.repeat(place - before, count)] = enc.ids[source + np.repeat(first - before, count)]
+    source = np.repeat((first - before).astype(np.int32), count)
+    source += np.arange(len(source), dtype=np.int32)
+    # All places but the last of each text take the parts' ids in their order.
+    inside = np.ones(len(ids), bool)
+    inside[edges[1:] - 1] = False
+    ids[inside] = enc.ids[source]
     return ids, edges
 
 
@@ -322,7 +338,7 @@ class _Part:
 
 def _write(folder: str, tokenizer: str, end_id: int, file_bytes: int):
     def run(batches):
-        enc, part = encoder(tokenizer), None
+        enc, part = encoder(tokenizer, PARTS), None
         schema = pa.schema([("file", pa.string()), *((c, pa.int64()) for c in ("records", "tokens", "bytes", "first_id", "first_row"))])
         for batch in batches:
             names, rows = batch.column("_id").to_pylist(), batch.column("_row")

@@ -124,3 +124,37 @@ def test_one_id_on_most_rows(spark, words):
     got = token_records.read(spark, path).orderBy("start").collect()
     assert [r.start for r in got] == list(range(0, 60_000, 3)) and [r.doc_id for r in got] == [7] * 15_000 + list(range(15_000, 20_000))
     assert token_records.files(spark, path).count() > 3
+
+
+def test_words_of_letters_go_to_the_model_and_give_the_ids_of_the_tokenizer(words, monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    whole, enc = Tokenizer.from_file(words), pretokens.Encoder(words)
+    # A task has one core; threads of the library's own took others' time.
+    assert pretokens.os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    calls = []
+
+    class Counted:
+        def encode_batch_fast(self, pieces, **how):
+            calls.extend(pieces)
+            return whole.encode_batch_fast(pieces, **how)
+
+    enc.tokenizer = Counted()
+    pieces = ["Word", "UNDENPFERST", "a", "x" * 3000, "don't", "été", "H̱", "7", "...", "<|endoftext|>", "<|EndOfText|>", "ΑΣ", "Kelvin", "İ", "ab1"]
+    first, count, ids = enc.encode_flat(pieces)
+    assert [ids[a : a + n].tolist() for a, n in zip(first, count, strict=True)] == [whole.encode(p, add_special_tokens=False).ids for p in pieces]
+    assert not [p for p in calls if p.isascii() and p.isalpha()] and len(calls) == 10
+
+
+def test_other_tokenizers_get_every_piece(words):
+    whole = Tokenizer.from_file(queries.public_tokenizers.path("byte_bpe_50k.json"))
+    assert pretokens._model_of_words(whole, {}) is None
+    assert pretokens._model_of_words(Tokenizer.from_file(words), {"EOT": 1}) is None
+
+
+def test_values_of_all_lengths():
+    values = np.array([0, 127, 128, 16383, 16384, 2097151, 2097152, (1 << 28) - 1, 1 << 28, (1 << 32) - 1], np.uint32)
+    for some in (values, values[:0], values[:2], values[::-1]):
+        data, edges = token_records.varints(some)
+        assert [data[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)] == [token_records._varint(int(v)) for v in some]
+        back, ends = token_records.unpack_varints(data)
+        assert back.tolist() == some.tolist() and ends.tolist() == edges[1:].tolist()
