@@ -27,6 +27,8 @@ WORDS = CLASSES * CLASSES
 BUCKETS = 2 * CLASSES
 #: Neighbours on each side, width of the hidden layer, places in a batch.
 REACH, WIDTH, BATCH = 3, 32, 4096
+#: Places that are scored together.
+SCORED = 2 * BATCH
 #: Places of a gradient step, and the squares that past gradients begin with: small ones let the first steps be as long as the rate.
 STEP, SQUARES = 2048, 1e-8
 #: Weights in one row of the table in which they are averaged.
@@ -46,17 +48,36 @@ class Vocabulary:
     numbers: np.ndarray
     classes: int = CLASSES
     counts: np.ndarray | None = None
+    _levels: list[np.ndarray] | None = None
 
     @property
     def first_bucket(self) -> int:
         return self.classes * (self.classes - 2)
 
+    def levels(self) -> list[np.ndarray]:
+        """Tables of the words' places by the low bits of their hashes; words with the same bits lie in different tables."""
+        if self._levels is None:
+            self._levels, left = [], np.arange(len(self.hashes))
+            size = 1 << (16 * len(left)).bit_length()
+            slots = (self.hashes & np.uint64(size - 1)).astype(np.int64)
+            while len(left):
+                found, first = np.unique(slots[left], return_index=True)
+                table = np.zeros(size, np.int32)
+                table[found] = left[first]
+                self._levels.append(table)
+                left = np.delete(left, first)
+        return self._levels
+
     def encode(self, hashes: np.ndarray) -> np.ndarray:
-        bucket = self.first_bucket + (hashes % np.uint64(2 * self.classes)).astype(np.int64)
-        if not len(self.hashes):
-            return bucket
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.numbers[at], bucket)
+        out = np.empty(len(hashes), np.int64)
+        rest = np.arange(len(hashes))
+        for table in self.levels():
+            at = table[(hashes[rest] & np.uint64(len(table) - 1)).astype(np.int64)]
+            met = self.hashes[at] == hashes[rest]
+            out[rest[met]] = self.numbers[at[met]]
+            rest = rest[~met]
+        out[rest] = self.first_bucket + (hashes[rest] % np.uint64(2 * self.classes)).astype(np.int64)
+        return out
 
 
 def counted_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -437,8 +458,8 @@ def score(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text
                 hashes, owner, _, _ = words(data, offsets)
                 numbers = known.encode(hashes)
                 values = np.zeros(len(numbers))
-                for a in range(0, len(numbers), BATCH):
-                    places = np.arange(a, min(a + BATCH, len(numbers)))
+                for a in range(0, len(numbers), SCORED):
+                    places = np.arange(a, min(a + SCORED, len(numbers)))
                     values[places] = log_probabilities(weights, neighbours(numbers, owner, places, known.classes**2), numbers[places])
                 rare = numbers >= known.first_bucket
                 values[rare] -= totals[numbers[rare] - known.first_bucket]

@@ -264,3 +264,17 @@ def test_held_out_words_and_order(spark, read_corpus):
         n += len(hashes)
     assert sum(got[r.doc_id].log_likelihood for r in held) / n > plain / n + 0.1
     assert np.mean([got[r.doc_id].log_likelihood > got[-1 - r.doc_id].log_likelihood for r in held]) > 0.65
+
+
+def test_words_are_found_by_the_low_bits_of_their_hashes():
+    rng = np.random.default_rng(3)
+    # Many words agree in their low bits; zero is the place of an empty slot.
+    hashes = np.unique(np.concatenate([rng.integers(0, 1 << 63, 300).astype(np.uint64), (np.arange(5, dtype=np.uint64) << np.uint64(40)) + np.uint64(7), np.zeros(1, np.uint64)]))
+    known = pseudo_likelihood.Vocabulary(hashes, rng.permutation(len(hashes)).astype(np.int64))
+    assert len(known.levels()) >= 5
+    asked = np.concatenate([hashes, hashes[::-1], hashes + np.uint64(1), rng.integers(0, 1 << 63, 500).astype(np.uint64)])
+    numbers = dict(zip(hashes.tolist(), known.numbers.tolist(), strict=True))
+    assert known.encode(asked).tolist() == [numbers.get(h, known.first_bucket + h % (2 * known.classes)) for h in asked.tolist()]
+    nothing = pseudo_likelihood.Vocabulary(hashes[:0], known.numbers[:0])
+    assert nothing.levels() == [] and nothing.encode(asked).tolist() == [nothing.first_bucket + h % (2 * nothing.classes) for h in asked.tolist()]
+    assert known.encode(asked[:0]).tolist() == []
